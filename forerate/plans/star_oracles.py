@@ -345,12 +345,12 @@ SELECT y AS label, p AS predicted, count(unit_id) AS rows, round(count(unit_id)
 FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(y, p)
 LEFT JOIN base ON label = y AND (score >= 0.62::DOUBLE) = (p = 1) GROUP BY y, p"""
 
-ORACLES["calibration_deciles"] = f"""{BASE}, ordered AS (
+ORACLES["calibration_deciles"] = f"""{BASE}, by_score AS (
   SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM base),
 spots AS (SELECT q, (n - 1) * (q / 10) AS spot, n FROM (SELECT count(*) AS n FROM base), range(1, 10) t(q)),
 ends AS (
   SELECT q, max(score) FILTER (i = floor(spot)) AS a, max(score) FILTER (i = least(floor(spot) + 1, s.n - 1)) AS b,
-         max(spot - floor(spot)) AS t FROM spots s, ordered GROUP BY q),
+         max(spot - floor(spot)) AS t FROM spots s, by_score GROUP BY q),
 edges AS (SELECT {lerp("a", "b", "t")} AS edge FROM ends),
 binned AS (SELECT score, label, (SELECT count(*) FROM edges WHERE edge < score) AS bin FROM base)
 SELECT CAST(bin AS INTEGER) AS bin, round(avg(score), 6) AS mean_score, round(avg(label), 6) AS observed_rate, count(*) AS rows
