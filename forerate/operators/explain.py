@@ -73,7 +73,6 @@ def leaf_paths(model: GBTClassificationModel, spark) -> list[dict]:
     """
     path = new_path(spark, "trees")
     model.write().save(path)
-    weights = {r["treeID"]: r["weights"] for r in spark.read.parquet(f"{path}/treesMetadata").select("treeID", "weights").collect()}
     nodes: dict[int, dict[int, tuple]] = {}
     fields = ["id", "prediction", "impurityStats", "leftChild", "rightChild", "split"]
     for r in spark.read.parquet(f"{path}/data").select("treeID", *[f"nodeData.{f}" for f in fields]).collect():
@@ -93,7 +92,7 @@ def leaf_paths(model: GBTClassificationModel, spark) -> list[dict]:
 
     for tree_id, tree in nodes.items():
         # the margin is half the log-odds
-        walk(tree, 0, {}, 2 * weights[tree_id])
+        walk(tree, 0, {}, 2 * model.treeWeights[tree_id])
     return leaves
 
 

@@ -348,10 +348,10 @@ LEFT JOIN base ON label = y AND (score >= 0.62::DOUBLE) = (p = 1) GROUP BY y, p"
 ORACLES["calibration_deciles"] = f"""{BASE}, by_score AS (
   SELECT score, row_number() OVER (ORDER BY score) - 1 AS i, count(*) OVER () AS n FROM base),
 spots AS (SELECT q, (n - 1) * (q / 10) AS spot, n FROM (SELECT count(*) AS n FROM base), range(1, 10) t(q)),
-ends AS (
+edge_ends AS (
   SELECT q, max(score) FILTER (i = floor(spot)) AS a, max(score) FILTER (i = least(floor(spot) + 1, s.n - 1)) AS b,
          max(spot - floor(spot)) AS t FROM spots s, by_score GROUP BY q),
-edges AS (SELECT {lerp("a", "b", "t")} AS edge FROM ends),
+edges AS (SELECT {lerp("a", "b", "t")} AS edge FROM edge_ends),
 binned AS (SELECT score, label, (SELECT count(*) FROM edges WHERE edge < score) AS bin FROM base)
 SELECT CAST(bin AS INTEGER) AS bin, round(avg(score), 6) AS mean_score, round(avg(label), 6) AS observed_rate, count(*) AS rows
 FROM binned GROUP BY bin"""
@@ -359,3 +359,218 @@ FROM binned GROUP BY bin"""
 ORACLES["roc_pr_points"] = f"""{STEPS}
 SELECT round(score, 6) AS threshold, round(fp / n, 6) AS false_positive_rate, round(tp / p, 6) AS recall,
        round(tp / (tp + fp), 6) AS precision, round(p / (p + n), 6) AS prevalence FROM above"""
+
+
+def order_statistic(column: str, p: float, table: str = "base") -> str:
+    """Scalar subquery: the interpolated quantile of a column, term by term as in the job."""
+    spot = f"((n - 1) * {p}::DOUBLE)"
+    a = f"max(x) FILTER (i = floor({spot}))"
+    b = f"max(x) FILTER (i = least(floor({spot}) + 1, n - 1))"
+    t = f"max({spot} - floor({spot}))"
+    return (
+        f"(SELECT {lerp(a, b, t)} FROM (SELECT CAST({column} AS DOUBLE) AS x, row_number() OVER (ORDER BY {column}) - 1 AS i, "
+        f"count(*) OVER () AS n FROM {table} WHERE {column} IS NOT NULL))"
+    )
+
+
+CATEGORIES = ("network", "region1", "region2", "form")
+LEVELS = "levels AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS level, count(*) AS rows, (SELECT count(*) FROM base) AS n FROM base GROUP BY {c}"
+    for c in CATEGORIES
+) + "), fillers AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY rows DESC, level) = 1 AS is_filler FROM levels)"
+
+MEDIANS = "medians AS (SELECT " + ", ".join(f"{order_statistic(c, 0.5)} AS {c}" for c in NUMERIC_FEATURES) + ")"
+FILLED = "filled AS (SELECT " + ", ".join(
+    f"CAST(coalesce(b.{c}, m.{c}) AS DOUBLE) AS {c}, CASE WHEN b.{c} IS NULL THEN 1.0::DOUBLE ELSE 0 END AS missingindicator_{c}"
+    for c in NUMERIC_FEATURES
+) + ", network, region1, region2, form FROM base b, medians m)"
+
+ORACLES["imputer_params"] = (
+    f"{BASE}, {MEDIANS}, {LEVELS} "
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, round({c}, 6) AS fill_value, NULL AS fill_level FROM medians" for c in NUMERIC_FEATURES)
+    + " UNION ALL SELECT column_name, NULL, level FROM fillers WHERE is_filler"
+)
+
+ORACLES["missing_flags"] = (
+    f"{BASE}, flags AS ("
+    + " UNION ALL ".join(
+        f"SELECT 'missingindicator_{c}' AS feature, count(*) - count({c}) AS missing, count(*) AS n FROM base" for c in NUMERIC_FEATURES
+    )
+    + ") SELECT feature, missing, round(missing / n, 6) AS share FROM flags WHERE missing > 0"
+)
+
+ORACLES["scaler_params"] = f"{BASE}, {MEDIANS}, {FILLED} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std, "
+    f"round((SELECT {c} FROM medians), 4) AS median, "
+    f"round({order_statistic(c, 0.75, 'filled')} - {order_statistic(c, 0.25, 'filled')}, 4) AS iqr FROM filled"
+    for c in NUMERIC_FEATURES
+)
+
+ORACLES["one_hot_rare"] = f"""{BASE}, {LEVELS}
+SELECT column_name, level, rows, CAST(is_filler AS INTEGER) AS is_filler, CAST(rows < 0.01 * n AS INTEGER) AS is_rare FROM fillers"""
+
+SCALED = [*NUMERIC_FEATURES, *[f"missingindicator_{c}" for c in NUMERIC_FEATURES]]
+ORACLES["prepared_features"] = (
+    f"{BASE}, {MEDIANS}, {FILLED}, {LEVELS}, scaled AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, ({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0) AS x, "
+        f"max({c}) OVER () AS top FROM filled"
+        for c in SCALED
+    )
+    + """)
+SELECT feature, round(sum(x * x), 4) AS squares, round(max(x), 4) AS highest FROM scaled
+WHERE NOT (feature LIKE 'missingindicator%' AND top = 0) GROUP BY feature
+UNION ALL SELECT column_name || '_' || level, CAST(rows AS DOUBLE), 1.0 FROM levels WHERE rows >= 0.01 * n
+UNION ALL SELECT column_name || '_infrequent_sklearn', CAST(sum(rows) AS DOUBLE), 1.0 FROM levels WHERE rows < 0.01 * n GROUP BY column_name"""
+)
+
+ORACLES["baseline_prior"] = f"""{SPLIT},
+prior AS (SELECT sum(weight * label) / sum(weight) AS p FROM base JOIN sides USING (group_id) WHERE is_test = 0),
+test AS (SELECT label, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS guess, p FROM base JOIN sides USING (group_id), prior WHERE is_test = 1)
+SELECT round(max(p), 6) AS score, round(avg(CASE WHEN label = guess THEN 1 ELSE 0 END), 6) AS accuracy,
+       round(coalesce(2 * sum(label * guess) / nullif(sum(guess) + sum(label), 0), 0), 6) AS f1 FROM test"""
+
+ORACLES["gaussian_nb_params"] = f"{BASE}, cells AS (" + " UNION ALL ".join(
+    f"SELECT label, weight, '{c}' AS column_name, {c} AS x FROM base WHERE {c} IS NOT NULL"
+    for c in ("group_rate_prior_year", "region_rate_prior_year", "target")
+) + """), means AS (SELECT label, column_name, sum(weight * x) / sum(weight) AS mean, sum(weight) AS weight FROM cells GROUP BY ALL)
+SELECT m.label, m.column_name, round(m.mean, 4) AS mean, round(sum(c.weight * (c.x - m.mean) * (c.x - m.mean)) / m.weight, 4) AS variance,
+       m.weight FROM means m JOIN cells c ON c.label = m.label AND c.column_name = m.column_name GROUP BY m.label, m.column_name, m.mean, m.weight"""
+
+RISK = f"""{BASE}, sums AS (
+  SELECT group_id, region1, region2, network, count(*) AS rows,
+         round_even(100 * (sum(weight * score) / sum(weight)) * 100, 0) / 100 AS predicted_rate,
+         round_even(100 * (sum(weight * label) / sum(weight)) * 100, 0) / 100 AS real_rate,
+         max(target) AS target, max(group_rate_prior_year) AS rate_prior_year
+  FROM base GROUP BY ALL HAVING count(*) >= 20),
+unit AS (
+  SELECT *, 1 - predicted_rate / 100 AS risk, round_even((predicted_rate - target) * 100, 0) / 100 AS gap_predicted_target,
+         target IS NULL AS no_target FROM sums),
+units_risk AS (SELECT *, NOT no_target AND gap_predicted_target < 0 AS misses FROM unit)"""
+
+ORACLES["unit_risk"] = f"""{RISK}
+SELECT group_id, region1, region2, network, rows, predicted_rate, real_rate, round(target, 6) AS target,
+       round(rate_prior_year, 6) AS rate_prior_year, round(risk, 6) AS risk, gap_predicted_target,
+       CAST(no_target AS INTEGER) AS no_target, CAST(coalesce(misses, false) AS INTEGER) AS at_risk FROM units_risk"""
+
+ORACLES["top_risk_units"] = f"""{RISK}
+SELECT u.group_id, p.group_name, u.region1, p.region1 AS region1_dim, u.network, u.predicted_rate, round(u.target, 6) AS target, u.rows
+FROM units_risk u JOIN places p USING (group_id) ORDER BY u.risk DESC, u.group_id, u.region1, u.region2, u.network LIMIT 15"""
+
+ORACLES["risk_by_region"] = f"""{RISK}
+SELECT region2, round_even(100 * avg(risk) * 10, 0) / 10 AS mean_risk, count(*) AS units FROM units_risk GROUP BY region2"""
+
+ORACLES["risk_summary"] = f"""{RISK}
+SELECT count(*) AS units, count(DISTINCT group_id) AS groups, count(*) FILTER (no_target) AS without_target,
+       count(*) FILTER (NOT no_target) AS assessable, count(*) FILTER (misses) AS at_risk,
+       round_even(100 * count(*) FILTER (misses) / greatest(count(*) FILTER (NOT no_target), 1) * 10, 0) / 10 AS pct_at_risk FROM units_risk"""
+
+ORACLES["rate_error_vs_naive"] = f"""{RISK}
+SELECT round_even(avg(abs(predicted_rate - real_rate)) * 100, 0) / 100 AS mae_model,
+       round_even(sqrt(avg(pow(predicted_rate - real_rate, 2))) * 100, 0) / 100 AS rmse_model,
+       round_even(avg(abs(rate_prior_year - real_rate)) * 100, 0) / 100 AS mae_repeat_last_year, count(*) AS units
+FROM units_risk WHERE rate_prior_year IS NOT NULL"""
+
+ORACLES["contradictory_units"] = f"""{BASE}
+SELECT group_id, region1, region2, network FROM base GROUP BY ALL
+HAVING (max(target) IS NOT NULL AND (min(target) <> max(target) OR count(target) < count(*)))
+    OR (max(group_rate_prior_year) IS NOT NULL
+        AND (min(group_rate_prior_year) <> max(group_rate_prior_year) OR count(group_rate_prior_year) < count(*)))"""
+
+PROFILE = ("predicted_rate", "rate_prior_year", "target", "gap_predicted_target")
+POINTS = (
+    f"{RISK}, gaps_filled AS (SELECT group_id, network, "
+    + ", ".join(f"coalesce({c}, {order_statistic(c, 0.5, 'units_risk')}) AS {c}" for c in PROFILE)
+    + " FROM units_risk), z AS (SELECT group_id, network, "
+    + ", ".join(f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z_{c}" for c in PROFILE)
+    + """ FROM gaps_filled),
+points AS (
+  SELECT z.*, u.predicted_rate, u.rate_prior_year, u.target, u.rows,
+         CASE WHEN u.predicted_rate >= 55 THEN 2 ELSE 0 END + CASE WHEN u.no_target OR u.target >= 60 THEN 1 ELSE 0 END AS profile
+  FROM z JOIN units_risk u USING (group_id, network))"""
+)
+Z = [f"z_{c}" for c in PROFILE]
+CENTRES = ", centres AS (SELECT profile, " + ", ".join(f"avg({z}) AS m_{z}" for z in Z) + " FROM points GROUP BY profile)"
+
+
+def squared(a: str, b: str, prefix: str = "") -> str:
+    return " + ".join(f"pow({a}.{z} - {b}.{prefix}{z}, 2)" for z in Z)
+
+
+ORACLES["profile_matrix"] = f"{POINTS} SELECT group_id, network, " + ", ".join(f"round({z}, 6) AS {z}" for z in Z) + " FROM points"
+
+ORACLES["cluster_inertia"] = f"""{POINTS}{CENTRES}
+SELECT round(sum({squared("p", "c", "m_")}), 6) AS inertia FROM points p JOIN centres c USING (profile)"""
+
+ORACLES["silhouette_sq"] = f"""{POINTS}, numbered AS (SELECT *, row_number() OVER (ORDER BY group_id, network) AS id FROM points),
+near AS (
+  SELECT a.id, a.profile AS own, b.profile AS other, sum({squared("a", "b")}) AS total, count(*) AS n
+  FROM numbered a, numbered b GROUP BY ALL),
+widths AS (
+  SELECT id, max(n) FILTER (own = other) AS own_n, max(total / nullif(n - 1, 0)) FILTER (own = other) AS a,
+         min(total / n) FILTER (own <> other) AS b FROM near GROUP BY id)
+SELECT round(avg(CASE WHEN own_n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette FROM widths"""
+
+ORACLES["davies_bouldin"] = f"""{POINTS}{CENTRES},
+scatter AS (SELECT profile, avg(sqrt({squared("p", "c", "m_")})) AS s FROM points p JOIN centres c USING (profile) GROUP BY profile),
+ratios AS (
+  SELECT a.profile, max((sa.s + sb.s) / sqrt({" + ".join(f"pow(a.m_{z} - b.m_{z}, 2)" for z in Z)})) AS worst
+  FROM centres a JOIN centres b ON a.profile <> b.profile
+  JOIN scatter sa ON sa.profile = a.profile JOIN scatter sb ON sb.profile = b.profile GROUP BY a.profile)
+SELECT round(avg(worst), 6) AS davies_bouldin FROM ratios"""
+
+ORACLES["profile_summary"] = f"""{POINTS}, means AS (
+  SELECT profile, count(*) AS units, round_even(avg(predicted_rate) * 10, 0) / 10 AS predicted_rate,
+         round_even(avg(rate_prior_year) * 10, 0) / 10 AS rate_prior_year, round_even(avg(target) * 10, 0) / 10 AS target,
+         round_even(avg(rows) * 10, 0) / 10 AS mean_rows FROM points GROUP BY profile),
+named AS (
+  SELECT *, ['Critical', 'Attention', 'Intermediate', 'Consolidated'][least(row_number() OVER (ORDER BY predicted_rate, profile), 4)]
+         AS profile_name FROM means)
+SELECT n.*, (SELECT count(*) FROM points p JOIN named m USING (profile) WHERE m.profile_name = n.profile_name) AS named_units FROM named n"""
+
+CURVE = f"""{BASE}, by_form AS (
+  SELECT form, count(*) AS n, sum(weight) AS w, sum(weight * (score - label) * (score - label)) AS e FROM base GROUP BY form),
+curve AS (
+  SELECT CAST(sum(n) OVER (ORDER BY form) AS BIGINT) AS train_rows, sum(e) OVER (ORDER BY form) / sum(w) OVER (ORDER BY form) AS validation_auc
+  FROM by_form)"""
+ORACLES["argmax_step"] = f"""{CURVE}
+SELECT train_rows, round(validation_auc, 6) AS validation_auc FROM curve ORDER BY curve.validation_auc DESC, train_rows LIMIT 1"""
+ORACLES["curve_last_step"] = f"""{CURVE}, stepped AS (
+  SELECT lag(train_rows) OVER w AS rows_before, train_rows AS rows_after, validation_auc - lag(validation_auc) OVER w AS gain
+  FROM curve WINDOW w AS (ORDER BY train_rows))
+SELECT rows_before, rows_after, round(100 * (rows_after / rows_before - 1), 6) AS growth_pct, round(gain, 6) AS gain
+FROM stepped ORDER BY rows_after DESC LIMIT 1"""
+
+
+def auc_by(key: str, score: str) -> str:
+    return f"""(SELECT a.{key} AS model, round(sum(CASE WHEN a.s > b.s THEN a.w * b.w WHEN a.s = b.s THEN a.w * b.w / 2 ELSE 0 END)
+       / sum(a.w * b.w), 4) AS auc
+  FROM (SELECT {key}, {score} AS s, sum(weight) AS w FROM base WHERE label = 1 GROUP BY ALL) a
+  JOIN (SELECT {key}, {score} AS s, sum(weight) AS w FROM base WHERE label = 0 GROUP BY ALL) b ON a.{key} = b.{key} GROUP BY a.{key})"""
+
+
+ORACLES["ablation_join"] = f"""{BASE}
+SELECT model, x.auc AS auc_with, y.auc AS auc_without, round(x.auc - y.auc, 4) AS difference
+FROM {auc_by("network", "score")} x JOIN {auc_by("network", "score - weight / 250")} y USING (model)"""
+
+ORACLES["importance_agreement"] = (
+    f"{BASE}, strength AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, abs(round_even(corr({c}, label) * 1000, 0) / 1000) AS v, "
+        f"round_even(1000 * count({c}) / count(*), 0) / 10 AS coverage FROM base"
+        for c in NUMERIC_FEATURES
+    )
+    + """), leaders AS (
+  SELECT (SELECT column_name FROM strength ORDER BY v DESC, column_name DESC LIMIT 1) AS first_leader,
+         (SELECT column_name FROM strength ORDER BY coverage DESC, column_name DESC LIMIT 1) AS second_leader)
+SELECT first_leader, second_leader, CASE WHEN first_leader = second_leader THEN 1 ELSE 0 END AS agree FROM leaders"""
+)
+
+ORACLES["design_counts"] = f"""{SPLIT}
+SELECT CASE WHEN is_test = 1 THEN 'test' ELSE 'train' END AS side, count(*) AS rows, count(DISTINCT group_id) AS groups
+FROM base JOIN sides USING (group_id) GROUP BY is_test"""
+
+_summary, _errors = (ORACLES[n][len(RISK) :] for n in ("risk_summary", "rate_error_vs_naive"))
+ORACLES["strategy_summary"] = f"""{RISK},
+counted AS ({_summary}), missed AS ({_errors.replace("AS units", "AS compared_units")})
+SELECT * FROM counted, missed"""

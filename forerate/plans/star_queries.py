@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forerate.contracts import NUMERIC_FEATURES
-from forerate.operators import context, metrics, profiling, sampling
+from forerate.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from forerate.functions.ordering import running_sums
+from forerate.operators import context, explain, metrics, models, prep, profiling, risk, sampling, segments
 from forerate.operators.context import UNIT_KEYS
+from forerate.plans import reports
 from forerate.sources import star
-from forerate.sources.staging import staged
 from forerate.sources.tables import enrichment_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,3 +245,338 @@ def calibration_deciles(spark, sf_dir):
 @query
 def roc_pr_points(spark, sf_dir):
     return rounded(metrics.curve_points(scored(spark, sf_dir)))
+
+
+# --- preparation and what simple models learn ----------------------------------------------------
+
+
+@query
+def imputer_params(spark, sf_dir):
+    counts = prep.value_counts(star.base(spark, sf_dir), NUMERIC_FEATURES, CATEGORICAL_FEATURES)
+    numbers = prep.numeric_parameters(counts).select(
+        "column_name", F.col("median").alias("fill_value"), F.lit(None).cast("string").alias("fill_level")
+    )
+    levels = prep.category_levels(counts).where("is_filler").select(
+        "column_name", F.lit(None).cast("double").alias("fill_value"), F.col("level").alias("fill_level")
+    )
+    return rounded(numbers.unionByName(levels))
+
+
+@query
+def missing_flags(spark, sf_dir):
+    """Columns that get a missing flag, and the share of rows it marks."""
+    counts = prep.value_counts(star.base(spark, sf_dir), NUMERIC_FEATURES, [])
+    table = prep.numeric_parameters(counts).where(F.col("missing") > 0)
+    flag = F.concat(F.lit(prep.FLAG_PREFIX), "column_name").alias("feature")
+    return rounded(table.select(flag, "missing", (F.col("missing") / F.col("rows")).alias("share")))
+
+
+@query
+def scaler_params(spark, sf_dir):
+    """Centre and scale of both scalers after gaps are filled."""
+    counts = prep.value_counts(star.base(spark, sf_dir), NUMERIC_FEATURES, [])
+    table = prep.numeric_parameters(counts)
+    return rounded(
+        table.select("column_name", "mean", "std", "median", (F.col("p75") - F.col("p25")).alias("iqr")), 4
+    )
+
+
+@query
+def one_hot_rare(spark, sf_dir):
+    counts = prep.value_counts(star.base(spark, sf_dir), [], CATEGORICAL_FEATURES)
+    levels = prep.category_levels(counts).drop("fit")
+    return levels.select("column_name", "level", "rows", *[F.col(c).cast("int").alias(c) for c in ("is_filler", "is_rare")])
+
+
+@query
+def prepared_features(spark, sf_dir):
+    """The prepared features of every row, summed up per feature."""
+    df = star.base(spark, sf_dir)
+    spec = prep.fit_specs(df, NUMERIC_FEATURES, CATEGORICAL_FEATURES)[prep.ALL]
+    wide = df.select(*[x.alias(name) for name, x in prep.feature_expressions(spec).items()])
+    long = profiling.unpivot(wide, wide.columns, "feature", "x", [], "double")
+    sums = long.groupBy("feature").agg(F.sum(F.col("x") * F.col("x")).alias("squares"), F.max("x").alias("highest"))
+    return rounded(sums, 4)
+
+
+@query
+def baseline_prior(spark, sf_dir):
+    """The class-prior model on the train side: its score, and its accuracy and F1 on the test side."""
+    df = sampling.group_split(star.base(spark, sf_dir), 0.25, SEED)
+    model = models.ClassPrior().fit(df.where("NOT is_test"))
+    scores = model.transform(df.where("is_test")).withColumn("score", F.lit(model.getOrDefault(model.share)))
+    table = metrics.class_metrics(scores, F.col("prediction"), weight=None)
+    return rounded(table.select(F.lit(model.getOrDefault(model.share)).alias("score"), "accuracy", F.col("f1_1").alias("f1")))
+
+
+@query
+def gaussian_nb_params(spark, sf_dir):
+    columns = ["group_rate_prior_year", "region_rate_prior_year", "target"]
+    return rounded(models.gaussian_parameters(star.base(spark, sf_dir), columns), 4)
+
+
+# --- risk and profiles ---------------------------------------------------------------------------
+
+
+def units_at_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit table from the fixed score."""
+    return star.stored(spark, sf_dir, "unit_risk", lambda: risk.unit_risk(scored(spark, sf_dir)))
+
+
+def fixed_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units with z-scores and a fixed assignment: the quarter of the scale the predicted rate is in."""
+    units = segments.profile_matrix(units_at_risk(spark, sf_dir))
+    half = F.when(F.col("predicted_rate") >= 55, 2).otherwise(0)
+    return units.withColumn("profile", half + F.when(F.col("no_target") | (F.col("target") >= 60), 1).otherwise(0))
+
+
+@query
+def unit_risk(spark, sf_dir):
+    df = risk.unit_risk(scored(spark, sf_dir))
+    flags = [F.col(c).cast("int").alias(c) for c in ("no_target", "at_risk")]
+    return rounded(df.select(*[c for c in df.columns if c not in ("no_target", "at_risk")], *flags))
+
+
+@query
+def top_risk_units(spark, sf_dir):
+    named = risk.with_names(risk.top_risk(units_at_risk(spark, sf_dir)), star.inputs(spark, sf_dir).names)
+    return rounded(named.select("group_id", "group_name", "region1", "region1_dim", "network", "predicted_rate", "target", "rows"))
+
+
+@query
+def risk_by_region(spark, sf_dir):
+    return risk.risk_by_region(units_at_risk(spark, sf_dir))
+
+
+@query
+def risk_summary(spark, sf_dir):
+    return risk.risk_summary(units_at_risk(spark, sf_dir))
+
+
+@query
+def rate_error_vs_naive(spark, sf_dir):
+    return risk.rate_errors(units_at_risk(spark, sf_dir))
+
+
+@query
+def contradictory_units(spark, sf_dir):
+    """Targets and history must be the same for everybody in a unit: no rows."""
+    return risk.contradictory_units(star.base(spark, sf_dir))
+
+
+@query
+def profile_matrix(spark, sf_dir):
+    return rounded(segments.profile_matrix(units_at_risk(spark, sf_dir)).select("group_id", "network", *segments.DIMS))
+
+
+@query
+def cluster_inertia(spark, sf_dir):
+    return rounded(segments.inertia(fixed_profiles(spark, sf_dir)))
+
+
+@query
+def silhouette_sq(spark, sf_dir):
+    return rounded(segments.silhouette(fixed_profiles(spark, sf_dir)))
+
+
+@query
+def davies_bouldin(spark, sf_dir):
+    return rounded(segments.davies_bouldin(fixed_profiles(spark, sf_dir)))
+
+
+@query
+def profile_summary(spark, sf_dir):
+    """Profile table, next to the number of units that carry each name."""
+    assigned = fixed_profiles(spark, sf_dir)
+    summary = segments.profile_summary(assigned)
+    named = segments.with_profile_names(assigned, summary).groupBy("profile_name").agg(F.count("*").alias("named_units"))
+    return summary.join(named, "profile_name")
+
+
+# --- selections over result tables ---------------------------------------------------------------
+
+
+def step_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A curve derived from the data: Brier score of the fixed score as one form after the other is added."""
+    miss = F.col("score") - F.col("label")
+    sums = scored(spark, sf_dir).groupBy("form").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w"), F.sum(F.col("weight") * miss * miss).alias("e")
+    )
+    steps = running_sums(sums, [], [("form", True)], ["n", "w", "e"])
+    upto = {c: F.col(f"{c}_before") + F.col(c) for c in ("n", "w", "e")}
+    return steps.select(upto["n"].alias("train_rows"), (upto["e"] / upto["w"]).alias("validation_auc"))
+
+
+@query
+def argmax_step(spark, sf_dir):
+    return rounded(models.best_row(step_curve(spark, sf_dir), "validation_auc", "train_rows"))
+
+
+@query
+def curve_last_step(spark, sf_dir):
+    return rounded(models.last_step(step_curve(spark, sf_dir)))
+
+
+@query
+def ablation_join(spark, sf_dir):
+    """Two comparison tables side by side: AUC of the fixed score with and without its last term."""
+    df = scored(spark, sf_dir).withColumn("model", F.col("network"))
+    cut = df.withColumn("score", F.col("score") - F.col("weight") / 250)
+    tables = [
+        metrics.ranking_metrics(d, ["model"]).select("model", F.round("roc_auc", 4).alias("roc_auc")) for d in (df, cut)
+    ]
+    return models.ablation_table(*tables)
+
+
+@query
+def importance_agreement(spark, sf_dir):
+    """Leaders of two rankings of the same columns: strength of correlation and completeness."""
+    df = star.base(spark, sf_dir)
+    first = profiling.label_correlations(df, NUMERIC_FEATURES).withColumn("strength", F.abs("correlation"))
+    second = profiling.column_coverage(df, NUMERIC_FEATURES, only_incomplete=False)
+    table = explain.top_agreement(first, second, "strength", "coverage")
+    return table.withColumn("agree", F.col("agree").cast("int"))
+
+
+# --- model fits ----------------------------------------------------------------------------------
+# Fewer rounds and trees than the defaults: what is checked here is the job, not the learner.
+
+ROUNDS, TREES, PARALLELISM = 5, 10, 8
+
+
+def train_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sides(spark, sf_dir).where("NOT is_test").drop("is_test")
+
+
+def test_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sides(spark, sf_dir).where("is_test").drop("is_test")
+
+
+def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stored(
+        spark, sf_dir, "sides", lambda: sampling.group_split(star.base(spark, sf_dir).drop("fixed_score"), 0.25, SEED)
+    )
+
+
+_models: dict[tuple[str, str], object] = {}
+
+
+def fitted(spark: SparkSession, sf_dir: str):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _models:
+        _models[key] = models.fit_pipeline(train_side(spark, sf_dir), models.boosting(ROUNDS))
+    return _models[key]
+
+
+def quick_candidates() -> dict:
+    return models.candidates(rounds=ROUNDS, trees=TREES)
+
+
+@query
+def cv_model_comparison(spark, sf_dir):
+    return models.compare(train_side(spark, sf_dir), models=quick_candidates(), parallelism=PARALLELISM)
+
+
+@query
+def scaler_comparison(spark, sf_dir):
+    chosen = {m: b for m, b in quick_candidates().items() if m in ("logistic_regression", "naive_bayes", "linear_svm")}
+    train = train_side(spark, sf_dir)
+    tables = [
+        models.compare(train, scaler, k=3, models=chosen, parallelism=PARALLELISM).withColumn("scaler", F.lit(scaler))
+        for scaler in ("standard", "robust")
+    ]
+    return tables[0].unionByName(tables[1])
+
+
+@query
+def ablation(spark, sf_dir):
+    chosen = {m: b for m, b in quick_candidates().items() if m in ("logistic_regression", "naive_bayes", "gradient_boosting")}
+    options = {"k": 3, "models": chosen, "parallelism": PARALLELISM}
+    train = train_side(spark, sf_dir)
+    return models.ablation(train, models.compare(train, **options), **options)
+
+
+@query
+def learning_curve(spark, sf_dir):
+    return models.learning_curve(train_side(spark, sf_dir), n=None, build=models.boosting(ROUNDS), parallelism=PARALLELISM)
+
+
+@query
+def validation_curve(spark, sf_dir):
+    return models.validation_curve(train_side(spark, sf_dir), n=None, rounds=ROUNDS, parallelism=PARALLELISM)
+
+
+@query
+def random_search(spark, sf_dir):
+    space = {**models.SEARCH_SPACE, "rounds": [ROUNDS, 2 * ROUNDS]}
+    return models.random_search(train_side(spark, sf_dir), n_iter=4, space=space, parallelism=PARALLELISM)
+
+
+@query
+def oof_scores(spark, sf_dir):
+    df = models.out_of_fold(star.base(spark, sf_dir).drop("fixed_score"), models.boosting(ROUNDS))
+    return df.select("unit_id", "group_id", "fold", "score")
+
+
+@query
+def batch_scoring(spark, sf_dir):
+    return models.score_rows(fitted(spark, sf_dir), test_side(spark, sf_dir)).select("unit_id", "label", "score")
+
+
+@query
+def permutation_importance(spark, sf_dir):
+    return explain.permutation_importance(fitted(spark, sf_dir), test_side(spark, sf_dir), n=None)
+
+
+@query
+def mean_abs_shap(spark, sf_dir):
+    return explain.mean_abs_contribution(fitted(spark, sf_dir), test_side(spark, sf_dir), n=None)
+
+
+@query
+def shap_long_table(spark, sf_dir):
+    """Value and contribution per individual of the features with the largest effect (a top 15 chart)."""
+    model, test = fitted(spark, sf_dir), test_side(spark, sf_dir)
+    top = [r["column_name"] for r in explain.mean_abs_contribution(model, test, n=None).limit(15).collect()]
+    return explain.contribution_rows(model, test, top)
+
+
+@query
+def kmeans_profiles(spark, sf_dir):
+    return segments.assign_profiles(units_at_risk(spark, sf_dir)).select("group_id", "network", "profile", *segments.DIMS)
+
+
+@query
+def k_scan(spark, sf_dir):
+    return segments.k_scan(units_at_risk(spark, sf_dir), restarts=2)
+
+
+@query
+def pca_projection(spark, sf_dir):
+    placed, shares = segments.projection(fixed_profiles(spark, sf_dir))
+    return placed.select("group_id", "network", "profile", "component_1", "component_2", F.lit(sum(shares)).alias("explained"))
+
+
+# --- reports -------------------------------------------------------------------------------------
+
+
+@query
+def exploratory_report(spark, sf_dir):
+    """The exploratory tables as one JSON document each."""
+    tables = reports.exploratory_tables(star.base(spark, sf_dir).drop("fixed_score"))
+    rows = [reports.as_json({name: df}).select(F.lit(name).alias("table_name"), "document") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query
+def design_counts(spark, sf_dir):
+    return reports.design(train_side(spark, sf_dir), test_side(spark, sf_dir))
+
+
+@query
+def strategy_summary(spark, sf_dir):
+    """Risk counts and errors next to each other, as the strategy summary lists them."""
+    units = units_at_risk(spark, sf_dir)
+    parts = [risk.risk_summary(units), risk.rate_errors(units).withColumnRenamed("units", "compared_units")]
+    joined = parts[0].withColumn("_all", F.lit(0)).join(parts[1].withColumn("_all", F.lit(0)), "_all")
+    return joined.drop("_all")
