@@ -67,4 +67,11 @@ def lerp(low: Column, high: Column, share: Column) -> Column:
 
 
 def weighted_mean(x: str, weight: str) -> Column:
-    return F.sum(F.col(weight) * F.col(x)) / F.sum(weight)
+    """Weighted mean; null when all weights are zero."""
+    return F.try_divide(F.sum(F.col(weight) * F.col(x)), F.sum(weight))
+
+
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over the rows where both are known; null, not an error, for a constant."""
+    spread = [F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) for a, b in ((x, y), (y, x))]
+    return F.try_divide(F.covar_pop(x, y), spread[0] * spread[1])

@@ -11,13 +11,14 @@ from pyspark.sql import Window as W
 
 from forerate.contracts import PROVENANCE
 from forerate.functions.ordering import exact_quantiles
-from forerate.functions.scalars import round_half_even
+from forerate.functions.scalars import correlation, round_half_even
 from forerate.sources.staging import staged
 from forerate.sources.tables import unit_rows
 
 log = logging.getLogger(__name__)
 
 UNIT_KEYS = ["group_id", "network"]
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 class LeakError(ValueError):
@@ -29,15 +30,24 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
 
 
-def require_unique(tables: dict[str, tuple[DataFrame, list[str]]]) -> None:
-    """Check in one job that no table would multiply the rows it is joined to."""
-    found = [
-        duplicate_keys(df, keys).select(F.lit(name).alias("table"), F.concat_ws(", ", *keys).alias("key"), "rows")
+def table_sizes(tables: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, int]:
+    """Rows per table, in one job; raises if a table would multiply the rows it is joined to."""
+    counted = [
+        df.groupBy(*keys).count().agg(F.lit(name).alias("name"), F.sum("count").alias("rows"), F.max("count").alias("most"))
         for name, (df, keys) in tables.items()
     ]
-    first = reduce(DataFrame.unionByName, found).first()
-    if first:
-        raise ValueError(f"{first['table']}: key ({first['key']}) has {first['rows']} rows")
+    sizes = reduce(DataFrame.unionByName, counted).collect()
+    for r in sizes:
+        if (r["most"] or 0) > 1:
+            df, keys = tables[r["name"]]
+            raise ValueError(f"{r['name']}: {duplicate_keys(df, keys).first().asDict()} is not unique")
+    return {r["name"]: r["rows"] or 0 for r in sizes}
+
+
+def left_lookup(rows: DataFrame, place: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Left join with a table of places. Up to ``MAX_BROADCAST_ROWS`` it is sent to every executor and
+    the rows stay where they are; beyond that both sides are shuffled and hot places are split."""
+    return rows.join(F.broadcast(place) if size <= MAX_BROADCAST_ROWS else place, keys, "left")
 
 
 def dispersion(rows: DataFrame) -> DataFrame:
@@ -86,17 +96,14 @@ def prior_rates(group_indicator: DataFrame, published: DataFrame, base_year: int
 def group_context(
     units: DataFrame, group_indicator: DataFrame, published: DataFrame, base_year: int, grade: str = "2"
 ) -> DataFrame:
-    """Prior-year context per group and network.
-
-    The result is staged: one aggregation over the base year, then a table of known size.
-    """
+    """Prior-year context per group and network."""
     rates = prior_rates(group_indicator, published, base_year).select(
         *UNIT_KEYS,
         "group_mean_prior_year",
         F.coalesce("derived_rate", "reserve_rate").alias("group_rate_prior_year"),
     )
     spread = dispersion(unit_rows(units, base_year, [*UNIT_KEYS, "score_raw"], grade))
-    return staged(rates.join(spread, UNIT_KEYS, "full"), "group_context")
+    return rates.join(spread, UNIT_KEYS, "full")
 
 
 def reserve_coverage(group_indicator: DataFrame, published: DataFrame, base_year: int) -> DataFrame:
@@ -110,8 +117,8 @@ def reserve_coverage(group_indicator: DataFrame, published: DataFrame, base_year
         F.count_if(derived).alias("from_derived"),
         F.count_if(reserve).alias("from_reserve"),
         F.count_if(~derived & ~reserve).alias("without_rate"),
-        (F.count_if(derived) / total).alias("derived_share"),
-        (F.count_if(derived | reserve) / total).alias("covered_share"),
+        F.try_divide(F.count_if(derived), total).alias("derived_share"),
+        F.try_divide(F.count_if(derived | reserve), total).alias("covered_share"),
     )
 
 
@@ -221,7 +228,7 @@ def key_stability(units: DataFrame, base_year: int, target_year: int, grade: str
             F.lit(key).alias("level"),
             F.count("*").alias("keys_in_both_years"),
             kept.alias("share_same_group"),
-            F.corr("r0", "r1").alias("rate_correlation"),
+            correlation("r0", "r1").alias("rate_correlation"),
         )
 
     return level("site_id", F.avg("kept")).unionByName(level("group_id", F.avg(F.lit(1))))

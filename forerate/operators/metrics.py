@@ -181,8 +181,8 @@ def calibration(
     return (
         df.groupBy(place.alias("bin"))
         .agg(
-            (F.sum(w * F.col(score)) / F.sum(w)).alias("mean_score"),
-            (F.sum(w * F.col(label)) / F.sum(w)).alias("observed_rate"),
+            F.try_divide(F.sum(w * F.col(score)), F.sum(w)).alias("mean_score"),
+            F.try_divide(F.sum(w * F.col(label)), F.sum(w)).alias("observed_rate"),
             F.count("*").alias("rows"),
         )
     )

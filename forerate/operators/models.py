@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from forerate.contracts import ENRICHMENT_FEATURES, feature_columns
 from forerate.functions.ordering import hash_cuts
-from forerate.functions.scalars import seeded_hash
+from forerate.functions.scalars import seeded_hash, weighted_mean
 from forerate.operators.metrics import class_metrics, ranking_metrics
 from forerate.operators.prep import TabularPrep, TabularPrepModel, feature_vector, fit_specs
 from forerate.operators.sampling import HASH, simple_sample, with_folds
@@ -53,7 +53,7 @@ class ClassPrior(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         super().__init__()
 
     def _fit(self, dataset: DataFrame) -> ClassPriorModel:
-        share = dataset.agg(F.sum(F.col("weight") * F.col("label")) / F.sum("weight")).first()[0]
+        share = dataset.agg(weighted_mean("label", "weight")).first()[0]
         return ClassPriorModel(share=share)
 
 
@@ -450,8 +450,8 @@ def gaussian_parameters(df: DataFrame, columns: list[str], label: str = "label",
     long = df.select(F.col(label).alias("label"), w.cast("double").alias("w"), F.inline(F.array(*cells)))
     sums = long.dropna(subset=["x"]).groupBy("label", "column_name", "centre").agg(
         F.sum("w").alias("w"),
-        (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("shift"),
-        (F.sum(F.col("w") * F.col("x") * F.col("x")) / F.sum("w")).alias("square"),
+        F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum("w")).alias("shift"),
+        F.try_divide(F.sum(F.col("w") * F.col("x") * F.col("x")), F.sum("w")).alias("square"),
     )
     return sums.select(
         "label",

@@ -20,7 +20,7 @@ def unpivot(df: DataFrame, columns: list[str], name: str, value: str, keep: list
 def column_coverage(df: DataFrame, columns: list[str] | None = None, only_incomplete: bool = True) -> DataFrame:
     """Percentage of non-null values per column, lowest first."""
     columns = columns or df.columns
-    shares = df.agg(*[(100 * F.count(c) / F.count("*")).alias(c) for c in columns])
+    shares = df.agg(*[F.try_divide(100.0 * F.count(c), F.count("*")).alias(c) for c in columns])
     table = unpivot(shares, columns, "column_name", "coverage", [], "double")
     if only_incomplete:
         table = table.where(F.col("coverage") < 100)
@@ -31,7 +31,7 @@ def label_share(df: DataFrame, label: str = "label") -> DataFrame:
     """Share of each label in percent."""
     sums = df.agg(F.count(label).alias("n"), F.sum(label).cast("long").alias("yes"))
     cells = [
-        F.struct(F.lit(v).alias("label"), rows.alias("rows"), (100 * rows / F.col("n")).alias("share"))
+        F.struct(F.lit(v).alias("label"), rows.alias("rows"), F.try_divide(100.0 * rows, F.col("n")).alias("share"))
         for v, rows in ((0, F.col("n") - F.col("yes")), (1, F.col("yes")))
     ]
     return sums.select(F.inline(F.array(*cells)))

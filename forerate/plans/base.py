@@ -5,19 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forerate.contracts import ENRICHMENT_FEATURES
 from forerate.functions.scalars import is_yes, round_half_even
 from forerate.operators.context import (
     UNIT_KEYS,
     audited_enrichment,
     group_context,
     group_targets,
+    left_lookup,
     national_target,
     region_context,
     region_targets,
-    require_unique,
+    table_sizes,
 )
+from forerate.sources.staging import staged
 from forerate.sources.tables import Inputs, unit_rows
 
+CONTEXT_COLUMNS = [
+    "group_rate_prior_year",
+    "group_mean_prior_year",
+    "group_std_prior_year",
+    "group_p25_prior_year",
+    "group_p75_prior_year",
+    "group_n_prior_year",
+    "region_rate_prior_year",
+    "region_mean_prior_year",
+    "target",
+    "region_target",
+]
 PASS_THROUGH = ["unit_id", "site_id", "group_id", "region1", "network", "form", "weight"]
 
 
@@ -33,33 +48,32 @@ def analytical_base(
 ) -> DataFrame:
     """Assemble the base with one pass over each year of the unit table.
 
-    Everything the units are joined to has at most one row per place and network. The group context
-    is staged and the rest are filtered stored tables, so the planner knows their sizes: it
-    broadcasts what is small and otherwise shuffles, splitting hot groups. ``null_label`` says whether a missing label counts as 0 (``zero``) or the row is left
-    out (``drop``). ``extra`` carries further unit columns through.
+    Everything known about a place is first put together in one table per key, so the units are
+    joined once per key and not once per source. The size and the uniqueness of those tables are
+    checked before they are joined. ``null_label`` says whether a missing label counts as 0
+    (``zero``) or the row is left out (``drop``). ``extra`` carries further unit columns through.
     """
     units = unit_rows(inputs.units, target_year, [*PASS_THROUGH, "label", *(extra or [])], grade)
     if null_label == "drop":
         units = units.dropna(subset=["label"])
     context = group_context(inputs.units, inputs.group_indicator, inputs.published, base_year, grade)
+    targets = group_targets(inputs.group_indicator, target_year)
+    region = region_context(inputs.region_indicator, base_year)
+    agreed = region_targets(inputs.region_indicator, target_year, whole_network)
+    region_keys = ["region1", "network"]
     places = {
-        "group_context": (context, UNIT_KEYS),
-        "region_context": (region_context(inputs.region_indicator, base_year), ["region1", "network"]),
-        "group_targets": (group_targets(inputs.group_indicator, target_year), UNIT_KEYS),
-        "region_targets": (
-            region_targets(inputs.region_indicator, target_year, whole_network),
-            ["region1", "network"],
-        ),
+        "group and network": (staged(context.join(targets, UNIT_KEYS, "full"), "group_places"), UNIT_KEYS),
+        "region and network": (staged(region.join(agreed, region_keys, "full"), "region_places"), region_keys),
+        "regions": (inputs.regions, ["region1"]),
     }
     enrichment = audited_enrichment(inputs.enrichment, base_year, gdp_lag)
     if enrichment is not None:
         places["enrichment"] = (enrichment, ["group_id"])
+    sizes = table_sizes(places)
 
-    require_unique({**places, "regions": (inputs.regions, ["region1"])})
-
-    base = units.withColumn("label", is_yes(F.col("label"))).join(inputs.regions, "region1", "left")
-    for place, keys in places.values():
-        base = base.join(place, keys, "left")
+    base = units.withColumn("label", is_yes(F.col("label")))
+    for name, (place, keys) in places.items():
+        base = left_lookup(base, place, keys, sizes[name])
 
     gaps = {
         "gap_target_start": F.col("target") - F.col("group_rate_prior_year"),
@@ -70,5 +84,10 @@ def analytical_base(
         gaps["gap_target_national"] = F.col("target") - F.lit(nation)
     base = base.withColumns({name: round_half_even(gap, 2) for name, gap in gaps.items()})
 
-    added = ["region2", *[c for place, keys in places.values() for c in place.columns if c not in keys], *gaps]
-    return base.select(*PASS_THROUGH, "label", *added, *(extra or []))
+    known = [
+        "region2",
+        *CONTEXT_COLUMNS,
+        *(ENRICHMENT_FEATURES if enrichment is not None else []),
+        *gaps,
+    ]
+    return base.select(*PASS_THROUGH, "label", *known, *(extra or []))

@@ -32,15 +32,31 @@ def in_year(ts: Column, year: int) -> Column:
     return (ts >= F.expr(day.format(year))) & (ts < F.expr(day.format(year + 1)))
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A derived input table, written once per application: the jobs read stored tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = staged(make(), name)
+    return _stored[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "places", lambda: places(spark, sf_dir))
+
+
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier: group, region1, agreed target (none where the balance is negative)."""
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     balance = F.col("s_acctbal")
     return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("supplier"),
         pad_code(F.col("s_suppkey").cast("string")).alias("group_id"),
         F.col("s_name").alias("group_name"),
         F.col("n_name").alias("region1"),
@@ -55,18 +71,19 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items of the base and target year as individuals, with a fixed score for metric checks."""
+def units_of(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    """The line items of one year as individuals, with a fixed score for metric checks."""
     ship = F.col("l_shipdate")
-    rows = table(spark, sf_dir, "lineitem").where(in_year(ship, BASE_YEAR) | in_year(ship, TARGET_YEAR))
     score = 0.2 + 3 * F.col("l_discount") + 2 * F.col("l_tax") + F.col("l_quantity") / 250
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     unit_id = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.date_format(ship, "yyyyMMdd"))
-    where = places(spark, sf_dir).select("group_id", "region1")
-    return rows.select(
+    where = stored_places(spark, sf_dir).select("supplier", "group_id", "region1")
+    rows = table(spark, sf_dir, "lineitem").where(in_year(ship, year))
+    return rows.join(where, F.col("l_suppkey") == F.col("supplier"), "left").select(
         unit_id.alias("unit_id"),
         F.col("l_partkey").cast("string").alias("site_id"),
-        pad_code(F.col("l_suppkey").cast("string")).alias("group_id"),
+        "group_id",
+        "region1",
         F.col("l_returnflag").alias("network"),
         F.col("l_linenumber").cast("string").alias("form"),
         F.col("l_quantity").alias("weight"),
@@ -74,9 +91,14 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.rint("l_extendedprice").alias("score_raw"),
         (F.col("l_discount") > 0).alias("valid"),
         F.when(F.col("l_tax") < 0.08, "2").otherwise("3").alias("grade"),
-        F.year(ship).alias("year"),
+        F.lit(year).alias("year"),
         score.alias("fixed_score"),
-    ).join(where, "group_id", "left")
+    )
+
+
+def units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and target year. A filter on ``year`` drops the other branch before anything is read."""
+    return units_of(spark, sf_dir, BASE_YEAR).unionByName(units_of(spark, sf_dir, TARGET_YEAR))
 
 
 def unit_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,23 +196,12 @@ def yearly_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A derived input table, written once per application: the jobs read stored tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        _stored[key] = staged(make(), name)
-    return _stored[key]
-
-
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     def keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         return stored(spark, sf_dir, name, make)
 
     sums = keep("unit_sums", lambda: unit_sums(spark, sf_dir))
-    where = keep("places", lambda: places(spark, sf_dir))
+    where = stored_places(spark, sf_dir)
     yearly = keep("yearly_sources", lambda: yearly_sources(spark, sf_dir))
     return Inputs(
         units=units(spark, sf_dir),
