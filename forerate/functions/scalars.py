@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The macro-region of each of the 27 federal units.
@@ -75,3 +75,8 @@ def correlation(x: str, y: str) -> Column:
     """Pearson correlation over the rows where both are known; null, not an error, for a constant."""
     spread = [F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) for a, b in ((x, y), (y, x))]
     return F.try_divide(F.covar_pop(x, y), spread[0] * spread[1])
+
+
+def unpivot(df: DataFrame, columns: list[str], name: str, value: str, keep: list[str], cast: str) -> DataFrame:
+    """One row per (row, column): the columns' names in ``name``, their values in ``value``."""
+    return df.select(*keep, *[F.col(c).cast(cast).alias(c) for c in columns]).unpivot(keep, columns, name, value)

@@ -157,6 +157,16 @@ class Fit:
     tags: dict = field(default_factory=dict)
 
 
+ROWS_PER_TASK = 50_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Learners pass over their rows hundreds of times, so a table that was read into few partitions is
+    dealt out over the cores first. A table with enough partitions stays as it is."""
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, rows // ROWS_PER_TASK))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def fold_members(df: DataFrame, k: int, seed: int = SEED) -> DataFrame:
     """Add the group fold of each row and the fits it trains: all folds but its own."""
     folded = with_folds(df, k, seed)
@@ -181,8 +191,9 @@ def run_fits(
         .agg(F.count("*").alias("rows"), F.sum("weight").alias("weight"))
         .collect()
     }
+    dealt = spread(folded, max(size.rows for size in sizes.values()))
     prepared = {
-        number: folded.select(
+        number: dealt.select(
             F.array_contains("fits", number).alias("in_training"),
             "fold",
             F.col("label").cast("double").alias("label"),
@@ -403,7 +414,7 @@ def fit_pipeline(train: DataFrame, build: Builder, scaler: str = "standard", see
     size = train.agg(F.count("*"), F.sum("weight")).first()
     prep = TabularPrep(numericCols=columns.numeric, categoricalCols=columns.categorical, scaler=scaler)
     stages = [prep, build(Training(size[0], size[1]))]
-    return Pipeline(stages=stages).fit(train.withColumn(EARLY_STOP_MARK, watched(seed)))
+    return Pipeline(stages=stages).fit(spread(train.withColumn(EARLY_STOP_MARK, watched(seed)), size[0]))
 
 
 def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -430,7 +441,8 @@ def out_of_fold(
         ready = folded.withColumns({EARLY_STOP_MARK: watched(seed), "features": feature_vector(specs[i])})
         train = ready.where(F.col("fold") != i)
         size = train.agg(F.count("*"), F.sum("weight")).first()
-        scored = build(Training(size[0], size[1])).fit(train).transform(ready.where(F.col("fold") == i))
+        model = build(Training(size[0], size[1])).fit(spread(train, size[0]))
+        scored = model.transform(ready.where(F.col("fold") == i))
         return scored.select(*df.columns, "fold", score_of(scored).alias("score"))
 
     with ThreadPoolExecutor(parallelism) as pool:

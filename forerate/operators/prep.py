@@ -8,6 +8,7 @@ serves all folds of a cross-validation, and every fit still sees its own trainin
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.ordering import counted_quantiles, running_sums, value_at
-from forerate.functions.scalars import lerp, nan_to_null
+from forerate.functions.scalars import lerp, nan_to_null, unpivot
 from forerate.sources.staging import staged
 
 # Names of the derived features.
@@ -36,25 +37,20 @@ def value_counts(df: DataFrame, numeric: list[str], categorical: list[str], fits
     Rows are counted per distinct ``fits`` array before the array is opened, so the table that is
     shuffled does not grow with the number of fits.
     """
-    empty = {"value": F.lit(None).cast("double"), "level": F.lit(None).cast("string")}
-
-    def cell(name: str, kind: str, x: Column) -> Column:
-        parts = {**empty, kind: x}
-        return F.struct(
-            F.lit(name).alias("column_name"),
-            F.lit(kind).alias("kind"),
-            parts["value"].alias("value"),
-            parts["level"].alias("level"),
-        )
-
-    cells = [cell(c, "value", nan_to_null(F.col(c).cast("double"))) for c in numeric]
-    cells += [cell(c, "level", F.col(c).cast("string")) for c in categorical]
-    member = F.array(F.lit(ALL)) if fits is None else F.col(fits)
-    long = df.select(member.alias("_fits"), F.inline(F.array(*cells)))
-    counted = long.groupBy("_fits", "column_name", "kind", "value", "level").agg(F.count("*").alias("n"))
-    opened = counted.select(F.explode("_fits").alias("fit"), "column_name", "kind", "value", "level", "n")
+    member = (F.array(F.lit(ALL)) if fits is None else F.col(fits)).alias("_fits")
+    numbers = [nan_to_null(F.col(c).cast("double")).alias(c) for c in numeric]
+    kinds = []
+    if numeric:
+        long = unpivot(df.select(member, *numbers), numeric, "column_name", "value", ["_fits"], "double")
+        kinds.append(long.select("*", F.lit("value").alias("kind"), F.lit(None).cast("string").alias("level")))
+    if categorical:
+        long = unpivot(df.select(member, *categorical), categorical, "column_name", "level", ["_fits"], "string")
+        kinds.append(long.select("*", F.lit("level").alias("kind"), F.lit(None).cast("double").alias("value")))
+    cells = ["column_name", "kind", "value", "level"]
+    counted = [k.groupBy("_fits", *cells).agg(F.count("*").alias("n")) for k in kinds]
+    opened = reduce(DataFrame.unionByName, counted).select(F.explode("_fits").alias("fit"), *cells, "n")
     if fits is not None:
-        opened = opened.groupBy("fit", "column_name", "kind", "value", "level").agg(F.sum("n").alias("n"))
+        opened = opened.groupBy("fit", *cells).agg(F.sum("n").alias("n"))
     return staged(opened, "value_counts")
 
 

@@ -8,13 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forerate.functions.scalars import round_half_even
-
-
-def unpivot(df: DataFrame, columns: list[str], name: str, value: str, keep: list[str], cast: str) -> DataFrame:
-    """One row per (row, column): the columns' names in ``name``, their values in ``value``."""
-    cells = [F.struct(F.lit(c).alias(name), F.col(c).cast(cast).alias(value)) for c in columns]
-    return df.select(*keep, F.inline(F.array(*cells)))
+from forerate.functions.scalars import round_half_even, unpivot
 
 
 def column_coverage(df: DataFrame, columns: list[str] | None = None, only_incomplete: bool = True) -> DataFrame:
@@ -94,15 +88,9 @@ def correlations(df: DataFrame, columns: list[str], with_column: str | None = No
     means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in names]).first()
     centred = [(F.col(c).cast("double") - F.lit(float(means[c]))).alias(c) for c in names]
     counted = df.select(*centred).groupBy(*names).agg(F.count("*").cast("double").alias("_n"))
-    if with_column:
-        pairs = [(c, with_column) for c in columns]
-    else:
-        pairs = list(combinations_with_replacement(names, 2))
-    cells = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for a, b in pairs
-    ]
-    long = counted.select("_n", F.inline(F.array(*cells))).dropna(subset=["x", "y"])
+    pairs = [(c, with_column) for c in columns] if with_column else combinations_with_replacement(names, 2)
+    cells = ", ".join(f"struct('{a}' AS a, '{b}' AS b, `{a}` AS x, `{b}` AS y)" for a, b in pairs)
+    long = counted.selectExpr("_n", f"inline(array({cells}))").dropna(subset=["x", "y"])
     n, x, y = F.col("_n"), F.col("x"), F.col("y")
     sums = long.groupBy("a", "b").agg(
         F.sum(n).alias("n"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from forerate.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from forerate.functions.ordering import running_sums
+from forerate.functions.scalars import unpivot
 from forerate.operators import context, explain, metrics, models, prep, profiling, risk, sampling, segments
 from forerate.operators.context import UNIT_KEYS
 from forerate.plans import reports
@@ -294,7 +295,7 @@ def prepared_features(spark, sf_dir):
     df = star.base(spark, sf_dir)
     spec = prep.fit_specs(df, NUMERIC_FEATURES, CATEGORICAL_FEATURES)[prep.ALL]
     wide = df.select(*[x.alias(name) for name, x in prep.feature_expressions(spec).items()])
-    long = profiling.unpivot(wide, wide.columns, "feature", "x", [], "double")
+    long = unpivot(wide, wide.columns, "feature", "x", [], "double")
     sums = long.groupBy("feature").agg(F.sum(F.col("x") * F.col("x")).alias("squares"), F.max("x").alias("highest"))
     return rounded(sums, 4)
 
