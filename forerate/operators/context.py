@@ -18,7 +18,6 @@ from forerate.sources.tables import unit_rows
 log = logging.getLogger(__name__)
 
 UNIT_KEYS = ["group_id", "network"]
-MAX_BROADCAST_ROWS = 1_000_000
 
 
 class LeakError(ValueError):
@@ -44,12 +43,6 @@ def table_sizes(tables: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, int
     return {r["name"]: r["rows"] or 0 for r in sizes}
 
 
-def left_lookup(rows: DataFrame, place: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Left join with a table of places. Up to ``MAX_BROADCAST_ROWS`` it is sent to every executor and
-    the rows stay where they are; beyond that both sides are shuffled and hot places are split."""
-    return rows.join(F.broadcast(place) if size <= MAX_BROADCAST_ROWS else place, keys, "left")
-
-
 def dispersion(rows: DataFrame) -> DataFrame:
     """Spread of the raw score per group and network: sample deviation, quartiles, row count.
 

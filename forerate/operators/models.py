@@ -12,11 +12,10 @@ import math
 import random
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark import inheritable_thread_target, keyword_only
+from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -38,7 +37,7 @@ from forerate.functions.scalars import seeded_hash, weighted_mean
 from forerate.operators.metrics import class_metrics, ranking_metrics
 from forerate.operators.prep import TabularPrep, TabularPrepModel, feature_vector, fit_specs
 from forerate.operators.sampling import HASH, simple_sample, with_folds
-from forerate.sources.staging import staged
+from forerate.sources.staging import side_by_side, staged
 
 SEED = 42
 EARLY_STOP_ROWS = 10_000
@@ -158,6 +157,7 @@ class Fit:
 
 
 ROWS_PER_TASK = 50_000
+MAX_CACHED_ROWS = 50_000_000
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
@@ -191,7 +191,8 @@ def run_fits(
         .agg(F.count("*").alias("rows"), F.sum("weight").alias("weight"))
         .collect()
     }
-    dealt = spread(folded, max(size.rows for size in sizes.values()))
+    largest = max(size.rows for size in sizes.values())
+    dealt = spread(folded, largest)
     prepared = {
         number: dealt.select(
             F.array_contains("fits", number).alias("in_training"),
@@ -200,9 +201,12 @@ def run_fits(
             F.col("weight").cast("double").alias("weight"),
             watched(seed).alias(EARLY_STOP_MARK),
             feature_vector(specs[number]).alias("features"),
-        ).persist()
+        )
         for number in {f.number for f in fits}
     }
+    if largest <= MAX_CACHED_ROWS:
+        # shared by the models of a fit; larger tables are read and prepared anew by each learner
+        prepared = {number: data.persist() for number, data in prepared.items()}
 
     def one(fit: Fit) -> tuple[DataFrame, float]:
         data = prepared[fit.number]
@@ -221,8 +225,7 @@ def run_fits(
         return staged(counted, "fit_scores"), seconds
 
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            done = list(pool.map(inheritable_thread_target(folded.sparkSession)(one), fits))
+        done = side_by_side(folded.sparkSession, [partial(one, f) for f in fits], parallelism)
     finally:
         for data in prepared.values():
             data.unpersist()
@@ -445,8 +448,7 @@ def out_of_fold(
         scored = model.transform(ready.where(F.col("fold") == i))
         return scored.select(*df.columns, "fold", score_of(scored).alias("score"))
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(k)))
+    parts = side_by_side(df.sparkSession, [partial(one, i) for i in range(k)], parallelism)
     return staged(reduce(DataFrame.unionByName, parts), "out_of_fold")
 
 

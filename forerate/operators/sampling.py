@@ -11,6 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forerate.functions.joins import lookup
 from forerate.functions.ordering import hash_cuts, running_sums
 from forerate.functions.scalars import seeded_hash
 from forerate.sources.staging import staged
@@ -109,4 +110,4 @@ def group_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id")
 def with_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id", name: str = "fold") -> DataFrame:
     """``df`` with the fold of each row's group."""
     folds = staged(group_folds(df, k, seed, group), "folds")
-    return df.join(folds.select(group, F.col("fold").alias(name)), group)
+    return lookup(df, folds.select(group, F.col("fold").alias(name)), [group], folds.count(), "inner")

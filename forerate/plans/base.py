@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.contracts import ENRICHMENT_FEATURES
+from forerate.functions.joins import lookup
 from forerate.functions.scalars import is_yes, round_half_even
 from forerate.operators.context import (
     UNIT_KEYS,
     audited_enrichment,
     group_context,
     group_targets,
-    left_lookup,
     national_target,
     region_context,
     region_targets,
     table_sizes,
 )
-from forerate.sources.staging import staged
+from forerate.sources.staging import side_by_side, staged
 from forerate.sources.tables import Inputs, unit_rows
 
 CONTEXT_COLUMNS = [
@@ -61,25 +61,32 @@ def analytical_base(
     region = region_context(inputs.region_indicator, base_year)
     agreed = region_targets(inputs.region_indicator, target_year, whole_network)
     region_keys = ["region1", "network"]
+    group_places, region_places, enrichment, nation = side_by_side(
+        units.sparkSession,
+        [
+            lambda: staged(context.join(targets, UNIT_KEYS, "full"), "group_places"),
+            lambda: staged(region.join(agreed, region_keys, "full"), "region_places"),
+            lambda: audited_enrichment(inputs.enrichment, base_year, gdp_lag),
+            lambda: national_target(inputs.national_indicator, target_year, whole_network),
+        ],
+    )
     places = {
-        "group and network": (staged(context.join(targets, UNIT_KEYS, "full"), "group_places"), UNIT_KEYS),
-        "region and network": (staged(region.join(agreed, region_keys, "full"), "region_places"), region_keys),
+        "group and network": (group_places, UNIT_KEYS),
+        "region and network": (region_places, region_keys),
         "regions": (inputs.regions, ["region1"]),
     }
-    enrichment = audited_enrichment(inputs.enrichment, base_year, gdp_lag)
     if enrichment is not None:
         places["enrichment"] = (enrichment, ["group_id"])
     sizes = table_sizes(places)
 
     base = units.withColumn("label", is_yes(F.col("label")))
     for name, (place, keys) in places.items():
-        base = left_lookup(base, place, keys, sizes[name])
+        base = lookup(base, place, keys, sizes[name])
 
     gaps = {
         "gap_target_start": F.col("target") - F.col("group_rate_prior_year"),
         "gap_target_region": F.col("target") - F.col("region_target"),
     }
-    nation = national_target(inputs.national_indicator, target_year, whole_network)
     if nation is not None:
         gaps["gap_target_national"] = F.col("target") - F.lit(nation)
     base = base.withColumns({name: round_half_even(gap, 2) for name, gap in gaps.items()})

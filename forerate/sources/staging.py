@@ -11,9 +11,21 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
+
+def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], R]], at_once: int = 4) -> list[R]:
+    """Results of independent Spark jobs that are submitted at the same time, in the given order."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs))
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""

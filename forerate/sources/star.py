@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from forerate.functions.scalars import pad_code
 from forerate.plans.base import analytical_base
-from forerate.sources.staging import staged
+from forerate.sources.staging import side_by_side, staged
 from forerate.sources.tables import Inputs, enrichment_extract
 
 BASE_YEAR = 1999
@@ -197,20 +197,36 @@ def yearly_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    def keep(name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        return stored(spark, sf_dir, name, make)
+    def keep(name: str, make: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: stored(spark, sf_dir, name, make)
 
-    sums = keep("unit_sums", lambda: unit_sums(spark, sf_dir))
     where = stored_places(spark, sf_dir)
-    yearly = keep("yearly_sources", lambda: yearly_sources(spark, sf_dir))
+    sums, yearly, regional = side_by_side(
+        spark,
+        [
+            keep("unit_sums", lambda: unit_sums(spark, sf_dir)),
+            keep("yearly_sources", lambda: yearly_sources(spark, sf_dir)),
+            keep("regions", lambda: regions(spark, sf_dir)),
+        ],
+    )
+    by_group, by_region, nation, official, extract = side_by_side(
+        spark,
+        [
+            keep("group_indicator", lambda: group_indicator(sums, where)),
+            keep("region_indicator", lambda: region_indicator(sums, where)),
+            keep("national_indicator", lambda: national_indicator(where)),
+            keep("published", lambda: published(sums)),
+            keep("enrichment", lambda: enrichment_extract(yearly, yearly, BASE_YEAR)),
+        ],
+    )
     return Inputs(
         units=units(spark, sf_dir),
-        group_indicator=keep("group_indicator", lambda: group_indicator(sums, where)),
-        region_indicator=keep("region_indicator", lambda: region_indicator(sums, where)),
-        national_indicator=keep("national_indicator", lambda: national_indicator(where)),
-        published=keep("published", lambda: published(sums)),
-        regions=keep("regions", lambda: regions(spark, sf_dir)),
-        enrichment=keep("enrichment", lambda: enrichment_extract(yearly, yearly, BASE_YEAR)),
+        group_indicator=by_group,
+        region_indicator=by_region,
+        national_indicator=nation,
+        published=official,
+        regions=regional,
+        enrichment=extract,
         names=where.select("group_id", "group_name", "region1"),
     )
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from forerate.functions import joins
 from forerate.functions.scalars import MACRO_REGIONS, macro_region, pad_code, round_half_even, year_number
 from forerate.operators import context
 from forerate.plans.base import analytical_base
@@ -171,7 +172,7 @@ def test_duplicate_places_are_found_before_they_multiply_rows(inputs):
 
 
 def test_large_places_are_joined_without_a_broadcast(inputs, built, monkeypatch):
-    monkeypatch.setattr(context, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
     df = analytical_base(inputs, 2023, 2024, "Pública")
     assert sorted(map(str, df.collect())) == sorted(map(str, built[0].collect()))
 
