@@ -23,7 +23,7 @@ units AS (
          CAST(l_linenumber AS VARCHAR) AS form, l_quantity AS weight,
          CASE WHEN l_extendedprice >= 30000 THEN 1 ELSE 0 END AS label, round_even(l_extendedprice, 0) AS score_raw,
          l_discount > 0 AND l_tax < 0.08 AS assessed, CAST(year(l_shipdate) AS INTEGER) AS year,
-         0.2::DOUBLE + 3 * l_discount + 2 * l_tax + l_quantity / 250 AS score
+         round_even((0.2::DOUBLE + 3 * l_discount + 2 * l_tax + l_quantity / 250) * 1024, 0) / 1024 AS score
   FROM lineitem JOIN places p ON p.group_id =
        CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 7 THEN lpad(CAST(l_suppkey AS VARCHAR), 7, '0')
             ELSE CAST(l_suppkey AS VARCHAR) END
