@@ -117,7 +117,8 @@ def category_levels(counts: DataFrame, min_frequency: float = 0.01) -> DataFrame
     )
     is_filler = F.col("level") == F.col("filler")
     rows = F.col("n") + F.when(is_filler, F.col("missing")).otherwise(0)
-    levels = table.dropna(subset=["level"]).join(sizes, KEYS)
+    # one row per fit and column, so a column with many levels is not gathered in one task
+    levels = table.dropna(subset=["level"]).join(F.broadcast(sizes), KEYS)
     return levels.select(
         *KEYS,
         "level",

@@ -137,4 +137,6 @@ def test_k_scan_prefers_the_true_number(units):
     assert [r["k"] for r in table] == [2, 3, 4, 5]
     assert [r["inertia"] for r in table] == sorted((r["inertia"] for r in table), reverse=True)
     assert max(table, key=lambda r: r["silhouette_kmeans"])["k"] == 4
+    # standardised points are centred at the origin; every family must still split them
+    assert all(r["silhouette_hierarchical"] is not None for r in table)
     assert min(table, key=lambda r: r["davies_bouldin_kmeans"])["k"] == 4
