@@ -185,6 +185,6 @@ f AS (SELECT g, min(doc_id) AS m FROM p GROUP BY 1 HAVING min(doc_id) < max(doc_
 gone AS (SELECT DISTINCT doc_id, i + j AS k FROM (SELECT p.doc_id, p.i, unnest(generate_series(0, 49)) AS j FROM p JOIN f USING (g) WHERE f.m < p.doc_id)),
 g AS (SELECT doc_id, count(*) AS n, list(k) AS ks FROM gone GROUP BY 1)
 SELECT w.doc_id, len(w) AS n_words, coalesce(g.n, 0) AS n_removed,
-  sha256(array_to_string(CASE WHEN g.n IS NULL THEN w ELSE list_filter(w, (x, k) -> NOT list_contains(g.ks, k)) END, ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN g.n IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(g.ks, k)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN g USING (doc_id)""",
 }
