@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forerate.functions.joins import lookup
 from forerate.sources.staging import staged
 
 #: What separates words: space and U+0009 to U+000D.
@@ -109,8 +108,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     lengths = ends - starts
     powers = np.cumprod(np.full(int(lengths.max()) + 1, _BASES[seed][0], dtype=U64))
     at = np.cumsum(lengths) - lengths
-    within = np.arange(int(lengths.sum())) - np.repeat(at, lengths)
-    values = (data[within + np.repeat(starts, lengths)].astype(U64) + U64(1)) * powers[within]
+    place = np.arange(int(lengths.sum()), dtype=np.int32)
+    values = data[place + np.repeat((starts - at).astype(np.int32), lengths)].astype(U64)
+    values += U64(1)
+    values *= powers[place - np.repeat(at.astype(np.int32), lengths)]
     filled = lengths > 0
     sums = np.zeros(len(starts), U64)
     if filled.any():
@@ -145,7 +146,10 @@ def shingle_sets(words: Words, hashes: np.ndarray, length: int) -> Iterator[np.n
     for d, n in enumerate(words.counts):
         a = words.bounds[d]
         if n >= length:
-            yield np.unique(grams[a : a + n - length + 1])
+            some = np.sort(grams[a : a + n - length + 1])
+            first = np.ones(len(some), dtype=bool)
+            np.not_equal(some[1:], some[:-1], out=first[1:])
+            yield some[first]
         elif n:
             yield mix(folded(hashes[a : a + n], int(n))[:1] + U64(n))
         else:
@@ -168,9 +172,15 @@ def words_sql(text: str, lower: bool = False) -> str:
     return rf"filter(split({bare}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
-def small_or_shuffled(rows: DataFrame, table: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join with a staged table, broadcast if its counted rows are few."""
-    return lookup(rows, table, keys, table.count(), how)
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """``names``, each made longer until no column has it."""
+    held = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

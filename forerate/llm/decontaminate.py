@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
-from forerate.llm.common import words_sql
+from forerate.llm.common import free_names, words_sql
 from forerate.sources.staging import staged
 
 WORDS, SHARE = 5, 0.8
@@ -31,7 +31,8 @@ WORDS, SHARE = 5, 0.8
 def shingle_hashes(words: int) -> str:
     """SQL for the hashes of all shingles of an array column ``words``."""
     at = ", ".join(f"hashed[i + {j}]" for j in range(words))
-    return f"transform(sequence(0, size(hashed) - {words}), i -> xxhash64({at}))"
+    # the planner may ask for these before it drops short texts
+    return f"if(size(hashed) >= {words}, transform(sequence(0, size(hashed) - {words}), i -> xxhash64({at})), array())"
 
 
 def with_shingles(df: DataFrame, words: int) -> DataFrame:
@@ -43,7 +44,8 @@ def with_shingles(df: DataFrame, words: int) -> DataFrame:
 def exact_shingles(words: int) -> str:
     """SQL for the distinct shingles themselves, as strings, of an array column ``words``."""
     at = ", ".join(f"words[i + {j}]" for j in range(words))
-    return f"array_distinct(transform(sequence(0, size(words) - {words}), i -> concat_ws(' ', {at})))"
+    found = f"transform(sequence(0, size(words) - {words}), i -> concat_ws(' ', {at}))"
+    return f"if(size(words) >= {words}, array_distinct({found}), array())"
 
 
 def item_sketches(items: DataFrame, words: int = WORDS, share: float = SHARE) -> DataFrame:
@@ -103,7 +105,8 @@ def contained(docs: DataFrame, items: DataFrame, words: int = WORDS, share: floa
 def decontaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, share: float = SHARE) -> DataFrame:
     """The documents, all columns, that hold no item."""
     found = staged(contained(docs, items, words, share).select("doc_id", "mark").distinct(), "contaminated")
-    found = found.withColumnsRenamed({"doc_id": "_doc", "mark": "_mark"})
+    ident, mark = free_names(docs.columns, "_doc", "_mark")
+    found = found.toDF(ident, mark)
     if found.count() <= 1_000_000:
         found = F.broadcast(found)
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left_anti")
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col(ident)) & (F.xxhash64(docs["text"]) == F.col(mark)), "left_anti")

@@ -1,9 +1,10 @@
 """Operator 5: SentencePiece encoding and decoding with a shared-prefix Viterbi.
 
-A text is marked (a space before it, every space becomes U+2581) and cut before each mark; no piece
-crosses such a cut, so words can be segmented alone. The distinct marked words of a block of texts
-are sorted, which is a depth-first walk of their trie, and the best scores of a word's prefixes are
-kept while the next word shares them: each node of the trie is scored once. The best segmentation
+A text is marked (a space before it, every space becomes U+2581) and cut before each mark, and where
+two characters meet that no piece has side by side (line ends, punctuation behind a word); no piece
+crosses such a cut, so the units can be segmented alone. The distinct units of a block of texts are
+sorted, which is a depth-first walk of their trie, and the best scores of a unit's prefixes are kept
+while the next unit shares them: each node of the trie is scored once. The best segmentation
 maximises the sum of the piece scores of a public model; a character without a piece costs the least
 score less ten and is written as its bytes, and so is a U+2581 of the text itself, which makes
 decoding an exact inverse. Ties go to the longer last piece.
@@ -16,6 +17,8 @@ encoded each. Empty tables give no rows; other columns are kept as they are unle
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from forerate.llm.token_files import gathered
 MARK = "▁"
 ENCODE_BLOCK = 16 << 20
 UNKNOWN_PENALTY = 10.0
+#: What is cut off behind a word, where no piece forbids it.
+PUNCTUATION = ".,;:!?|()[]"
 
 
 class Vocabulary:
@@ -45,9 +50,13 @@ class Vocabulary:
             for c in reversed(text):
                 node = node.setdefault(c, {})
             node[None] = (score, i)
+        inside = {(t[i], t[i + 1]) for t, _ in pieces for i in range(len(t) - 1)}
+        self.inside = inside
+        self.splits_lines = not any("\n" in t for t, _ in pieces)
         self.unknown = min((s for t, s in pieces if t and MARK not in t[1:]), default=0.0) - UNKNOWN_PENALTY
 
     @classmethod
+    @lru_cache(maxsize=2)  # once per worker process
     def load(cls, path: str) -> Vocabulary:
         import sentencepiece
 
@@ -67,22 +76,37 @@ class Vocabulary:
                 pieces.append((text, model.get_score(i)))
         return cls(pieces, byte_ids, surfaces)
 
-    def segment(self, words: Sequence[str]) -> Iterator[list[int]]:
-        """Ids of each word; ``words`` are sorted, each is a text after its mark."""
+    def units(self, word: str) -> list[str]:
+        """A marked word cut where no piece goes on: strings with ``m`` before a marked unit, else ``u``."""
+        out, kind = [], "m"
+        for part in word.split("\n") if self.splits_lines else (word,):
+            if out:
+                out.append("u\n")
+            core = part.rstrip(PUNCTUATION)
+            if core != part and core and (core[-1], part[len(core)]) not in self.inside:
+                out += [kind + core, "u" + part[len(core) :]]
+            elif part or kind == "m":
+                out.append(kind + part)
+            kind = "u"
+        return out
+
+    def segment(self, units: Sequence[str]) -> Iterator[list[int]]:
+        """Ids of each unit; ``units`` are sorted."""
         root, unknown, byte_ids = self.root, self.unknown, self.byte_ids
-        before = ""
+        before, was_marked = "", True
         best, origin, chosen = [0.0], [0], [-1]
-        for bare in words:
-            word = MARK + bare
-            shared, most = 0, min(len(word), len(before))
+        for unit in units:
+            marked = unit[0] == "m"
+            word = MARK + unit[1:] if marked else unit[1:]
+            shared, most = 0, min(len(word), len(before)) if marked == was_marked else 0
             while shared < most and word[shared] == before[shared]:
                 shared += 1
             del best[shared + 1 :], origin[shared + 1 :], chosen[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                top, start, piece = best[end - 1] + unknown, end - 1, -1
-                node, at = root, end - 1
-                # a mark inside the word is the text's own character, which only its bytes can say
-                while at >= 0 and (at == 0 or word[at] != MARK):
+                at = start = end - 1
+                top, piece, node = best[at] + unknown, -1, root
+                # a mark inside the unit is the text's own character, which only its bytes can say
+                while at >= 0 and (word[at] != MARK or (marked and not at)):
                     node = node.get(word[at])
                     if node is None:
                         break
@@ -93,14 +117,14 @@ class Vocabulary:
                 best.append(top)
                 origin.append(start)
                 chosen.append(piece)
-            before = word
+            before, was_marked = word, marked
             ids: list[int] = []
             end = len(word)
             while end:
                 if chosen[end] >= 0:
                     ids.append(chosen[end])
                 else:
-                    shown = " " if end == 1 else word[end - 1]
+                    shown = " " if marked and end == 1 else word[end - 1]
                     ids.extend(byte_ids[b] for b in reversed(shown.encode()))
                 end = origin[end]
             ids.reverse()
@@ -113,13 +137,12 @@ def piece_lists(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
     per_text = np.diff(words.offsets.to_numpy())
     empty = np.asarray(pc.equal(pc.binary_length(texts), 0))
     coded = words.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    order = sorted(range(len(distinct)), key=distinct.__getitem__)
-    found: list[list[int]] = [[]] * len(distinct)
-    for i, ids in zip(order, vocabulary.segment([distinct[i] for i in order]), strict=True):
-        found[i] = ids
-    counts = np.array([len(x) for x in found], dtype=np.int64)
-    flat = np.array([i for x in found for i in x], dtype=np.int32)
+    cut = [vocabulary.units(w) for w in coded.dictionary.to_pylist()]
+    distinct = sorted({u for units in cut for u in units})
+    ids_of = dict(zip(distinct, vocabulary.segment(distinct), strict=True))
+    found = [ids_of[units[0]] if len(units) == 1 else [i for u in units for i in ids_of[u]] for units in cut]
+    counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+    flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(counts.sum()))
     starts = np.cumsum(counts) - counts
     index = np.asarray(coded.indices, dtype=np.int64)
     index = index[~np.repeat(empty, per_text)]  # an empty text has one empty word

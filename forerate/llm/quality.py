@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
-from forerate.llm.common import U64, Words, blocks, mapped, mix, packed_lists, signed, span_hashes
+from forerate.llm.common import U64, Words, blocks, free_names, mapped, mix, packed_lists, signed, span_hashes
 from forerate.sources.staging import staged
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -195,7 +195,7 @@ def line_cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = at[~(has[at] & np.isin(keys[at], values[offsets[d] : offsets[d + 1]]))]
             texts.append(b"\n".join(bare[lines.starts[i] : lines.ends[i]] for i in at).decode())
         columns = [batch.column("host_key"), batch.column("mark"), pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=["_host", "_mark", "_left"])
+        yield pa.RecordBatch.from_arrays(columns, names=["host_key", "mark", "left"])
 
 
 def kept_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
@@ -204,16 +204,16 @@ def kept_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DO
     key = [F.xxhash64(F.col(host).cast("string")).alias("host_key"), F.xxhash64("text").alias("mark")]
     texts = docs.select(*key, F.col("text").cast("string").alias("text"))
     texts = lookup(texts, cut.select("host_key", "mark", "cut_lines"), ["host_key", "mark"], cut.count(), "inner")
-    left = mapped(texts.select("host_key", "mark", "text", "cut_lines"), line_cutter, "_host long, _mark long, _left string")
-    left = staged(left.dropDuplicates(["_host", "_mark"]), "left")
-    dropped = staged(out.where("not kept").selectExpr("host_key _host", "mark _mark").distinct(), "dropped")
-    keys = {"_host": F.xxhash64(F.col(host).cast("string")), "_mark": F.xxhash64("text")}
-    rows = docs.withColumns(keys)
-    rows = lookup(rows, dropped, ["_host", "_mark"], dropped.count(), "left_anti")
+    left = mapped(texts.select("host_key", "mark", "text", "cut_lines"), line_cutter, "host_key long, mark long, left string")
+    at, mark, text = free_names(docs.columns, "_host", "_mark", "_text")
+    left = staged(left.dropDuplicates(["host_key", "mark"]).toDF(at, mark, text), "left")
+    dropped = staged(out.where("not kept").select("host_key", "mark").distinct().toDF(at, mark), "dropped")
+    rows = docs.withColumns({at: F.xxhash64(F.col(host).cast("string")), mark: F.xxhash64("text")})
+    rows = lookup(rows, dropped, [at, mark], dropped.count(), "left_anti")
     if left.count() <= MAX_BROADCAST_TEXTS:
         left = F.broadcast(left)
-    rows = rows.join(left, ["_host", "_mark"], "left")
-    changed = {"text": F.coalesce("_left", "text")}
+    rows = rows.join(left, [at, mark], "left")
+    changed = {"text": F.coalesce(text, "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_left").isNotNull(), F.char_length("_left").cast("long")).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.col(text).isNotNull(), F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
     return rows.withColumns(changed).select(*docs.columns)

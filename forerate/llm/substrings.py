@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
-from forerate.llm.common import U64, Words, blocks, folded, mapped, mix, packed_lists, signed
+from forerate.llm.common import Words, blocks, folded, free_names, mapped, mix, packed_lists, signed
 from forerate.sources.staging import staged
 
 WINDOW, FIRST = 50, 25
@@ -249,14 +249,15 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -
     """The documents, all columns, with the text that is left; ``n_chars``, if there, is counted anew."""
     bare = plain(docs)
     rows, starts = found(bare, window, first)
-    cut = cut_texts(bare, starts, window).select("doc_id", "mark", F.col("text").alias("_left"))
+    ident, mark, text = free_names(docs.columns, "_doc", "_mark", "_text")
+    cut = cut_texts(bare, starts, window).select("doc_id", "mark", "text")
     copies = rows.where((F.col("doc_id") > F.col("earliest")) & (F.col("n_words") >= window))
-    left = cut.union(copies.select("doc_id", "mark", F.lit("").alias("_left"))).dropDuplicates(["doc_id", "mark"])
-    left = staged(left.withColumnsRenamed({"doc_id": "_doc", "mark": "_mark"}), "left")
+    left = cut.union(copies.select("doc_id", "mark", F.lit("").alias("text"))).dropDuplicates(["doc_id", "mark"])
+    left = staged(left.toDF(ident, mark, text), "left")
     if left.count() <= MAX_BROADCAST_TEXTS:
         left = F.broadcast(left)
-    out = docs.join(left, (docs["doc_id"] == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_mark")), "left")
-    changed = {"text": F.coalesce("_left", "text")}
+    out = docs.join(left, (docs["doc_id"] == F.col(ident)) & (F.xxhash64(docs["text"]) == F.col(mark)), "left")
+    changed = {"text": F.coalesce(text, "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_left").isNotNull(), F.char_length("_left").cast("long")).otherwise(F.col("n_chars"))
+        changed["n_chars"] = F.when(F.col(text).isNotNull(), F.char_length(text).cast("long")).otherwise(F.col("n_chars"))
     return out.withColumns(changed).select(*docs.columns)

@@ -13,8 +13,10 @@ come. An empty table gives an empty table. Other columns of the input are ignore
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +24,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forerate.llm.common import blocks, buffers, mapped
+from forerate.llm.common import blocks, mapped
 from forerate.sources.staging import new_path
 
 #: Words are encoded so many at a time, with a special token between them.
 CHUNK = 4096
+#: Words whose ids a worker process remembers from block to block.
+MEMORY = 500_000
 ENCODE_BLOCK = 16 << 20
 #: Sizes of the written files: a row group, a page (both in bytes), rows of a page at most.
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 256 << 10, 512
@@ -34,45 +38,101 @@ ROWS = "doc_id long, part int, part_start long, n_tokens long, tokens array<int>
 
 
 class WordEncoder:
-    """Ids of single words by a tokenizer that drops white space, so that words don't affect each other."""
+    """Ids of single words by a tokenizer that drops white space, so that words don't affect each other.
+
+    Most words are letters with punctuation behind them. Their letters are one word to the tokenizer,
+    and its lower-casing and splitting leave nothing to do but what is done here; so the distinct
+    lower-cased letters go straight to its merges, and the distinct punctuation is encoded apart. All
+    other words go through the whole tokenizer.
+    """
+
+    #: Punctuation that the tokenizer keeps together and apart from letters.
+    TAIL = ".,;:!?|"
 
     def __init__(self, path: str, separator: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        parts = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(parts))
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in known.items() if t.endswith("</w>")]] = True
         self.separator, self.cut = separator, self.tokenizer.token_to_id(separator)
+        # the byte-level alphabet: printable bytes stand for themselves, the others for 256 and on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = (i for i in range(256, 512))
+        byte = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+        self.memory: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.shown = {c: "".join(byte[b] for b in chr(c).encode()) for c in range(128, 384)}
+
+    def letters(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-cased words of letters and how many each has; recent words are remembered."""
+        if len(self.memory) > MEMORY:
+            self.memory, self.ids, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+        new = [w for w in some if w not in self.memory]
+        ids, sizes = self.merged(new)
+        self.memory.update(zip(new, range(len(self.memory), len(self.memory) + len(new))))
+        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        at = np.fromiter((self.memory[w] for w in some), dtype=np.int64, count=len(some))
+        starts = np.cumsum(self.sizes) - self.sizes
+        return gathered(self.ids, starts[at], self.sizes[at]), self.sizes[at]
+
+    def merged(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters by the tokenizer's merges."""
+        texts = [w if w.isascii() else w.translate(self.shown) for w in some]
+        chunks = [texts[i : i + CHUNK] for i in range(0, len(texts), CHUNK)]
+        coded = self.merges.encode_batch_fast(chunks, is_pretokenized=True, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids, dtype=np.int32) for e in coded]) if coded else np.zeros(0, np.int32)
+        return flat, np.diff(np.concatenate([[-1], np.flatnonzero(self.ends[flat])]))
+
+    def others(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any words; a special token between them tells where one ends."""
+        alone = [w for w in some if self.separator in w]
+        if alone:
+            coded = [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype=np.int32) for w in some]
+            return np.concatenate(coded), np.array([len(x) for x in coded], dtype=np.int64)
+        chunks = [some[i : i + CHUNK] for i in range(0, len(some), CHUNK)]
+        joined = [self.separator.join(c) + self.separator for c in chunks]
+        coded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        flat = np.concatenate([np.array(e.ids, dtype=np.int32) for e in coded]) if coded else np.zeros(0, np.int32)
+        counts = np.diff(np.concatenate([[-1], np.flatnonzero(flat == self.cut)])) - 1
+        return flat[flat != self.cut], counts
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and how many each word has."""
-        ids: list[np.ndarray] = []
-        counts = np.zeros(len(words), dtype=np.int64)
-        plain = [i for i, w in enumerate(words) if self.separator not in w]
-        texts, members = [], []
-        for start in range(0, len(plain), CHUNK):
-            some = plain[start : start + CHUNK]
-            members.append(some)
-            texts.append(self.separator.join(words[i] for i in some) + self.separator)
-        odd = [i for i, w in enumerate(words) if self.separator in w]
-        found: dict[int, np.ndarray] = {}
-        for some, text in zip(members, texts, strict=True):
-            flat = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.int32)
-            ends = np.flatnonzero(flat == self.cut)
-            counts[some] = np.diff(np.concatenate([[-1], ends])) - 1
-            ids.append(flat[flat != self.cut])
-        for i in odd:
-            found[i] = np.array(self.tokenizer.encode(words[i], add_special_tokens=False).ids, dtype=np.int32)
-            counts[i] = len(found[i])
-        if not odd:
-            return (np.concatenate(ids) if ids else np.zeros(0, np.int32)), counts
-        starts = np.cumsum(counts) - counts
-        out = np.empty(int(counts.sum()), dtype=np.int32)
-        common = np.ones(len(out), dtype=bool)
-        for i, x in found.items():
-            out[starts[i] : starts[i] + len(x)] = x
-            common[starts[i] : starts[i] + len(x)] = False
-        out[common] = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return out, counts
+        plain: dict[str, int] = {}
+        other: dict[str, int] = {"": 0}
+        head, tail = np.full(len(words), -1, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        for i, w in enumerate(words):
+            core = w.rstrip(self.TAIL)
+            if core.isalpha() and (core.isascii() or (max(core) < "\u0180" and "\u0130" not in core)):
+                head[i] = plain.setdefault(core.lower(), len(plain))
+                core = w[len(core) :]
+                if core:
+                    tail[i] = other.setdefault(core, len(other))
+            else:
+                tail[i] = other.setdefault(w, len(other))
+        marked = [w for w in other if self.separator in w]
+        flat, counts = self.letters(list(plain))
+        apart = list(other)
+        if marked:
+            more, more_counts = zip(*(self.others([w]) for w in apart), strict=True)
+            more, more_counts = np.concatenate(more), np.concatenate(more_counts)
+        else:
+            more, more_counts = self.others(apart)
+        ids = np.concatenate([flat, more])
+        sizes = np.concatenate([counts, more_counts, [0]])  # the last for no head
+        starts = np.cumsum(sizes) - sizes
+        pairs = np.stack([head, tail + len(plain)], axis=1).ravel()
+        return gathered(ids, starts[pairs], sizes[pairs]), sizes[pairs].reshape(-1, 2).sum(axis=1)
+
+
+@lru_cache(maxsize=2)  # once per worker process
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -84,7 +144,7 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 
 def encoder(path: str, end_id: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = WordEncoder(path)
+        words_of = word_encoder(path)
         before = 0
         for batch in blocks(batches, ENCODE_BLOCK):
             words = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
@@ -118,11 +178,11 @@ def encoder(path: str, end_id: int):
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = 1, parts: int | None = None) -> DataFrame:
     """Token rows in ascending order of ``doc_id``, range partitioned; ``end_id`` ends every document."""
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    parts = parts or max(rows.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    keys = ["doc_id", "tie"]
+    rows = rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys)
+    rows = rows.sortWithinPartitions(*keys)
     rows = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
     return mapped(rows, encoder(tokenizer, end_id), ROWS)
 

@@ -73,7 +73,8 @@ def windows(rows: DataFrame, *keep: str, order: int = ORDER) -> DataFrame:
     """A row for every character of every URL: the character after up to ``order`` others, as ``gram``."""
     padded = F.expr(f"split(concat(repeat('{START}', {order}), url), '')")
     rows = rows.where(F.char_length("url") > 0).select(*keep, padded.alias("chars"))
-    grams = F.expr(f"transform(sequence(1, size(chars) - {order}), i -> concat_ws('', slice(chars, i, {order + 1})))")
+    found = f"transform(sequence(1, size(chars) - {order}), i -> concat_ws('', slice(chars, i, {order + 1})))"
+    grams = F.expr(f"if(size(chars) > {order}, {found}, array())")
     return rows.select(*keep, F.explode(grams).alias("gram"))
 
 
