@@ -20,6 +20,7 @@ no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,19 +29,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
-from forerate.llm.common import U64, Words, blocks, components, folded, mapped, mix, shingle_sets, signed
+from forerate.llm.common import U64, Words, blocks, components, mapped, shingle_sets, signed
 from forerate.sources.staging import staged
 
-#: Bits of a shingle's hash that name its bucket in the order, and the parts of the suffix filter.
-ORDER_BITS, PARTS = 18, 16
-SETS = "doc_id long, n long, s long, parts array<int>, bucket int, seen long"
+#: Bits of a shingle's hash that name its bucket in the order.
+ORDER_BITS = 18
+#: The suffix filter cuts a set into parts of about so many shingles, a power of two.
+PART_BITS = 3
+SETS = "doc_id long, n long, s long, parts binary, bucket int, seen long"
 
 
 def set_hash(shingles: np.ndarray) -> int:
     """A 64-bit hash of a sorted set."""
-    x = mix(shingles + U64(0x9E3779B97F4A7C15))
-    both = np.array([x.sum(dtype=U64), mix(x).sum(dtype=U64), len(shingles)], dtype=U64)
-    return int(signed(mix(folded(mix(both), 3)))[0])
+    return int.from_bytes(hashlib.blake2b(shingles, digest_size=8).digest(), "little", signed=True)
 
 
 def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
@@ -48,6 +49,21 @@ def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
     return shingle_sets(text, text.hashes(lower=True), words)
 
 
+def part_sizes(shingles: np.ndarray) -> bytes:
+    """How many of a set's shingles lie between fixed pivots, up to 255 each."""
+    bits = max(1, len(shingles).bit_length() - 1 - PART_BITS)
+    counts = np.bincount((shingles >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their part sizes."""
+    a, b = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (x, y))
+    if len(a) < len(b):
+        a, b = b, a
+    return int(np.abs(a.reshape(len(b), -1).sum(axis=1) - b).sum())
+
+
 def describe(words: int, bits: int):
     """Rows of two kinds: a document's size, set hash and part sizes; a task's counts of a bucket."""
 
@@ -56,16 +72,13 @@ def describe(words: int, bits: int):
         for batch in blocks(batches):
             sets = list(sets_of(batch, words))
             n, s = [len(x) for x in sets], [set_hash(x) for x in sets]
-            parts = [np.bincount((x & U64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.int32) for x in sets]
             seen += np.bincount((np.concatenate(sets) >> U64(64 - bits)).astype(np.int64), minlength=len(seen))
-            flat = pa.array(np.concatenate(parts), pa.int32())
-            offsets = pa.array(np.arange(0, len(flat) + 1, PARTS, dtype=np.int32))
             rows = len(n)
             columns = [
                 batch.column("doc_id"),
                 pa.array(n, pa.int64()),
                 pa.array(s, pa.int64()),
-                pa.ListArray.from_arrays(offsets, flat),
+                pa.array([part_sizes(x) for x in sets], pa.binary()),
                 pa.nulls(rows, pa.int32()),
                 pa.nulls(rows, pa.int64()),
             ]
@@ -77,7 +90,7 @@ def describe(words: int, bits: int):
                 pa.nulls(len(some), pa.int64()),
                 pa.nulls(len(some), pa.int64()),
                 pa.nulls(len(some), pa.int64()),
-                pa.nulls(len(some), pa.list_(pa.int32())),
+                pa.nulls(len(some), pa.binary()),
                 pa.array(some, pa.int32()),
                 pa.array(seen[some], pa.int64()),
             ]
@@ -151,6 +164,21 @@ def verify(percent: int):
     return work
 
 
+def near_enough(percent: int):
+    """Suffix filter: pairs whose part sizes leave the similarity possible."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = np.asarray(batch.column("xn")) + np.asarray(batch.column("yn"))
+            parts = zip(batch.column("x_parts").to_pylist(), batch.column("y_parts").to_pylist(), strict=True)
+            apart = np.fromiter((least_apart(x, y) for x, y in parts), dtype=np.int64, count=len(total))
+            rows = pa.array(np.flatnonzero((100 + percent) * (total - apart) >= 2 * percent * total))
+            names = ["x", "xn", "x_doc", "y", "yn", "y_doc"]
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(rows) for c in names], names=names)
+
+    return work
+
+
 def may_link(percent: int) -> Column:
     """Length and positional filter for rows with ``pn`` and ``qn``: places and sizes of both sets."""
     size = F.lit(0xFFFFFFFF)
@@ -169,13 +197,11 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, per
         return sets.select(*(F.col(c).alias(prefix + t) for c, t in (("s", ""), ("n", "n"), ("doc_id", "_doc"), ("parts", "_parts"))))
 
     pairs = pairs.join(named("x"), ["x", "xn"]).join(named("y"), ["y", "yn"])
-    apart = F.aggregate(F.zip_with("x_parts", "y_parts", lambda a, b: F.abs(a - b)), F.lit(0), lambda a, b: a + b)
-    total = F.col("xn") + F.col("yn")
-    pairs = pairs.where((100 + percent) * (total - apart) >= 2 * percent * total)
-    pairs = staged(pairs.select("x", "xn", "x_doc", "y", "yn", "y_doc"), "pairs")
+    schema = "x long, xn long, x_doc long, y long, yn long, y_doc long"
+    pairs = staged(mapped(pairs.select("x", "xn", "x_doc", "x_parts", "y", "yn", "y_doc", "y_parts"), near_enough(percent), schema), "pairs")
     asked = staged(pairs.selectExpr("x_doc doc_id").union(pairs.selectExpr("y_doc")).distinct(), "asked")
     texts = lookup(docs, asked, ["doc_id"], asked.count(), "inner").select("text")
-    held = staged(mapped(texts, whole_sets(words), "s long, n long, shingles binary").dropDuplicates(["s", "n"]), "sets")
+    held = staged(mapped(texts, whole_sets(words), "s long, n long, shingles binary"), "sets")
     both = pairs.join(held.toDF("y", "yn", "ys"), ["y", "yn"]).join(held.toDF("x", "xn", "xs"), ["x", "xn"])
     schema = "x long, xn long, y long, yn long"
     return staged(mapped(both.select("x", "xn", "xs", "y", "yn", "ys"), verify(percent), schema), "verified")
@@ -194,6 +220,7 @@ def classes(docs: DataFrame, words: int, percent: int, bits: int = ORDER_BITS) -
     sets = staged(known.groupBy("s", "n").agg(F.min("doc_id").alias("doc_id"), F.first("parts").alias("parts")), "classes")
 
     prefix = mapped(docs.where("doc_id is not null"), prefixes(words, bits, percent, counts), "h long, s long, pn long")
+    prefix = staged(prefix, "prefixes")
     first = prefix.groupBy("h").agg(F.min("pn").alias("qn"), F.min_by("s", "pn").alias("q"))
     met = staged(prefix.join(first, "h").where("s <> q").distinct(), "met")
     size = "& 4294967295"
