@@ -12,6 +12,7 @@ input are ignored.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -54,44 +55,44 @@ def balanced(sizes: list[tuple[int, int]], shards: int) -> list[int]:
     return out
 
 
-def rebalanced(old: list[int], sizes: list[tuple[int, int]], shards: int, slack: float = 0.0) -> list[int]:
-    """The map edited for ``shards`` shards: slots leave only shards above the mean, for those below it.
+def rebalanced(old: list[int], sizes: list[tuple[int, int]], shards: int, slack: float = 0.01) -> list[int]:
+    """The map edited for ``shards`` shards, moving few slots.
 
-    A slot moves only if the receiver stays within the mean and ``slack``, so few slots move; slots of
-    shards that no longer exist all do.
+    Slots of shards that no longer exist go to the lightest ones. Then the lightest shard takes from
+    the heaviest that has one the largest slot of at most half their difference, until what could be
+    gained is within ``slack`` of the mean. Every move brings the two shards closer.
     """
-    mean = sum(b for b, _ in sizes) / shards
+    out = list(old)
     held = [0] * shards
-    members: list[list[int]] = [[] for _ in range(shards)]
+    members: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
     homeless = []
     for slot, shard in enumerate(old):
         if shard >= shards:
             homeless.append(slot)
         else:
             held[shard] += sizes[slot][0]
-            members[shard].append(slot)
-    out = list(old)
-    heap = [(b, s) for s, b in enumerate(held)]
-    heapq.heapify(heap)
+            bisect.insort(members[shard], (sizes[slot][0], slot))
 
-    def give(slot: int) -> None:
-        b, shard = heapq.heappop(heap)
+    def give(slot: int, shard: int) -> None:
         out[slot] = shard
-        held[shard] = b + sizes[slot][0]
-        heapq.heappush(heap, (held[shard], shard))
+        held[shard] += sizes[slot][0]
+        bisect.insort(members[shard], (sizes[slot][0], slot))
 
     for slot in sorted(homeless, key=lambda i: (-sizes[i][0], i)):
-        give(slot)
-    for shard in sorted(range(shards), key=lambda s: -held[s]):
-        for slot in sorted(members[shard], key=lambda i: (-sizes[i][0], i)):
-            while heap[0][0] != held[heap[0][1]]:
-                heapq.heappop(heap)
-            if held[shard] <= mean or not sizes[slot][0]:
+        give(slot, min(range(shards), key=lambda s: (held[s], s)))
+    least = slack * sum(held) / shards
+    while True:
+        light = min(range(shards), key=lambda s: (held[s], s))
+        for heavy in sorted(range(shards), key=lambda s: (-held[s], s)):
+            gap = held[heavy] - held[light]
+            at = bisect.bisect_right(members[heavy], (gap // 2, len(sizes))) - 1
+            if gap <= least or at >= 0 and members[heavy][at][0]:
                 break
-            if held[shard] - sizes[slot][0] >= mean * (1 - slack) and heap[0][0] + sizes[slot][0] <= mean * (1 + slack):
-                held[shard] -= sizes[slot][0]
-                give(slot)
-    return out
+        if gap <= least or at < 0 or not members[heavy][at][0]:
+            return out
+        size, slot = members[heavy].pop(at)
+        held[heavy] -= size
+        give(slot, light)
 
 
 def store_map(spark: SparkSession, folder: str, version: int, shard_of: list[int], sizes: list[tuple[int, int]]) -> DataFrame:
