@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from forerate.llm.common import blocks, buffers, mapped
 
-ENCODE_BLOCK = 16 << 20
+ENCODE_BLOCK = 4 << 20
 MARK = "▁"
 
 

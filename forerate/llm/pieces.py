@@ -30,7 +30,7 @@ from forerate.llm.common import blocks, mapped
 from forerate.llm.token_files import gathered
 
 MARK = "▁"
-ENCODE_BLOCK = 16 << 20
+ENCODE_BLOCK = 4 << 20
 UNKNOWN_PENALTY = 10.0
 #: What is cut off behind a word, where no piece forbids it.
 PUNCTUATION = ".,;:!?|()[]"
