@@ -57,7 +57,8 @@ def sliced_sums(table: DataFrame, by: list[str], ranks: list[Column], measures:
 
     The slice number is written with the rows, so it cannot change when a lost task is run again.
     """
-    slices = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(least, -(-2 * table.count() // max(1, MAX_IN_TASK)))
     cut = table.repartitionByRange(slices, *[F.col(b) for b in by], *ranks)
     sliced = staged(cut.withColumn(SLICE, F.spark_partition_id()), "slices")
     sums = sliced.groupBy(*by, SLICE).agg(*[F.sum(m).alias(m) for m in measures])
@@ -89,22 +90,17 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per group; nulls are left out.
 
-    ``largest`` is the row count of the largest group if the caller has it. When it is too much for
-    one task, equal values are counted first (combined on the map side) and the counts are sliced,
-    so neither a hot group nor a value shared by many rows ends up in a single task.
+    Equal values are counted first, combined on the map side, so a value shared by many rows is one
+    row. ``largest`` is the row count of the largest group if the caller has it and it is small;
+    otherwise the counted values are measured, and sliced when a group has too many for one task.
     """
     rows = df.dropna(subset=[*by, value]).select(*by, value)
-    if (largest_group(rows, by) if largest is None else largest) <= MAX_IN_TASK:
-        ranked = rows.select(
-            *by,
-            value,
-            F.lit(1).alias("_n"),
-            (F.row_number().over(W.partitionBy(*by).orderBy(value)) - 1).alias("_n_before"),
-            F.count("*").over(W.partitionBy(*by)).alias("_n_total"),
-        )
+    counted = rows.groupBy(*by, value).agg(F.count("*").alias("_n"))
+    if largest is None or largest > MAX_IN_TASK:
+        ranked = running_sums(counted, by, [(value, True)], ["_n"])
     else:
-        counted = staged(rows.groupBy(*by, value).agg(F.count("*").alias("_n")), "counted")
-        ranked = sliced_sums(counted, by, [F.col(value).asc()], ["_n"])
+        within = W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+        ranked = counted.select("*", _before("_n", within).alias("_n_before"), F.sum("_n").over(W.partitionBy(*by)).alias("_n_total"))
     return counted_quantiles(ranked, by, value, "_n", probs)
 
 

@@ -23,14 +23,14 @@ from forerate.sources.staging import new_path, staged
 
 
 def permutation_importance(
-    model: PipelineModel, test: DataFrame, n: int | None = 20_000, repeats: int = 5, seed: int = 42
+    model: PipelineModel, test: DataFrame, n: int | None = None, repeats: int = 5, seed: int = 42
 ) -> DataFrame:
     """Mean drop of the weighted AUC when one column is shuffled, largest first.
 
     Rows are put in hash order, which is a random order. In each repeat a row takes the value of the
     row a fixed, randomly drawn distance further on (cyclically), so every value is used exactly
-    once. The donor row is joined once per repeat; all columns are then scored together. ``n=None``
-    uses all rows.
+    once. The donor row is joined once per repeat; all columns are then scored together. All rows are
+    used unless ``n`` asks for a sample.
     """
     columns = [c for part in (feature_columns(test).numeric, feature_columns(test).categorical) for c in part]
     rows = test if n is None else simple_sample(test, n, seed)
@@ -96,54 +96,62 @@ def leaf_paths(model: GBTClassificationModel, spark) -> list[dict]:
     return leaves
 
 
-def path_game(leaf: dict) -> dict:
-    """Shapley values of one leaf for each pattern of satisfied path conditions.
+def leaf_game(leaf: dict) -> dict:
+    """A leaf's path as arrays: features, the interval and cover share of each, and the leaf's value."""
+    low, high, share = (np.array(v, dtype=float) for v in zip(*leaf["path"].values()))
+    value = leaf["value"]
+    return {"features": list(leaf["path"]), "low": low, "high": high, "share": share, "value": value, "base": value * share.prod()}
+
+
+def shapley(game: dict, holds: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf's features for rows that say which path conditions hold.
 
     A feature whose condition holds passes the row on fully, a feature left out passes on its cover
-    share. With at most ``depth`` features on a path there are few patterns, so they are tabulated.
+    share. The products over all sets of the other features are summed by size of the set.
     """
-    features = list(leaf["path"])
-    low, high, share = (np.array(v, dtype=float) for v in zip(*leaf["path"].values()))
-    d = len(features)
-    holds = (np.arange(2**d)[:, None] >> np.arange(d)) & 1
-    table = np.zeros((2**d, d))
+    share, (rows, d) = game["share"], holds.shape
+    chance = np.array([1.0])
+    for s in range(1, d):
+        chance = np.append(chance, chance[-1] * s / (d - s))
+    out = np.zeros((rows, d))
     for j in range(d):
-        # coefficient s: sum over the sets of s other features of their products
-        sets = np.zeros((2**d, d))
+        sets = np.zeros((rows, d))
         sets[:, 0] = 1.0
         for i in range(d):
             if i != j:
                 grown = sets * share[i]
                 grown[:, 1:] += sets[:, :-1] * holds[:, [i]]
                 sets = grown
-        chance = np.array([1.0])
-        for s in range(1, d):
-            chance = np.append(chance, chance[-1] * s / (d - s))
-        table[:, j] = leaf["value"] * (holds[:, j] - share[j]) * (sets @ (chance / d))
-    return {"features": features, "low": low, "high": high, "table": table, "base": leaf["value"] * share.prod()}
+        out[:, j] = game["value"] * (holds[:, j] - share[j]) * (sets @ (chance / d))
+    return out
 
 
 def contributions(model: PipelineModel, df: DataFrame, key: str = "unit_id") -> tuple[DataFrame, float]:
     """(key, features, contributions) on the log-odds scale, and the expected value they add up from.
 
-    The tabulated leaves are sent to the executors once; each batch of rows looks its patterns up.
+    The leaves are sent to the executors once; they are as many as the model has. A batch computes
+    the values of each pattern of conditions that its rows show, once.
     """
     spark = df.sparkSession
     leaves = leaf_paths(model.stages[-1], spark)
     expected = sum(leaf["value"] for leaf in leaves if not leaf["path"])
-    games = [path_game(leaf) for leaf in leaves if leaf["path"]]
+    games = [leaf_game(leaf) for leaf in leaves if leaf["path"]]
     expected += sum(g["base"] for g in games)
     sent = spark.sparkContext.broadcast(games)
 
     @F.pandas_udf("array<double>")
     def explain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            x = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 0))
+            if not len(batch):
+                yield pd.Series([], dtype=object)
+                continue
+            x = np.stack(batch.to_numpy())
             phi = np.zeros_like(x)
             for g in sent.value:
                 part = x[:, g["features"]]
                 holds = (part > g["low"]) & (part <= g["high"])
-                phi[:, g["features"]] += g["table"][holds @ (1 << np.arange(len(g["features"])))]
+                _, first, of = np.unique(np.packbits(holds, axis=1), axis=0, return_index=True, return_inverse=True)
+                phi[:, g["features"]] += shapley(g, holds[first].astype(float))[of.ravel()]
             yield pd.Series(list(phi))
 
     ready = model.stages[0].transform(df).select(key, vector_to_array("features").alias("features"))
@@ -159,12 +167,15 @@ def contribution_rows(model: PipelineModel, df: DataFrame, features: list[str] |
     return long.where(F.col("column_name").isin(features)) if features else long
 
 
-def mean_abs_contribution(model: PipelineModel, df: DataFrame, n: int | None = 5_000, seed: int = 42) -> DataFrame:
-    """Mean absolute contribution of each prepared feature, largest first. ``n=None`` uses all rows."""
-    rows = df if n is None else simple_sample(df, n, seed)
+def mean_abs_contribution(model: PipelineModel, df: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
+    """Mean absolute contribution of each prepared feature, largest first, over all rows or a sample."""
+    return mean_abs_of(contribution_rows(model, df if n is None else simple_sample(df, n, seed)))
+
+
+def mean_abs_of(rows: DataFrame) -> DataFrame:
+    """Mean absolute contribution by feature, from the long table."""
     return (
-        contribution_rows(model, rows)
-        .groupBy("column_name")
+        rows.groupBy("column_name")
         .agg(round_half_even(F.avg(F.abs("contribution")), 5).alias("mean_abs_contribution"))
         .orderBy(F.desc("mean_abs_contribution"), "column_name")
     )

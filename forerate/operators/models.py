@@ -15,8 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -28,6 +27,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark import StorageLevel, keyword_only
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +35,14 @@ from forerate.contracts import ENRICHMENT_FEATURES, feature_columns
 from forerate.functions.ordering import hash_cuts
 from forerate.functions.scalars import seeded_hash, weighted_mean
 from forerate.operators.metrics import class_metrics, ranking_metrics
-from forerate.operators.prep import TabularPrep, TabularPrepModel, feature_vector, fit_specs
-from forerate.operators.sampling import HASH, simple_sample, with_folds
+from forerate.operators.prep import TabularPrep, TabularPrepModel, fit_specs, with_features
+from forerate.operators.sampling import HASH, with_folds
 from forerate.sources.staging import side_by_side, staged
 
 SEED = 42
-EARLY_STOP_ROWS = 10_000
 EARLY_STOP_MARK = "_watch"
+# Histograms of as many nodes as fit here are summed in one job, so a level of a tree is one job.
+TREE_MEMORY_MB = 1024
 
 
 class ClassPrior(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -87,8 +88,8 @@ Builder = Callable[[Training], Estimator]
 
 
 def watched(seed: int = SEED) -> Column:
-    """The seeded tenth of rows that early stopping watches."""
-    number = F.conv(F.substring(seeded_hash(seed, "unit_id"), 1, 8), 16, 10).cast("long")
+    """The seeded tenth of rows that early stopping watches, drawn apart from samples and parts."""
+    number = F.conv(F.substring(seeded_hash(seed + 1, "unit_id"), 1, 8), 16, 10).cast("long")
     return number < int(0.1 * 2**32)
 
 
@@ -96,11 +97,13 @@ COMMON = {"featuresCol": "features", "labelCol": "label", "weightCol": "weight"}
 
 
 def boosting(
-    rounds: int = 100, rate: float = 0.1, leaves: int = 31, min_leaf: int = 20, seed: int = SEED
+    rounds: int = 100, rate: float = 0.1, leaves: int = 31, min_leaf: int = 20, seed: int = SEED, early_stopping: bool = True
 ) -> Builder:
     """Histogram boosting grown by depth: the depth is the one that holds ``leaves`` leaves.
 
-    Above 10,000 training rows a seeded tenth of them is watched for early stopping.
+    With ``early_stopping`` a seeded tenth of the training rows is watched and not learned from, and
+    ``rounds`` is the most there can be; without it all rows are learned from and all rounds are run.
+    Both mean the same at every size.
     """
 
     def build(data: Training) -> Estimator:
@@ -111,9 +114,11 @@ def boosting(
             maxDepth=math.ceil(math.log2(leaves)),
             minInstancesPerNode=min_leaf,
             maxBins=255,
+            maxMemoryInMB=TREE_MEMORY_MB,
+            cacheNodeIds=False,
             seed=seed,
         )
-        if data.rows > EARLY_STOP_ROWS:
+        if early_stopping:
             gbt.setParams(validationIndicatorCol=EARLY_STOP_MARK, validationTol=1e-7)
         return gbt
 
@@ -128,10 +133,11 @@ def candidates(seed: int = SEED, rounds: int = 100, trees: int = 100) -> dict[st
             **COMMON, regParam=1 / d.weight, elasticNetParam=0.0, standardization=False, maxIter=1000
         ),
         "decision_tree": lambda d: DecisionTreeClassifier(
-            **COMMON, maxDepth=8, minInstancesPerNode=50, maxBins=255, seed=seed
+            **COMMON, maxDepth=8, minInstancesPerNode=50, maxBins=255, maxMemoryInMB=TREE_MEMORY_MB, seed=seed
         ),
         "random_forest": lambda d: RandomForestClassifier(
-            **COMMON, numTrees=trees, minInstancesPerNode=50, maxDepth=30, featureSubsetStrategy="sqrt", seed=seed
+            **COMMON, numTrees=trees, minInstancesPerNode=50, maxDepth=30, featureSubsetStrategy="sqrt",
+            maxMemoryInMB=TREE_MEMORY_MB, seed=seed
         ),
         "gradient_boosting": boosting(rounds, seed=seed),
         "linear_svm": lambda d: LinearSVC(**COMMON, regParam=1 / (0.1 * d.weight), standardization=False),
@@ -157,14 +163,12 @@ class Fit:
 
 
 ROWS_PER_TASK = 50_000
-MAX_CACHED_ROWS = 50_000_000
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Learners pass over their rows hundreds of times, so a table that was read into few partitions is
-    dealt out over the cores first. A table with enough partitions stays as it is."""
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, max(1, rows // ROWS_PER_TASK))
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    """Learners pass over their rows hundreds of times: a table of ``rows`` rows is dealt out evenly, so
+    that a task has enough rows to be worth its start."""
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)))
 
 
 def fold_members(df: DataFrame, k: int, seed: int = SEED) -> DataFrame:
@@ -174,13 +178,33 @@ def fold_members(df: DataFrame, k: int, seed: int = SEED) -> DataFrame:
     return staged(folded.withColumn("fits", others), "folded")
 
 
+def bounded_training(folded: DataFrame, max_fitted: int | None, seed: int = SEED) -> DataFrame:
+    """``folded`` with at most ``max_fitted`` training rows per fit, the first in hash order; all rows stay
+    for validation."""
+    if max_fitted is None:
+        return folded
+    members = folded.select(F.explode("fits").alias("fit"), seeded_hash(seed, "unit_id").alias(HASH))
+    rows = {r["fit"]: r["count"] for r in members.groupBy("fit").count().collect()}
+    large = [(fit, max_fitted) for fit, n in rows.items() if n > max_fitted]
+    if not large:
+        return folded
+    wanted = folded.sparkSession.createDataFrame(large, "fit int, want long")
+    cuts = {r["fit"]: r["cut"] for r in hash_cuts(members, ["fit"], HASH, wanted, max(rows.values())).collect()}
+    inside = [
+        F.when(F.array_contains("fits", fit) & (seeded_hash(seed, "unit_id") <= cuts.get(fit, "g")), F.lit(fit)) for fit in rows
+    ]
+    return staged(folded.withColumn("fits", F.array_compact(F.array(*inside))), "bounded")
+
+
 def run_fits(
     folded: DataFrame, fits: list[Fit], scaler: str = "standard", parallelism: int = 4, seed: int = SEED
 ) -> DataFrame:
     """Fit and score every model; one row per (name, number, held_out) with unweighted metrics.
 
     ``folded`` must be a stored table with the columns ``fold`` and ``fits``. Only counts per
-    distinct score are kept from the scored rows.
+    distinct score are kept from the scored rows. The rows of a fit are prepared and cached before
+    its models learn, and released after them; ``fit_seconds`` is the elapsed time of learning alone,
+    while up to ``parallelism`` other fits run.
     """
     columns = feature_columns(folded.drop("fold", "fits"))
     specs = fit_specs(folded, columns.numeric, columns.categorical, scaler, fits="fits")
@@ -191,25 +215,34 @@ def run_fits(
         .agg(F.count("*").alias("rows"), F.sum("weight").alias("weight"))
         .collect()
     }
-    largest = max(size.rows for size in sizes.values())
-    dealt = spread(folded, largest)
-    prepared = {
-        number: dealt.select(
+    numbers = sorted({f.number for f in fits})
+
+    def prepared(number: int) -> DataFrame:
+        """The rows of a fit: those it trains on and those it is validated on, with its own features."""
+        held = {f.fold for f in fits if f.number == number}
+        mine = folded.where(F.array_contains("fits", number) | F.col("fold").isin(*held))
+        ready = with_features(mine.withColumn(EARLY_STOP_MARK, watched(seed)), specs[number])
+        return spread(ready, sizes[number].rows).select(
             F.array_contains("fits", number).alias("in_training"),
             "fold",
             F.col("label").cast("double").alias("label"),
             F.col("weight").cast("double").alias("weight"),
-            watched(seed).alias(EARLY_STOP_MARK),
-            feature_vector(specs[number]).alias("features"),
+            EARLY_STOP_MARK,
+            "features",
         )
-        for number in {f.number for f in fits}
-    }
-    if largest <= MAX_CACHED_ROWS:
-        # shared by the models of a fit; larger tables are read and prepared anew by each learner
-        prepared = {number: data.persist() for number, data in prepared.items()}
 
-    def one(fit: Fit) -> tuple[DataFrame, float]:
-        data = prepared[fit.number]
+    def family(number: int) -> list[tuple[int, DataFrame, float]]:
+        """The fits that share one preparation, on one cached table."""
+        data = prepared(number).persist(StorageLevel.MEMORY_AND_DISK)
+        mine = [(i, f) for i, f in enumerate(fits) if f.number == number]
+        try:
+            data.count()
+            done = side_by_side(folded.sparkSession, [partial(one, f, data) for _, f in mine], max(1, parallelism // len(numbers)))
+            return [(i, *result) for (i, _), result in zip(mine, done)]
+        finally:
+            data.unpersist()
+
+    def one(fit: Fit, data: DataFrame) -> tuple[DataFrame, float]:
         start = time.monotonic()
         model = fit.build(sizes[fit.number]).fit(data.where("in_training"))
         seconds = time.monotonic() - start
@@ -224,16 +257,13 @@ def run_fits(
         )
         return staged(counted, "fit_scores"), seconds
 
-    try:
-        done = side_by_side(folded.sparkSession, [partial(one, f) for f in fits], parallelism)
-    finally:
-        for data in prepared.values():
-            data.unpersist()
+    groups = side_by_side(folded.sparkSession, [partial(family, n) for n in numbers], parallelism)
+    done = {i: (table, seconds) for group in groups for i, table, seconds in group}
     tagged = [
         table.select(F.lit(i).alias("run"), "held_out", "label", "prediction", "score", "rows")
-        for i, (table, _) in enumerate(done)
+        for i, (table, _) in sorted(done.items())
     ]
-    scores = staged(reduce(DataFrame.unionByName, tagged), "scores")
+    scores = reduce(DataFrame.unionByName, tagged)  # stored tables
     keys = ["run", "held_out"]
     metrics = ranking_metrics(scores, keys, weight="rows").join(
         class_metrics(scores, F.col("prediction"), keys, weight="rows").select(*keys, "accuracy", "f1_1"), keys
@@ -305,7 +335,7 @@ def ablation(
 
 def learning_curve(
     train: DataFrame,
-    n: int | None = 40_000,
+    max_fitted: int | None = None,
     k: int = 3,
     steps: int = 6,
     build: Builder | None = None,
@@ -314,16 +344,16 @@ def learning_curve(
 ) -> DataFrame:
     """Training and validation AUC on nested growing parts of the training folds.
 
-    The sizes run from 10% to 100% of the smallest training fold. A part is the rows up to a cut in
-    hash order, so each part holds the smaller ones. ``n=None`` uses all rows.
+    The sizes run from 10% to 100% of the smallest training fold, or of ``max_fitted`` rows if that is
+    less; validation rows are never cut. A part is the rows up to a cut in hash order, so each part
+    holds the smaller ones.
     """
-    sample = train if n is None else simple_sample(train, n, seed)
-    folded = fold_members(sample, k, seed).withColumn(HASH, seeded_hash(seed, "unit_id"))
+    folded = fold_members(train, k, seed).withColumn(HASH, seeded_hash(seed, "unit_id"))
     folded = staged(folded, "learning")
     members = folded.select(F.explode("fits").alias("fit"), HASH)
     rows = {r["fit"]: r["rows"] for r in members.groupBy("fit").agg(F.count("*").alias("rows")).collect()}
-    smallest = min(rows.values())
-    sizes = [int(smallest * (0.1 + 0.9 * s / (steps - 1))) for s in range(steps)]
+    smallest = min([*rows.values(), *([max_fitted] if max_fitted else [])])
+    sizes = sorted({max(1, int(smallest * (0.1 + 0.9 * s / (steps - 1)))) for s in range(steps)})
     wanted = folded.sparkSession.createDataFrame(
         [(i, size) for i in range(k) for size in sizes], "fit int, want long"
     )
@@ -331,7 +361,7 @@ def learning_curve(
         (r["fit"], r["want"]): r["cut"]
         for r in hash_cuts(members, ["fit"], HASH, wanted, max(rows.values())).collect()
     }
-    parts = [(i * steps + s, i, size) for i in range(k) for s, size in enumerate(sizes)]
+    parts = [(i * len(sizes) + s, i, size) for i in range(k) for s, size in enumerate(sizes)]
     inside = [
         F.when(F.array_contains("fits", i) & (F.col(HASH) <= cuts[i, size]), F.lit(number))
         for number, i, size in parts
@@ -345,17 +375,17 @@ def learning_curve(
 
 def validation_curve(
     train: DataFrame,
-    n: int | None = 40_000,
+    max_fitted: int | None = None,
     k: int = 3,
     leaves: tuple[int, ...] = (4, 8, 15, 31, 63, 127),
     rounds: int = 100,
     parallelism: int = 4,
     seed: int = SEED,
 ) -> DataFrame:
-    """Training and validation AUC by model complexity."""
-    sample = train if n is None else simple_sample(train, n, seed)
+    """Training and validation AUC by model complexity; ``max_fitted`` bounds the rows a model learns from."""
+    folded = bounded_training(fold_members(train, k, seed), max_fitted, seed)
     fits = [Fit(str(m), i, i, boosting(rounds, leaves=m, seed=seed)) for m in leaves for i in range(k)]
-    runs = run_fits(fold_members(sample, k, seed), fits, parallelism=parallelism, seed=seed)
+    runs = run_fits(folded, fits, parallelism=parallelism, seed=seed)
     curve = runs.groupBy(F.col("name").cast("int").alias("max_leaves")).agg(*both_sides("roc_auc"))
     return curve.orderBy("max_leaves")
 
@@ -415,9 +445,15 @@ def fit_pipeline(train: DataFrame, build: Builder, scaler: str = "standard", see
     """Preparation and model learned as one object that can be saved and applied to new rows."""
     columns = feature_columns(train)
     size = train.agg(F.count("*"), F.sum("weight")).first()
-    prep = TabularPrep(numericCols=columns.numeric, categoricalCols=columns.categorical, scaler=scaler)
-    stages = [prep, build(Training(size[0], size[1]))]
-    return Pipeline(stages=stages).fit(spread(train.withColumn(EARLY_STOP_MARK, watched(seed)), size[0]))
+    prep = TabularPrep(numericCols=columns.numeric, categoricalCols=columns.categorical, scaler=scaler).fit(train)
+    ready = prep.transform(train.withColumn(EARLY_STOP_MARK, watched(seed))).select(
+        F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"), EARLY_STOP_MARK, "features"
+    )
+    ready = spread(ready, size[0]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[prep, build(Training(size[0], size[1])).fit(ready)])
+    finally:
+        ready.unpersist()
 
 
 def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -441,10 +477,14 @@ def out_of_fold(
     specs = fit_specs(folded, columns.numeric, columns.categorical, scaler, fits="fits")
 
     def one(i: int) -> DataFrame:
-        ready = folded.withColumns({EARLY_STOP_MARK: watched(seed), "features": feature_vector(specs[i])})
-        train = ready.where(F.col("fold") != i)
+        ready = with_features(folded.withColumn(EARLY_STOP_MARK, watched(seed)), specs[i])
+        train = ready.where(F.col("fold") != i).select("label", "weight", EARLY_STOP_MARK, "features")
         size = train.agg(F.count("*"), F.sum("weight")).first()
-        model = build(Training(size[0], size[1])).fit(spread(train, size[0]))
+        train = spread(train, size[0]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model = build(Training(size[0], size[1])).fit(train)
+        finally:
+            train.unpersist()
         scored = model.transform(ready.where(F.col("fold") == i))
         return scored.select(*df.columns, "fold", score_of(scored).alias("score"))
 

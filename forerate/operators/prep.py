@@ -14,13 +14,14 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forerate.functions.joins import lookup
 from forerate.functions.ordering import counted_quantiles, running_sums, value_at
 from forerate.functions.scalars import lerp, nan_to_null, unpivot
-from forerate.sources.staging import staged
+from forerate.sources.staging import new_path, staged
 
 # Names of the derived features.
 FLAG_PREFIX = "missingindicator_"
@@ -28,7 +29,8 @@ RARE_SUFFIX = "_infrequent_sklearn"
 
 ALL = 0
 KEYS = ["fit", "column_name"]
-MAX_RARE_LEVELS = 10_000
+# Up to so many rare levels of a column are written into its expression; more are joined as a table.
+INLINE_RARE = 200
 
 
 def value_counts(df: DataFrame, numeric: list[str], categorical: list[str], fits: str | None = None) -> DataFrame:
@@ -151,8 +153,9 @@ def fit_specs(
     min_frequency: float = 0.01,
     fits: str | None = None,
 ) -> dict[int, dict]:
-    """Learned preparation per fit. What reaches the driver is bounded by fits x columns, and by
-    1 / ``min_frequency`` frequent levels per column."""
+    """Learned preparation per fit. What reaches the driver is bounded by fits x columns, by
+    1 / ``min_frequency`` frequent and ``INLINE_RARE`` rare levels per column; longer lists of rare
+    levels stay a table."""
     counts = value_counts(df, numeric, categorical, fits)
     specs: dict[int, dict] = {}
 
@@ -175,27 +178,65 @@ def fit_specs(
         spec(fit)["numeric"].append({"column": column, "fill": r["median"], "centre": centre, "scale": scale})
 
     if categorical:
-        levels = category_levels(counts, min_frequency)
-        scarce = levels.where("is_rare").limit(MAX_RARE_LEVELS + 1)
-        listed = levels.where("NOT is_rare").unionByName(scarce).collect()
-        kept = [r for r in listed if r["is_filler"] or not r["is_rare"]]
-        rare = [r for r in listed if r["is_rare"]]
-        if len(rare) > MAX_RARE_LEVELS:
-            raise ValueError("a categorical feature has too many rare levels: it is an identifier")
-        for fit in {r["fit"] for r in kept}:
-            for column in categorical:
-                mine = [r for r in kept if (r["fit"], r["column_name"]) == (fit, column)]
-                spec(fit)["categorical"].append(
-                    {
-                        "column": column,
-                        "fill": next((r["level"] for r in mine if r["is_filler"]), None),
-                        "levels": sorted(r["level"] for r in mine if not r["is_rare"]),
-                        "rare": sorted(r["level"] for r in rare if (r["fit"], r["column_name"]) == (fit, column)),
-                    }
-                )
+        levels = staged(category_levels(counts, min_frequency), "levels")
+        listed = levels.where("NOT is_rare OR is_filler").collect()
+        rare = levels.where("is_rare").select(*KEYS, "level")
+        many = {(r["fit"], r["column_name"]): r["count"] for r in rare.groupBy(*KEYS).count().collect()}
+        few = [k for k, n in many.items() if n <= INLINE_RARE]
+        inline: dict[tuple[int, str], list[str]] = {}
+        for r in rare.join(F.broadcast(_keys(levels, few)), KEYS, "left_semi").collect() if few else []:
+            inline.setdefault((r["fit"], r["column_name"]), []).append(r["level"])
+        tables = rare_tables(rare.join(F.broadcast(_keys(levels, few)), KEYS, "left_anti") if few else rare, len(many) > len(few))
+        for fit, column in sorted({(r["fit"], r["column_name"]) for r in listed}, key=lambda k: (k[0], categorical.index(k[1]))):
+            mine = [r for r in listed if (r["fit"], r["column_name"]) == (fit, column)]
+            entry = {
+                "column": column,
+                "fill": next((r["level"] for r in mine if r["is_filler"]), None),
+                "levels": sorted(r["level"] for r in mine if not r["is_rare"]),
+                "rare": sorted(inline.get((fit, column), [])),
+            }
+            if many.get((fit, column), 0) > INLINE_RARE:
+                entry["rare_table"] = {"path": tables, "fit": fit, "rows": many[fit, column]}
+            spec(fit)["categorical"].append(entry)
     return specs
 
 
+def _keys(like: DataFrame, keys: list[tuple[int, str]]) -> DataFrame:
+    """A few (fit, column) pairs as a table."""
+    return like.sparkSession.createDataFrame(keys, f"fit {like.schema['fit'].dataType.simpleString()}, column_name string")
+
+
+def rare_tables(rare: DataFrame, needed: bool) -> str | None:
+    """The rare levels of the columns that have too many to write down, stored by fit and column."""
+    if not needed:
+        return None
+    path = new_path(rare.sparkSession, "rare")
+    rare.write.parquet(path)
+    return path
+
+
+RARE_MARK = "_rare_"
+
+
+def with_rare_marks(df: DataFrame, spec: dict) -> DataFrame:
+    """``df`` with a mark for each column whose rare levels are in a table; joined by level."""
+    for s in spec["categorical"]:
+        if "rare_table" not in s:
+            continue
+        at, mark = s["rare_table"], RARE_MARK + s["column"]
+        known = df.sparkSession.read.parquet(at["path"]).where((F.col("fit") == at["fit"]) & (F.col("column_name") == s["column"]))
+        known = known.select(F.col("level").alias(f"{mark}_level"), F.lit(True).alias(mark))
+        level = F.coalesce(F.col(s["column"]).cast("string"), F.lit(s["fill"]))
+        df = lookup(df.withColumn(f"{mark}_level", level), known, [f"{mark}_level"], at["rows"]).drop(f"{mark}_level")
+    return df
+
+
+def with_features(df: DataFrame, spec: dict, name: str = "features") -> DataFrame:
+    """``df`` with the prepared features as one vector."""
+    marked = with_rare_marks(df, spec).withColumn(name, feature_vector(spec))
+    return marked.select(*[c for c in df.columns if c != name], name)
+
+
 def feature_expressions(spec: dict) -> dict[str, Column]:
     """Prepared features by name. A level never seen in training is 0 in every column."""
     out: dict[str, Column] = {}
@@ -209,7 +250,9 @@ def feature_expressions(spec: dict) -> dict[str, Column]:
         level = F.coalesce(F.col(s["column"]).cast("string"), F.lit(s["fill"]))
         for value in s["levels"]:
             out[f"{s['column']}_{value}"] = F.coalesce(level == value, F.lit(False)).cast("double")
-        if s["rare"]:
+        if "rare_table" in s:
+            out[s["column"] + RARE_SUFFIX] = F.coalesce(F.col(RARE_MARK + s["column"]), F.lit(False)).cast("double")
+        elif s["rare"]:
             out[s["column"] + RARE_SUFFIX] = F.coalesce(level.isin(s["rare"]), F.lit(False)).cast("double")
     return out
 
@@ -265,4 +308,32 @@ class TabularPrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsW
         return list(feature_expressions(self.learned()))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), feature_vector(self.learned()))
+        return with_features(dataset, self.learned(), self.getOutputCol())
+
+    def write(self) -> _PrepWriter:
+        return _PrepWriter(self)
+
+    @classmethod
+    def read(cls) -> _PrepReader:
+        return _PrepReader(cls)
+
+
+class _PrepWriter(DefaultParamsWriter):
+    """Saves tables of rare levels beside the parameters."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for s in self.instance.learned().get("categorical", []):
+            if "rare_table" in s:
+                table = self.sparkSession.read.parquet(s["rare_table"]["path"]).where(F.col("column_name") == s["column"])
+                table.where(F.col("fit") == s["rare_table"]["fit"]).write.parquet(f"{path}/rare/{s['column']}")
+
+
+class _PrepReader(DefaultParamsReader):
+    def load(self, path: str) -> TabularPrepModel:
+        model = super().load(path)
+        spec = model.learned()
+        for s in spec.get("categorical", []):
+            if "rare_table" in s:
+                s["rare_table"]["path"] = f"{path}/rare/{s['column']}"
+        return model._set(spec=json.dumps(spec))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from forerate.functions.scalars import round_half_even, unpivot
+from forerate.functions.scalars import nan_to_null, round_half_even, unpivot
 
 
 def column_coverage(df: DataFrame, columns: list[str] | None = None, only_incomplete: bool = True) -> DataFrame:
@@ -77,36 +80,45 @@ def best_and_worst(rates: DataFrame, n: int = 3) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Products of all pairs of (known, value, square) columns, summed over a task's rows."""
+    total = None
+    for batch in batches:
+        x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+        known = ~np.isnan(x)
+        x = np.where(known, x, 0.0)
+        wide = np.concatenate([known, x, x * x], axis=1)
+        total = wide.T @ wide if total is None else total + wide.T @ wide
+    if total is not None:
+        i, j = np.indices(total.shape).reshape(2, -1)
+        columns = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total.ravel(), pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["i", "j", "v"])
+
+
 def correlations(df: DataFrame, columns: list[str], with_column: str | None = None) -> DataFrame:
     """Pearson correlation of pairs of columns over the rows where both are known.
 
-    All pairs, or only the pairs with ``with_column``. Context columns repeat for everybody in a
-    place, so rows are first counted by their values (combined on the map side); the pairs are then
-    summed over distinct value combinations. Values are centred first to keep the sums exact.
+    All pairs, or only the pairs with ``with_column``. One pass sums the products of all columns in
+    each task; what is shuffled and returned has the size of the matrix, not of the data. Values are
+    centred first to keep the sums exact.
     """
     names = list(dict.fromkeys([*columns, *([with_column] if with_column else [])]))
-    means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in names]).first()
+    means = df.agg(*[F.coalesce(F.avg(nan_to_null(F.col(c).cast("double"))), F.lit(0.0)).alias(c) for c in names]).first()
     centred = [(F.col(c).cast("double") - F.lit(float(means[c]))).alias(c) for c in names]
-    counted = df.select(*centred).groupBy(*names).agg(F.count("*").cast("double").alias("_n"))
-    pairs = [(c, with_column) for c in columns] if with_column else combinations_with_replacement(names, 2)
-    cells = ", ".join(f"struct('{a}' AS a, '{b}' AS b, `{a}` AS x, `{b}` AS y)" for a, b in pairs)
-    long = counted.selectExpr("_n", f"inline(array({cells}))").dropna(subset=["x", "y"])
-    n, x, y = F.col("_n"), F.col("x"), F.col("y")
-    sums = long.groupBy("a", "b").agg(
-        F.sum(n).alias("n"),
-        F.sum(n * x).alias("sx"),
-        F.sum(n * y).alias("sy"),
-        F.sum(n * x * y).alias("sxy"),
-        F.sum(n * x * x).alias("sxx"),
-        F.sum(n * y * y).alias("syy"),
-    )
-
-    def spread(s: str, ss: str) -> Column:
-        return F.col("n") * F.col(ss) - F.col(s) * F.col(s)
-
-    shared = F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")
-    r = F.try_divide(shared, F.sqrt(spread("sx", "sxx")) * F.sqrt(spread("sy", "syy")))
-    return sums.select("a", "b", F.col("n").cast("long").alias("rows"), r.alias("r"))
+    sums = df.select(*centred).mapInArrow(moments, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
+    size = len(names)
+    m = np.zeros((3 * size, 3 * size))
+    for r in sums.collect():
+        m[r["i"], r["j"]] = r["v"]
+    place = {c: i for i, c in enumerate(names)}
+    rows = []
+    for a, b in [(c, with_column) for c in columns] if with_column else combinations_with_replacement(names, 2):
+        i, j = place[a], place[b]
+        n, sx, sy, sxy = m[i, j], m[size + i, j], m[size + j, i], m[size + i, size + j]
+        spread = max(n * m[2 * size + i, j] - sx * sx, 0.0) * max(n * m[2 * size + j, i] - sy * sy, 0.0)
+        if n:
+            rows.append((a, b, int(n), float((n * sxy - sx * sy) / spread**0.5) if spread else None))
+    return df.sparkSession.createDataFrame(rows, "a string, b string, rows long, r double")
 
 
 def label_correlations(df: DataFrame, numeric: list[str], label: str = "label") -> DataFrame:

@@ -52,7 +52,13 @@ def contradictory_units(scored: DataFrame) -> DataFrame:
 
 
 def with_names(units: DataFrame, names: DataFrame) -> DataFrame:
-    """Units with the columns of the name table; a column both have gets the suffix ``_dim``."""
+    """Units with the columns of the name table; a column both have gets the suffix ``_dim``.
+
+    Raises if a key is in the name table twice, as its units would be too.
+    """
+    twice = names.dropna(subset=["group_id"]).groupBy("group_id").count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"group {twice['group_id']} is in the name table {twice['count']} times")
     clash = {c: f"{c}_dim" for c in names.columns if c != "group_id" and c in units.columns}
     return units.join(names.withColumnsRenamed(clash), "group_id", "left")
 

@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forerate.functions.joins import lookup
+from forerate.functions.joins import MAX_BROADCAST_ROWS
 from forerate.functions.ordering import hash_cuts, running_sums
 from forerate.functions.scalars import seeded_hash
 from forerate.sources.staging import staged
@@ -63,10 +63,13 @@ def group_split(df: DataFrame, share: float = 0.25, seed: int = 42, group: str =
     """Add ``is_test``: a share of the *groups*, drawn by seeded hash, goes to the test side.
 
     Only the distinct groups are ranked. The rows are marked by comparing the hash of their group
-    with one cut-off, so there is no join and no group can end up on both sides.
+    with one cut-off, so there is no join and no group can end up on both sides. The rows without a
+    group are one group, here as in ``group_folds``.
     """
-    groups = staged(df.dropna(subset=[group]).select(group).distinct(), "groups")
+    groups = staged(df.select(group).distinct(), "groups")
     total = groups.count()
+    if not total:
+        return df.withColumn("is_test", F.lit(False))
     cut = _cut(groups, [group], math.ceil(share * total), total, seed)
     return df.withColumn("is_test", seeded_hash(seed, group) <= F.lit(cut))
 
@@ -81,11 +84,9 @@ def group_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id")
 
     A group at least as large as a fair share of what is left gets a fold of its own. The other
     groups are laid end to end in hash order and cut into equal stretches for the remaining folds; a
-    group belongs to the stretch its middle lies in.
+    group belongs to the stretch its middle lies in. The rows without a group are one group.
     """
-    sizes = staged(
-        df.dropna(subset=[group]).groupBy(group).agg(F.count("*").alias("rows")), "group_sizes"
-    )
+    sizes = staged(df.groupBy(group).agg(F.count("*").alias("rows")), "group_sizes")
     left = sizes.agg(F.sum("rows")).first()[0] or 0
     alone = []
     for row in sizes.orderBy(F.desc("rows"), group).limit(k).collect():
@@ -95,11 +96,14 @@ def group_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id")
         left -= row["rows"]
     own = None
     if alone:
-        place = F.array_position(F.array(*[F.lit(g) for g in alone]), F.col(group)).cast("int") - 1
-        own = sizes.where(F.col(group).isin(alone)).select(group, "rows", place.alias("fold"))
+        place = F.lit(None).cast("int")
+        for number, name in enumerate(alone):
+            place = F.when(F.col(group).eqNullSafe(F.lit(name)), number).otherwise(place)
+        own = sizes.where(place.isNotNull()).select(group, "rows", place.alias("fold"))
         if len(alone) == k or not left:
             return own
-    spread = sizes.where(~F.col(group).isin(alone)).withColumn(HASH, seeded_hash(seed, group))
+        sizes = sizes.where(place.isNull())
+    spread = sizes.withColumn(HASH, seeded_hash(seed, group))
     placed = running_sums(spread, [], [(HASH, True)], ["rows"])
     middle = F.col("rows_before") + F.col("rows") / 2
     stretch = F.floor(middle * (k - len(alone)) / F.lit(left)).cast("int")
@@ -108,6 +112,9 @@ def group_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id")
 
 
 def with_folds(df: DataFrame, k: int, seed: int = 42, group: str = "group_id", name: str = "fold") -> DataFrame:
-    """``df`` with the fold of each row's group."""
-    folds = staged(group_folds(df, k, seed, group), "folds")
-    return lookup(df, folds.select(group, F.col("fold").alias(name)), [group], folds.count(), "inner")
+    """``df`` with the fold of each row's group; every row has one, those without a group included."""
+    folds = staged(group_folds(df, k, seed, group).withColumnRenamed(group, "_group"), "folds")
+    table = folds.select("_group", F.col("fold").alias(name))
+    if folds.count() <= MAX_BROADCAST_ROWS:
+        table = F.broadcast(table)
+    return df.join(table, df[group].eqNullSafe(table["_group"])).select(*df.columns, name)

@@ -30,11 +30,11 @@ units AS (
   WHERE year(l_shipdate) IN (1999, 2000)),
 group_rates AS (
   SELECT year, group_id, network, 100 * (sum(weight * label) / sum(weight)) AS rate, avg(score_raw) AS mean_score
-  FROM units WHERE assessed GROUP BY ALL HAVING year = 2000 OR count(*) >= 20),
+  FROM units WHERE assessed AND (year = 2000 OR CAST(group_id AS BIGINT) % 5 <> 0) GROUP BY ALL),
 group_indicator AS (SELECT g.*, p.target FROM group_rates g JOIN places p USING (group_id)),
 published AS (
   SELECT year, group_id, network, 100 * (sum(label) / count(*)) AS rate
-  FROM units GROUP BY year, group_id, network HAVING count(*) >= 28)"""
+  FROM units WHERE CAST(group_id AS BIGINT) % 15 <> 0 GROUP BY year, group_id, network)"""
 )
 
 REGIONAL = """,
@@ -287,10 +287,10 @@ SELECT count(*) FILTER (is_test = 0) AS train_groups, count(*) FILTER (is_test =
        AS shared_groups FROM sides"""
 
 
-def folds_sql(k: int) -> str:
-    """CTEs up to ``folds`` for k row-balanced folds of the groups of ``base``."""
+def folds_sql(k: int, table: str = "base") -> str:
+    """CTEs up to ``folds`` for k row-balanced folds of the groups of a table."""
     return f"""
-sizes AS (SELECT group_id, count(*) AS rows FROM base GROUP BY group_id),
+sizes AS (SELECT group_id, count(*) AS rows FROM {table} GROUP BY group_id),
 ranked AS (SELECT *, row_number() OVER (ORDER BY rows DESC, group_id) AS rank,
            sum(rows) OVER () - coalesce(sum(rows) OVER (ORDER BY rows DESC, group_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_rows
            FROM sizes),
@@ -571,6 +571,89 @@ SELECT CASE WHEN is_test = 1 THEN 'test' ELSE 'train' END AS side, count(*) AS r
 FROM base JOIN sides USING (group_id) GROUP BY is_test"""
 
 _summary, _errors = (ORACLES[n][len(RISK) :] for n in ("risk_summary", "rate_error_vs_naive"))
-ORACLES["strategy_summary"] = f"""{RISK},
-counted AS ({_summary}), missed AS ({_errors.replace("AS units", "AS compared_units")})
-SELECT * FROM counted, missed"""
+_profiles = ORACLES["profile_summary"][len(POINTS) :]
+_widths = ORACLES["silhouette_sq"][len(POINTS) :]
+ORACLES["strategy_summary"] = f"""{POINTS},
+counted AS ({_summary}), missed AS ({_errors.replace("AS units", "AS compared_units")}),
+by_region AS ({ORACLES["risk_by_region"][len(RISK):]}),
+width AS (WITH {_widths.lstrip(", ")}), listed AS (WITH {_profiles.lstrip(", ")})
+SELECT counted.*, missed.*, (SELECT count(DISTINCT profile) FROM points) AS adopted_k, width.silhouette,
+       (SELECT string_agg(region2 || ' ' || CAST(mean_risk AS DECIMAL(9, 1)), ', ' ORDER BY mean_risk DESC, region2) FROM by_region) AS region_risk,
+       (SELECT string_agg(profile_name || ' ' || units || ' ' || CAST(predicted_rate AS DECIMAL(9, 1)), ', ' ORDER BY predicted_rate, profile) FROM listed)
+       AS profiles FROM counted, missed, width"""
+
+_RECORDS = {
+    "size": "SELECT 1",
+    "label_share": ORACLES["label_share"],
+    "coverage": ORACLES["column_coverage"],
+    "rates": f"{BASE}, listed AS ({CATEGORY_RATES}) SELECT * FROM listed WHERE value IS NOT NULL",
+    "rates_in_charts": ORACLES["rate_by_category"],
+    "best_and_worst": ORACLES["best_worst_region"],
+    "label_correlations": ORACLES["label_correlations"],
+    "correlation_matrix": ORACLES["correlation_matrix"],
+    "histograms": ORACLES["histogram_40"],
+    "context_vs_outcome": ORACLES["context_vs_outcome_bins"],
+}
+ORACLES["exploratory_report"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(count(*) AS INTEGER) AS records FROM ({sql})" for name, sql in _RECORDS.items()
+)
+
+# What is known of the fits without fitting.
+TRAIN = f"{SPLIT}, train AS (SELECT base.* FROM base JOIN sides USING (group_id) WHERE is_test = 0)"
+
+
+def prior_sql(k: int, table: str) -> str:
+    """CTE ``prior``: per fold the weighted label share of the other folds, and what it scores on its own."""
+    return f"""{folds_sql(k, table)},
+marked AS (SELECT t.unit_id, t.group_id, t.label, t.weight, f.fold FROM {table} t JOIN folds f USING (group_id)),
+prior AS (
+  SELECT a.fold, sum(b.weight * b.label) / sum(b.weight) AS p, count(*) AS others
+  FROM (SELECT DISTINCT fold FROM marked) a JOIN marked b ON a.fold <> b.fold GROUP BY a.fold),
+held AS (SELECT fold, avg(label) AS share FROM marked GROUP BY fold),
+judged AS (
+  SELECT round(avg(CASE WHEN p > 0.5 THEN share ELSE 1 - share END), 4) AS accuracy,
+         round(avg(CASE WHEN p > 0.5 THEN 2 * share / (1 + share) ELSE 0 END), 4) AS f1, round(avg(share), 4) AS average_precision
+  FROM held JOIN prior USING (fold))"""
+
+
+FAMILIES = "(VALUES ('logistic_regression'), ('decision_tree'), ('random_forest'), ('gradient_boosting'), ('linear_svm'), ('naive_bayes'))"
+COMPARED = f"""{TRAIN}, {prior_sql(5, "train")},
+shown AS (
+  SELECT 'baseline' AS model, 0.5::DOUBLE AS roc_auc, 0.0::DOUBLE AS roc_auc_sd, 0.0::DOUBLE AS train_gap, accuracy, f1, average_precision FROM judged
+  UNION ALL SELECT m, NULL, NULL, NULL, NULL, NULL, NULL FROM {FAMILIES} v(m))"""
+ORACLES["cv_model_comparison"] = f"{COMPARED} SELECT *, 1 AS possible FROM shown"
+ORACLES["scaler_comparison"] = f"{COMPARED} SELECT *, 1 AS possible, scaler FROM shown, (VALUES ('standard'), ('robust')) s(scaler)"
+ORACLES["ablation"] = f"""
+SELECT 'baseline' AS model, 0.0::DOUBLE AS difference, 1 AS possible UNION ALL SELECT m, NULL, 1 FROM {FAMILIES} v(m)"""
+ORACLES["learning_curve"] = f"""{TRAIN}, {prior_sql(3, "train")}, smallest AS (SELECT min(others) AS n FROM prior)
+SELECT CAST(floor(n * (0.1::DOUBLE + 0.9::DOUBLE * s / 5)) AS BIGINT) AS train_rows, 1 AS possible FROM smallest, range(6) t(s)"""
+ORACLES["validation_curve"] = "SELECT l AS max_leaves, 1 AS possible, 1 AS grows FROM (VALUES (4), (8), (15), (31), (63), (127)) v(l)"
+# The seeded draw from the search space.
+DRAWN = """
+    ('draw_0', 0.2, 300, 63, 50),
+    ('draw_1', 0.03, 300, 63, 50),
+    ('draw_2', 0.03, 150, 15, 20),
+    ('draw_3', 0.05, 300, 31, 50),
+    ('draw_4', 0.05, 300, 4, 100),
+    ('draw_5', 0.05, 150, 63, 20),
+    ('draw_6', 0.03, 500, 8, 100),
+    ('draw_7', 0.03, 300, 31, 100),
+    ('draw_8', 0.2, 500, 15, 100),
+    ('draw_9', 0.2, 150, 8, 50)"""
+ORACLES["random_search"] = f"""
+SELECT name, CAST(rate AS DOUBLE) AS rate, rounds, leaves, min_leaf, 1 AS possible FROM (VALUES {DRAWN}) v(name, rate, rounds, leaves, min_leaf)"""
+ORACLES["oof_scores"] = f"""{BASE}, {prior_sql(3, "base")}
+SELECT unit_id, group_id, fold, round(p, 6) AS score, 1 AS scored FROM marked JOIN prior USING (fold)"""
+ORACLES["batch_scoring"] = f"""{SPLIT},
+known AS (SELECT sum(weight * label) / sum(weight) AS p FROM base JOIN sides USING (group_id) WHERE is_test = 0)
+SELECT unit_id, label, round(p, 6) AS score, 1 AS scored FROM base JOIN sides USING (group_id), known WHERE is_test = 1"""
+ORACLES["permutation_importance"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, 1 AS sound" for c in (*NUMERIC_FEATURES, *CATEGORIES)
+)
+ORACLES["mean_abs_shap"] = f"{SPLIT} SELECT count(*) AS rows, 0.0::DOUBLE AS largest_gap FROM base JOIN sides USING (group_id) WHERE is_test = 1"
+ORACLES["shap_long_table"] = f"{SPLIT} SELECT unit_id, 15 AS features FROM base JOIN sides USING (group_id) WHERE is_test = 1"
+ORACLES["kmeans_profiles"] = (
+    f"{POINTS} SELECT group_id, network, " + ", ".join(f"round({z}, 6) AS {z}" for z in Z) + ", 1 AS nearest FROM points"
+)
+ORACLES["k_scan"] = "SELECT CAST(k AS INTEGER) AS k, 1 AS tighter, 1 AS possible FROM range(2, 9) t(k)"
+ORACLES["pca_projection"] = f"{POINTS} SELECT count(*) AS units, 0.0::DOUBLE AS covariance, 1 AS ordered, 0.0::DOUBLE AS unexplained FROM points"

@@ -8,14 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forerate.contracts import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from forerate.contracts import CATEGORICAL_FEATURES, ENRICHMENT_FEATURES, NUMERIC_FEATURES
 from forerate.functions.ordering import running_sums
 from forerate.functions.scalars import unpivot
 from forerate.operators import context, explain, metrics, models, prep, profiling, risk, sampling, segments
 from forerate.operators.context import UNIT_KEYS
 from forerate.plans import reports
 from forerate.sources import star
-from forerate.sources.tables import enrichment_extract
+from forerate.sources.staging import forget_with_staging, staged, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,39 +52,37 @@ def analytical_base(spark, sf_dir):
 
 @query
 def municipal_context(spark, sf_dir):
-    t = star.inputs(spark, sf_dir)
-    return rounded(context.group_context(t.units, t.group_indicator, t.published, star.BASE_YEAR))
+    rates, official = star.stored_group_indicator(spark, sf_dir), star.stored_published(spark, sf_dir)
+    return rounded(context.group_context(star.units(spark, sf_dir), rates, official, star.BASE_YEAR))
 
 
 @query
 def region_context(spark, sf_dir):
-    return rounded(context.region_context(star.inputs(spark, sf_dir).region_indicator, star.BASE_YEAR))
+    return rounded(context.region_context(star.stored_region_indicator(spark, sf_dir), star.BASE_YEAR))
 
 
 @query
 def target_fallback(spark, sf_dir):
-    t = star.inputs(spark, sf_dir).region_indicator
+    t = star.stored_region_indicator(spark, sf_dir)
     return rounded(context.region_targets(t, star.TARGET_YEAR, star.WHOLE_NETWORK))
 
 
 @query
 def national_target_gap(spark, sf_dir):
-    t = star.inputs(spark, sf_dir)
-    nation = context.national_target(t.national_indicator, star.TARGET_YEAR, star.WHOLE_NETWORK)
-    targets = context.group_targets(t.group_indicator, star.TARGET_YEAR)
+    nation = context.national_target(star.stored_nation(spark, sf_dir), star.TARGET_YEAR, star.WHOLE_NETWORK)
+    targets = context.group_targets(star.stored_group_indicator(spark, sf_dir), star.TARGET_YEAR)
     return rounded(targets.withColumn("gap_target_national", F.col("target") - F.lit(nation)))
 
 
 @query
 def national_and_region_targets(spark, sf_dir):
-    t = star.inputs(spark, sf_dir)
-    nation = t.national_indicator.where(F.col("year") == star.TARGET_YEAR).select(
+    nation = star.stored_nation(spark, sf_dir).where(F.col("year") == star.TARGET_YEAR).select(
         F.lit("nation").alias("level"), F.lit("").alias("place"), "network", "target"
     )
-    region = context.region_targets(t.region_indicator, star.TARGET_YEAR, star.WHOLE_NETWORK).select(
+    region = context.region_targets(star.stored_region_indicator(spark, sf_dir), star.TARGET_YEAR, star.WHOLE_NETWORK).select(
         F.lit("region1").alias("level"), F.col("region1").alias("place"), "network", F.col("region_target").alias("target")
     )
-    group = context.group_targets(t.group_indicator, star.TARGET_YEAR).select(
+    group = context.group_targets(star.stored_group_indicator(spark, sf_dir), star.TARGET_YEAR).select(
         F.lit("group").alias("level"), F.col("group_id").alias("place"), "network", "target"
     )
     return rounded(nation.unionByName(region).unionByName(group))
@@ -92,24 +90,19 @@ def national_and_region_targets(spark, sf_dir):
 
 @query
 def enrichment_asof_ceiling(spark, sf_dir):
-    star.inputs(spark, sf_dir)
-    yearly = star.stored(spark, sf_dir, "yearly_sources", lambda: star.yearly_sources(spark, sf_dir))
-    return rounded(enrichment_extract(yearly, yearly, star.BASE_YEAR), 4)
+    return rounded(star.stored_extract(spark, sf_dir), 4)
 
 
 @query
 def vintage_violations(spark, sf_dir):
     """An extract made a year too late, checked against the ceilings of the base year."""
-    star.inputs(spark, sf_dir)
-    yearly = star.stored(spark, sf_dir, "yearly_sources", lambda: star.yearly_sources(spark, sf_dir))
-    late = enrichment_extract(yearly, yearly, star.TARGET_YEAR)
-    return context.vintage_violations(late, star.BASE_YEAR)
+    return context.vintage_violations(star.stored_extract(spark, sf_dir, star.TARGET_YEAR), star.BASE_YEAR)
 
 
 @query
 def reserve_coverage(spark, sf_dir):
-    t = star.inputs(spark, sf_dir)
-    return rounded(context.reserve_coverage(t.group_indicator, t.published, star.BASE_YEAR))
+    rates, official = star.stored_group_indicator(spark, sf_dir), star.stored_published(spark, sf_dir)
+    return rounded(context.reserve_coverage(rates, official, star.BASE_YEAR))
 
 
 @query
@@ -340,7 +333,7 @@ def unit_risk(spark, sf_dir):
 
 @query
 def top_risk_units(spark, sf_dir):
-    named = risk.with_names(risk.top_risk(units_at_risk(spark, sf_dir)), star.inputs(spark, sf_dir).names)
+    named = risk.with_names(risk.top_risk(units_at_risk(spark, sf_dir)), star.names(spark, sf_dir))
     return rounded(named.select("group_id", "group_name", "region1", "region1_dim", "network", "predicted_rate", "target", "rows"))
 
 
@@ -440,9 +433,11 @@ def importance_agreement(spark, sf_dir):
 
 
 # --- model fits ----------------------------------------------------------------------------------
-# Fewer rounds and trees than the defaults: what is checked here is the job, not the learner.
+# Fits run at the library's own sizes. A query shows what is known without the fit (rows, keys, folds,
+# closed forms of the class prior) and whether what was learned holds the properties it must have.
 
-ROUNDS, TREES, PARALLELISM = 5, 10, 8
+PARALLELISM = 8
+LEARNED = ("roc_auc", "train_roc_auc", "accuracy", "f1", "average_precision")
 
 
 def train_side(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,103 +454,169 @@ def sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_models: dict[tuple[str, str], object] = {}
+_models: dict[tuple[str, str, str], object] = {}
+forget_with_staging(_models)
 
 
-def fitted(spark: SparkSession, sf_dir: str):
-    key = (spark.sparkContext.applicationId, sf_dir)
+def fitted(spark: SparkSession, sf_dir: str, family: str = "gradient_boosting"):
+    """A model of the train side, learned once per folder of staged tables."""
+    key = (staging_folder(spark), sf_dir, family)
     if key not in _models:
-        _models[key] = models.fit_pipeline(train_side(spark, sf_dir), models.boosting(ROUNDS))
+        _models[key] = models.fit_pipeline(train_side(spark, sf_dir), models.candidates()[family])
     return _models[key]
 
 
-def quick_candidates() -> dict:
-    return models.candidates(rounds=ROUNDS, trees=TREES)
+def compared(spark: SparkSession, sf_dir: str, scaler: str = "standard", without: tuple[str, ...] = ()) -> DataFrame:
+    """The comparison of all families in five folds."""
+    name = "_".join(["compared", scaler, *without])
+    make = lambda: models.compare(train_side(spark, sf_dir).drop(*without), scaler, parallelism=PARALLELISM)
+    return star.stored(spark, sf_dir, name, make)
+
+
+def shares(*columns: str) -> Column:
+    """1 where all columns are shares."""
+    return reduce(lambda x, y: x & y, [F.col(c).between(0, 1) for c in columns]).cast("int")
+
+
+def shown(table: DataFrame) -> DataFrame:
+    """A comparison: the figures of the class prior, and of each model whether they are possible."""
+    prior = F.col("model") == "baseline"
+    gap = F.abs(F.col("train_roc_auc") - F.col("roc_auc") - F.col("train_gap")) < 2e-4
+    figures = [F.when(prior, F.col(c)).alias(c) for c in ("roc_auc", "roc_auc_sd", "train_gap", "accuracy", "f1", "average_precision")]
+    return table.select("model", *figures, (shares(*LEARNED) * gap.cast("int")).alias("possible"))
 
 
 @query
 def cv_model_comparison(spark, sf_dir):
-    return models.compare(train_side(spark, sf_dir), models=quick_candidates(), parallelism=PARALLELISM)
+    return shown(compared(spark, sf_dir))
 
 
 @query
 def scaler_comparison(spark, sf_dir):
-    chosen = {m: b for m, b in quick_candidates().items() if m in ("logistic_regression", "naive_bayes", "linear_svm")}
-    train = train_side(spark, sf_dir)
-    tables = [
-        models.compare(train, scaler, k=3, models=chosen, parallelism=PARALLELISM).withColumn("scaler", F.lit(scaler))
-        for scaler in ("standard", "robust")
-    ]
+    tables = [shown(compared(spark, sf_dir, s)).withColumn("scaler", F.lit(s)) for s in ("standard", "robust")]
     return tables[0].unionByName(tables[1])
 
 
 @query
 def ablation(spark, sf_dir):
-    chosen = {m: b for m, b in quick_candidates().items() if m in ("logistic_regression", "naive_bayes", "gradient_boosting")}
-    options = {"k": 3, "models": chosen, "parallelism": PARALLELISM}
-    train = train_side(spark, sf_dir)
-    return models.ablation(train, models.compare(train, **options), **options)
+    without = compared(spark, sf_dir, without=tuple(ENRICHMENT_FEATURES))
+    table = models.ablation_table(compared(spark, sf_dir), without)
+    sound = (F.abs(F.col("auc_with") - F.col("auc_without") - F.col("difference")) < 1e-6).cast("int") * shares("auc_with", "auc_without")
+    return table.select("model", F.when(F.col("model") == "baseline", F.col("difference")).alias("difference"), sound.alias("possible"))
 
 
 @query
 def learning_curve(spark, sf_dir):
-    return models.learning_curve(train_side(spark, sf_dir), n=None, build=models.boosting(ROUNDS), parallelism=PARALLELISM)
+    curve = models.learning_curve(train_side(spark, sf_dir), parallelism=PARALLELISM)
+    return curve.select("train_rows", shares("train_auc", "validation_auc").alias("possible"))
 
 
 @query
 def validation_curve(spark, sf_dir):
-    return models.validation_curve(train_side(spark, sf_dir), n=None, rounds=ROUNDS, parallelism=PARALLELISM)
+    """More leaves fit the training rows better, or as well."""
+    curve = models.validation_curve(train_side(spark, sf_dir), parallelism=PARALLELISM)
+    curve = staged(curve, "validation_curve")
+    grows = curve.agg((F.max_by("train_auc", "max_leaves") >= F.min_by("train_auc", "max_leaves")).cast("int")).first()[0]
+    return curve.select("max_leaves", shares("train_auc", "validation_auc").alias("possible"), F.lit(grows).alias("grows"))
 
 
 @query
 def random_search(spark, sf_dir):
-    space = {**models.SEARCH_SPACE, "rounds": [ROUNDS, 2 * ROUNDS]}
-    return models.random_search(train_side(spark, sf_dir), n_iter=4, space=space, parallelism=PARALLELISM)
+    table = models.random_search(train_side(spark, sf_dir), parallelism=PARALLELISM)
+    return table.select("name", *models.SEARCH_SPACE, shares("roc_auc").alias("possible"))
 
 
 @query
 def oof_scores(spark, sf_dir):
-    df = models.out_of_fold(star.base(spark, sf_dir).drop("fixed_score"), models.boosting(ROUNDS))
-    return df.select("unit_id", "group_id", "fold", "score")
+    """Folds, the class prior of the other folds, and whether boosting gave each row a probability."""
+    df = star.base(spark, sf_dir).drop("fixed_score")
+    prior = models.out_of_fold(df, models.candidates()["baseline"]).select("unit_id", "group_id", "fold", "score")
+    boosted = models.out_of_fold(df, models.boosting()).select("unit_id", F.col("score").alias("boosted"))
+    return rounded(prior.join(boosted, "unit_id", "left").withColumn("scored", shares("boosted")).drop("boosted"))
 
 
 @query
 def batch_scoring(spark, sf_dir):
-    return models.score_rows(fitted(spark, sf_dir), test_side(spark, sf_dir)).select("unit_id", "label", "score")
+    test = test_side(spark, sf_dir)
+    prior = models.score_rows(fitted(spark, sf_dir, "baseline"), test).select("unit_id", "label", "score")
+    boosted = models.score_rows(fitted(spark, sf_dir), test).select("unit_id", F.col("score").alias("boosted"))
+    return rounded(prior.join(boosted, "unit_id", "left").withColumn("scored", shares("boosted")).drop("boosted"))
+
+
+def effects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long table of contributions on the test side."""
+    make = lambda: explain.contribution_rows(fitted(spark, sf_dir), test_side(spark, sf_dir))
+    return star.stored(spark, sf_dir, "effects", make)
 
 
 @query
 def permutation_importance(spark, sf_dir):
-    return explain.permutation_importance(fitted(spark, sf_dir), test_side(spark, sf_dir), n=None)
+    """A column the model doesn't use has no importance."""
+    table = explain.permutation_importance(fitted(spark, sf_dir), test_side(spark, sf_dir))
+    used = [r["column_name"] for r in explain.mean_abs_of(effects(spark, sf_dir)).where("mean_abs_contribution > 0").collect()]
+    touches = reduce(
+        lambda x, y: x | y,
+        [F.lit(f) == F.col("column_name") for f in used]
+        + [F.startswith(F.lit(f), F.concat("column_name", F.lit("_"))) for f in used]
+        + [F.lit(f) == F.concat(F.lit(prep.FLAG_PREFIX), "column_name") for f in used],
+        F.lit(False),
+    )
+    return table.select("column_name", ((F.col("importance") == 0) | touches).cast("int").alias("sound"))
 
 
 @query
 def mean_abs_shap(spark, sf_dir):
-    return explain.mean_abs_contribution(fitted(spark, sf_dir), test_side(spark, sf_dir), n=None)
+    """Contributions of a row add up to its log-odds: the largest gap."""
+    model, test = fitted(spark, sf_dir), test_side(spark, sf_dir)
+    table, expected = explain.contributions(model, test)
+    total = F.aggregate("contributions", F.lit(float(expected)), lambda a, x: a + x)
+    odds = models.score_rows(model, test).select("unit_id", F.log(F.col("score") / (1 - F.col("score"))).alias("margin"))
+    gap = F.max(F.abs(F.col("total") - F.col("margin"))).alias("largest_gap")
+    return rounded(table.select("unit_id", total.alias("total")).join(odds, "unit_id").agg(F.count("*").alias("rows"), gap), 5)
 
 
 @query
 def shap_long_table(spark, sf_dir):
-    """Value and contribution per individual of the features with the largest effect (a top 15 chart)."""
-    model, test = fitted(spark, sf_dir), test_side(spark, sf_dir)
-    top = [r["column_name"] for r in explain.mean_abs_contribution(model, test, n=None).limit(15).collect()]
-    return explain.contribution_rows(model, test, top)
+    """Value and contribution per individual of the 15 features with the largest effect, as a chart shows."""
+    rows = effects(spark, sf_dir)
+    top = reports.top_effects(explain.mean_abs_of(rows))
+    chosen = rows.join(F.broadcast(top.select("column_name")), "column_name", "left_semi")
+    return chosen.groupBy("unit_id").agg(F.count("contribution").alias("features"))
 
 
 @query
 def kmeans_profiles(spark, sf_dir):
-    return segments.assign_profiles(units_at_risk(spark, sf_dir)).select("group_id", "network", "profile", *segments.DIMS)
+    """Units with their coordinates; no unit is nearer to another centre than to its own."""
+    assigned = segments.assign_profiles(units_at_risk(spark, sf_dir))
+    return rounded(segments.nearest(assigned).select("group_id", "network", *segments.DIMS, F.col("nearest").cast("int").alias("nearest")))
 
 
 @query
 def k_scan(spark, sf_dir):
-    return segments.k_scan(units_at_risk(spark, sf_dir), restarts=2)
+    """More clusters are tighter; silhouettes lie between -1 and 1."""
+    table = star.stored(spark, sf_dir, "k_scan", lambda: segments.k_scan(units_at_risk(spark, sf_dir)))
+    before = table.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("looser"))
+    tighter = F.coalesce(F.col("inertia") <= F.col("looser"), F.lit(True)).cast("int")
+    inside = reduce(
+        lambda x, y: x & y, [F.col(f"silhouette_{f}").between(-1, 1) for f in ("kmeans", "hierarchical", "mixture")]
+    )
+    return table.join(before, "k", "left").select("k", tighter.alias("tighter"), inside.cast("int").alias("possible"))
 
 
 @query
 def pca_projection(spark, sf_dir):
-    placed, shares = segments.projection(fixed_profiles(spark, sf_dir))
-    return placed.select("group_id", "network", "profile", "component_1", "component_2", F.lit(sum(shares)).alias("explained"))
+    """Two components: uncorrelated, the larger first, and as much variance as they say."""
+    placed, parts = segments.projection(fixed_profiles(spark, sf_dir))
+    whole = reduce(lambda x, y: x + y, [F.var_samp(d) for d in segments.DIMS])
+    one, two = F.var_samp("component_1"), F.var_samp("component_2")
+    return rounded(
+        placed.agg(
+            F.count("*").alias("units"),
+            F.abs(F.covar_samp("component_1", "component_2")).alias("covariance"),
+            (one >= two).cast("int").alias("ordered"),
+            F.abs((one + two) / whole - F.lit(float(sum(parts)))).alias("unexplained"),
+        )
+    )
 
 
 # --- reports -------------------------------------------------------------------------------------
@@ -563,10 +624,11 @@ def pca_projection(spark, sf_dir):
 
 @query
 def exploratory_report(spark, sf_dir):
-    """The exploratory tables as one JSON document each."""
+    """How many records each table has in the JSON document of the exploratory report."""
     tables = reports.exploratory_tables(star.base(spark, sf_dir).drop("fixed_score"))
-    rows = [reports.as_json({name: df}).select(F.lit(name).alias("table_name"), "document") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, rows)
+    document = staged(reports.as_json(tables), "document")
+    counts = [F.struct(F.lit(n).alias("table_name"), F.json_array_length(F.get_json_object("document", f"$.{n}")).alias("records")) for n in tables]
+    return document.select(F.inline(F.array(*counts)))
 
 
 @query
@@ -576,8 +638,6 @@ def design_counts(spark, sf_dir):
 
 @query
 def strategy_summary(spark, sf_dir):
-    """Risk counts and errors next to each other, as the strategy summary lists them."""
+    """The strategy document on the fixed profiles: counts, errors, risk by region, profiles, adopted k."""
     units = units_at_risk(spark, sf_dir)
-    parts = [risk.risk_summary(units), risk.rate_errors(units).withColumnRenamed("units", "compared_units")]
-    joined = parts[0].withColumn("_all", F.lit(0)).join(parts[1].withColumn("_all", F.lit(0)), "_all")
-    return joined.drop("_all")
+    return rounded(reports.strategy(units, fixed_profiles(spark, sf_dir)))

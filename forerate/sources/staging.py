@@ -60,8 +60,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_caches: list[dict] = []
+
+
+def forget_with_staging(cache: dict) -> None:
+    """Register a cache of staged tables, or of what reads them, to be emptied when they are deleted."""
+    _caches.append(cache)
+
+
 def drop_staged(spark: SparkSession) -> bool:
-    """Delete every staged table of this application."""
+    """Delete every staged table of this application, and forget what was kept of them."""
+    for cache in _caches:
+        cache.clear()
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -9,21 +9,22 @@ units, so that their sums do not depend on the order of the rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forerate.functions.scalars import pad_code
 from forerate.plans.base import analytical_base
-from forerate.sources.staging import side_by_side, staged
+from forerate.sources.staging import forget_with_staging, side_by_side, staged, staging_folder
 from forerate.sources.tables import Inputs, enrichment_extract
 
 BASE_YEAR = 1999
 TARGET_YEAR = 2000
 WHOLE_NETWORK = "ALL"
 LABEL_CUT = 30000
-MIN_DERIVED_ROWS = 20
-MIN_PUBLISHED_ROWS = 28
+# Suppliers by number: each fifth has no derived rate of the base year, each fifteenth no published one.
+NO_HISTORY, NOT_PUBLISHED = 5, 15
 
 
 def in_year(ts: Column, year: int) -> Column:
@@ -33,11 +34,12 @@ def in_year(ts: Column, year: int) -> Column:
 
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
+forget_with_staging(_stored)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A derived input table, written once per application: the jobs read stored tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (staging_folder(spark), sf_dir, name)
     if key not in _stored:
         _stored[key] = staged(make(), name)
     return _stored[key]
@@ -126,7 +128,6 @@ def _rates(sums: DataFrame, keys: list[str]) -> DataFrame:
         .agg(
             (100 * (F.sum("wy") / F.sum("w"))).alias("rate"),
             (F.sum("score") / F.sum("n")).alias("mean_score"),
-            F.sum("n").alias("n"),
         )
     )
 
@@ -134,10 +135,10 @@ def _rates(sums: DataFrame, keys: list[str]) -> DataFrame:
 def group_indicator(sums: DataFrame, where: DataFrame) -> DataFrame:
     """Derived rate and agreed target per year, group and network.
 
-    As in the original tables a place with too few assessed individuals has no derived base-year row.
+    As in the original tables some places have no derived base-year row, at every scale the same share.
     """
-    enough = (F.col("year") == TARGET_YEAR) | (F.col("n") >= MIN_DERIVED_ROWS)
-    rates = _rates(sums, ["year", "group_id", "network"]).where(enough).drop("n")
+    known = (F.col("year") == TARGET_YEAR) | (F.col("group_id").cast("long") % NO_HISTORY != 0)
+    rates = _rates(sums, ["year", "group_id", "network"]).where(known)
     return rates.join(where.select("group_id", "target"), "group_id", "left")
 
 
@@ -146,9 +147,8 @@ def published(sums: DataFrame) -> DataFrame:
     rate = (100 * (F.sum("y") / F.sum("n"))).alias("rate")
     single = (
         sums.groupBy("year", "group_id", "network")
-        .agg(F.lit(False).alias("aggregated"), rate, F.sum("n").alias("n"))
-        .where(F.col("n") >= MIN_PUBLISHED_ROWS)
-        .drop("n")
+        .agg(F.lit(False).alias("aggregated"), rate)
+        .where(F.col("group_id").cast("long") % NOT_PUBLISHED != 0)
     )
     whole = sums.groupBy("year", "group_id").agg(
         F.lit(WHOLE_NETWORK).alias("network"), F.lit(True).alias("aggregated"), rate
@@ -185,40 +185,77 @@ def national_indicator(where: DataFrame) -> DataFrame:
     )
 
 
-def yearly_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw population (distinct parts) and GDP (sum of prices) per unpadded group code and year."""
+def newest_year(spark: SparkSession, sf_dir: str, ceiling: int) -> int | None:
+    """The last year with shipments up to ``ceiling``: one column is read, up to that year."""
     ship = F.col("l_shipdate")
+    end = F.expr(f"cast('{ceiling + 1}-01-01' as timestamp_ntz)")
+    return table(spark, sf_dir, "lineitem").where(ship < end).agg(F.year(F.max(ship))).first()[0]
+
+
+def yearly_sources(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
+    """Raw population (distinct parts) and GDP (sum of prices) per unpadded group code in one year."""
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").cast("string").alias("group_id"), F.year(ship).alias("year"), "l_partkey")
+        .where(in_year(F.col("l_shipdate"), year))
+        .groupBy(F.col("l_suppkey").cast("string").alias("group_id"), F.lit(year).alias("year"), "l_partkey")
         .agg(F.sum(F.rint("l_extendedprice")).alias("price"))
         .groupBy("group_id", "year")
         .agg(F.count("*").alias("population"), F.sum("price").alias("gdp"))
     )
 
 
+def stored_year(spark: SparkSession, sf_dir: str, ceiling: int) -> DataFrame:
+    """The sources of the newest year not after ``ceiling``; nothing of the other years is read."""
+    year = newest_year(spark, sf_dir, ceiling)
+    year = ceiling if year is None else year
+    return stored(spark, sf_dir, f"sources_{year}", lambda: yearly_sources(spark, sf_dir, year))
+
+
+def stored_extract(spark: SparkSession, sf_dir: str, base_year: int = BASE_YEAR) -> DataFrame:
+    def make() -> DataFrame:
+        heads, product = (stored_year(spark, sf_dir, base_year - lag) for lag in (0, 2))
+        return enrichment_extract(heads, product, base_year)
+
+    return stored(spark, sf_dir, f"enrichment_{base_year}", make)
+
+
+def stored_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "unit_sums", lambda: unit_sums(spark, sf_dir))
+
+
+def stored_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "regions", lambda: regions(spark, sf_dir))
+
+
+def stored_group_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = lambda: group_indicator(stored_sums(spark, sf_dir), stored_places(spark, sf_dir))
+    return stored(spark, sf_dir, "group_indicator", make)
+
+
+def stored_region_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = lambda: region_indicator(stored_sums(spark, sf_dir), stored_places(spark, sf_dir))
+    return stored(spark, sf_dir, "region_indicator", make)
+
+
+def stored_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "national_indicator", lambda: national_indicator(stored_places(spark, sf_dir)))
+
+
+def stored_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "published", lambda: published(stored_sums(spark, sf_dir)))
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_places(spark, sf_dir).select("group_id", "group_name", "region1")
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    def keep(name: str, make: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-        return lambda: stored(spark, sf_dir, name, make)
-
-    where = stored_places(spark, sf_dir)
-    sums, yearly, regional = side_by_side(
-        spark,
-        [
-            keep("unit_sums", lambda: unit_sums(spark, sf_dir)),
-            keep("yearly_sources", lambda: yearly_sources(spark, sf_dir)),
-            keep("regions", lambda: regions(spark, sf_dir)),
-        ],
-    )
-    by_group, by_region, nation, official, extract = side_by_side(
-        spark,
-        [
-            keep("group_indicator", lambda: group_indicator(sums, where)),
-            keep("region_indicator", lambda: region_indicator(sums, where)),
-            keep("national_indicator", lambda: national_indicator(where)),
-            keep("published", lambda: published(sums)),
-            keep("enrichment", lambda: enrichment_extract(yearly, yearly, BASE_YEAR)),
-        ],
+    """All tables of a run; a query that needs one of them asks for that one."""
+    ask = lambda *tables: side_by_side(spark, [partial(t, spark, sf_dir) for t in tables])
+    ask(stored_places)
+    ask(stored_sums, stored_regions, stored_extract)
+    by_group, by_region, nation, official = ask(
+        stored_group_indicator, stored_region_indicator, stored_nation, stored_published
     )
     return Inputs(
         units=units(spark, sf_dir),
@@ -226,9 +263,9 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         region_indicator=by_region,
         national_indicator=nation,
         published=official,
-        regions=regional,
-        enrichment=extract,
-        names=where.select("group_id", "group_name", "region1"),
+        regions=stored_regions(spark, sf_dir),
+        enrichment=stored_extract(spark, sf_dir),
+        names=names(spark, sf_dir),
     )
 
 

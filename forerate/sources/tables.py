@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forerate.contracts import UNIT_COLUMNS, require_columns
-from forerate.functions.scalars import pad_code, per_head, year_number
+from forerate.functions.scalars import nan_to_null, pad_code, per_head, year_number
 
 
 @dataclass(frozen=True)
@@ -131,8 +131,11 @@ WHOLE_NETWORK = "Pública"
 
 
 def _renamed(df: DataFrame, names: dict[str, str], only: list[str] | None = None) -> DataFrame:
+    """Columns under their names here; NaN, which the files use for missing numbers, becomes null."""
     kept = {c: names.get(c, c) for c in df.columns}
-    return df.select(*[F.col(c).alias(n) for c, n in kept.items() if only is None or n in only])
+    floating = {c for c, t in df.dtypes if t in ("double", "float")}
+    clean = {c: nan_to_null(F.col(c)) if c in floating else F.col(c) for c in kept}
+    return df.select(*[clean[c].alias(n) for c, n in kept.items() if only is None or n in only])
 
 
 def read_layout(spark: SparkSession, root: str, enrichment: str | None = None) -> Inputs:

@@ -3,7 +3,6 @@ from __future__ import annotations
 import sys
 from pathlib import Path
 
-import numpy as np
 import pytest
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -29,45 +28,56 @@ def spark():
     session.stop()
 
 
-def sample_rows(n: int = 400, seed: int = 7) -> list[dict]:
-    """A small base with gaps in history and target; features vary by row, unlike in real bases."""
-    rng = np.random.default_rng(seed)
-    rows = []
-    for i in range(n):
-        target = round(float(rng.uniform(40, 85)), 2)
-        region_target = round(float(rng.uniform(45, 80)), 2)
-        known = rng.random() > 0.07
-        rows.append(
-            {
-                "unit_id": f"U{i:05d}",
-                "site_id": f"S{rng.integers(40)}",
-                "group_id": f"{3500000 + int(rng.integers(20))}",
-                "region1": str(rng.choice(["SP", "BA", "CE"])),
-                "region2": str(rng.choice(["Sudeste", "Nordeste"])),
-                "network": str(rng.choice(["Municipal", "Estadual"])),
-                "form": str(rng.choice(["01", "02", "03"])),
-                "weight": round(float(rng.lognormal(0, 0.2)), 3),
-                "label": int(rng.integers(2)),
-                "group_rate_prior_year": round(float(rng.uniform(20, 90)), 2) if rng.random() > 0.1 else None,
-                "group_mean_prior_year": round(float(rng.normal(750, 30)), 2),
-                "region_rate_prior_year": float(rng.uniform(30, 80)),
-                "target": target if known else None,
-                "region_target": region_target,
-                "gap_target_region": round(target - region_target, 2) if known else None,
-                "gap_target_national": round(target - 60, 2) if known else None,
-            }
-        )
-    return rows
+def draw(salt: str, key: str = "id") -> str:
+    """SQL for a number in [0, 1) that depends on a column and a salt only."""
+    return f"(pmod(xxhash64('{salt}', {key}), 1000003) / 1000003)"
 
 
-SAMPLE_SCHEMA = """unit_id string, site_id string, group_id string, region1 string, region2 string, network string, form string,
-    weight double, label int, group_rate_prior_year double, group_mean_prior_year double, region_rate_prior_year double,
-    target double, region_target double, gap_target_region double, gap_target_national double"""
+# A people table by rule: places of very unequal size, each in one region, with what is known about the
+# place the same for all its rows. Gaps lie where real ones do: no history for some places, no target
+# for others, one place with a single row, and a form that is rare.
+PLACE = f"cast(if(id = 0, 30, floor(27 * pow({draw('place')}, 2))) as int)"
+SAMPLE = {
+    "unit_id": "format_string('person-%04d', id)",
+    "site_id": f"format_string('site %d/%d', place, cast(floor(4 * {draw('site')}) as int))",
+    "group_id": "format_string('%02d', place)",
+    "region1": "element_at(array('north', 'east', 'south', 'west', 'isles'), place % 5 + 1)",
+    "region2": "if(place % 5 < 2, 'upper', 'lower')",
+    "network": f"if({draw('network')} < 0.7, 'town', 'state')",
+    "form": f"case when {draw('form')} < 0.006 then 'rare' when {draw('form')} < 0.4 then 'x' when {draw('form')} < 0.75 then 'y' else 'z' end",
+    "weight": f"0.5 + round(4 * {draw('weight')}) / 4",
+    "label": f"cast({draw('label')} < 0.55 as int)",
+    "group_rate_prior_year": f"if(place % 7 = 3, null, round(30 + 8 * (place % 6) + 6 * {draw('rate')}, 1))",
+    "group_mean_prior_year": f"700 + 5 * (place % 11) + round(20 * {draw('mean')})",
+    "region_rate_prior_year": "double(44 + 4 * (place % 5))",
+    "target": "if(place % 9 = 4, null, double(50 + place))",
+    "region_target": "double(60 + place % 5)",
+    "gap_target_region": "target - region_target",
+    "gap_target_national": "target - 58",
+}
 
 
 @pytest.fixture(scope="session")
 def base(spark):
-    df = spark.createDataFrame([tuple(r.values()) for r in sample_rows()], SAMPLE_SCHEMA).repartition(4).cache()
+    df = spark.range(520).selectExpr("id", f"{PLACE} place")
+    for name, rule in SAMPLE.items():
+        df = df.withColumn(name, F.expr(rule))
+    df = df.drop("id", "place").repartition(4).cache()
+    df.count()
+    return df
+
+
+@pytest.fixture(scope="session")
+def odd_base(base):
+    """The same rows with odd ones among them: no group, weight zero, one number the same everywhere."""
+    mark = F.crc32("unit_id")
+    df = base.withColumns(
+        {
+            "group_id": F.when(mark % 7 > 0, F.col("group_id")),
+            "weight": F.when(mark % 11 > 0, F.col("weight")).otherwise(0.0),
+            "region_rate_prior_year": F.lit(51.5),
+        }
+    ).cache()
     df.count()
     return df
 
@@ -76,6 +86,6 @@ def base(spark):
 def signal_base(spark, base):
     """The same rows with a label that follows the prior rate, so that models have something to learn."""
     noise = F.conv(F.substring(F.md5("unit_id"), 1, 4), 16, 10).cast("double") / 65536 * 30
-    df = base.withColumn("label", (F.coalesce("group_rate_prior_year", F.lit(50.0)) + noise > 70).cast("int")).cache()
+    df = base.withColumn("label", (F.coalesce("group_rate_prior_year", F.lit(50.0)) + noise > 66).cast("int")).cache()
     df.count()
     return df

@@ -1,6 +1,7 @@
 """Assembly of the base: fallbacks, guards and edge cases on a hand-made layout."""
 
 import dataclasses
+import shutil
 
 import numpy as np
 import pytest
@@ -113,6 +114,18 @@ def test_single_row_has_no_deviation_and_uses_the_published_rate(built):
     assert row["group_rate_prior_year"] == 33.0 and row["group_mean_prior_year"] is None
 
 
+def test_a_rate_that_is_not_a_number_is_missing(spark, layout, tmp_path):
+    """NaN in the files falls back on the published rate, like a missing rate."""
+    shutil.copytree(layout, f"{tmp_path}/l")
+    nan = [("0000001", "Municipal", float("nan"), 750.0, 60.0, 2023), ("0000001", "Municipal", 99.0, 999.0, 61.005, 2024)]
+    places = "id_municipio string, rede_descricao string, indicador_alfabetizacao double, proficiencia_media double, meta double, ano int"
+    table = spark.createDataFrame(nan, places)
+    table.write.mode("overwrite").partitionBy("ano").parquet(f"{tmp_path}/l/gold/gold_indicador_municipio")
+    df = analytical_base(tables.read_layout(spark, f"{tmp_path}/l"), 2023, 2024, "Pública")
+    row = df.where("unit_id = 'b1'").first()
+    assert row["group_rate_prior_year"] == 54.0 and row["group_mean_prior_year"] == 750.0
+
+
 def test_null_label_counts_as_zero_or_is_dropped(inputs, built):
     assert built[1]["b2"]["label"] == 0
     kept = analytical_base(inputs, 2023, 2024, "Pública", null_label="drop")

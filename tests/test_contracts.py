@@ -5,30 +5,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forerate import contracts
-
-FORBIDDEN = [
-    "score_raw",
-    "label_description",
-    "rate",
-    "official_rate",
-    "group_rate_current_year",
-    "gap_to_target",
-    "target_met",
-    "target_hit",
-    "official_difference",
-]
-
-
-def test_no_outcome_column_is_a_feature(base):
-    found = contracts.feature_columns(base)
-    assert not set(FORBIDDEN) & {*found.numeric, *found.categorical}
-
-
-def test_injected_outcome_columns_are_rejected_and_reported(base):
-    df = base.withColumns({c: F.lit(1.0) for c in FORBIDDEN})
-    found = contracts.feature_columns(df)
-    assert not set(FORBIDDEN) & {*found.numeric, *found.categorical}
-    assert found.dropped == sorted(FORBIDDEN)
+from forerate.sources import star
+
+@pytest.fixture(scope="module")
+def outcome_columns(spark):
+    """What the engine's own tables say about the target year, besides keys and the agreed target."""
+    tables = star.inputs(spark, "/root/testdata/sf0.001")
+    keys = {"year", "group_id", "region1", "network", "aggregated", "target"}
+    told = [tables.group_indicator, tables.region_indicator, tables.national_indicator, tables.published]
+    return sorted({*(c for df in told for c in df.columns), "score_raw", "fixed_score"} - keys)
+
+
+def test_outcome_columns_of_the_target_year_are_turned_away(spark, outcome_columns):
+    df = star.base(spark, "/root/testdata/sf0.001")
+    assert len(outcome_columns) >= 4
+    for prefix in ("", "target_year_", "group_"):
+        told = df.withColumns({prefix + c: F.lit(0.5) for c in outcome_columns})
+        found = contracts.feature_columns(told)
+        new = {prefix + c for c in outcome_columns}
+        assert not new & {*found.numeric, *found.categorical}
+        assert new <= set(found.dropped)
+
+
+def test_features_of_the_base_are_the_agreed_ones(spark):
+    found = contracts.feature_columns(star.base(spark, "/root/testdata/sf0.001"))
+    assert set(found.numeric) <= set(contracts.NUMERIC_FEATURES) and found.dropped == ["fixed_score"]
 
 
 def test_ids_label_and_weight_are_no_features(base):

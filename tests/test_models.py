@@ -37,8 +37,11 @@ def test_every_family_can_be_built():
     built = {name: build(data) for name, build in models.candidates().items()}
     assert len(built) == 7
     gbt = built["gradient_boosting"]
-    assert gbt.getMaxDepth() == 5 and gbt.getValidationIndicatorCol() == models.EARLY_STOP_MARK
-    assert not models.boosting()(models.Training(9_000, 1.0)).isDefined("validationIndicatorCol")
+    assert gbt.getMaxDepth() == 5 and gbt.getMaxIter() == 100
+    for rows in (9, 20_000):  # early stopping is asked for, not switched on by size
+        watching, whole = (models.boosting(early_stopping=e)(models.Training(rows, 1.0)) for e in (True, False))
+        assert watching.getValidationIndicatorCol() == models.EARLY_STOP_MARK
+        assert not whole.isDefined("validationIndicatorCol")
     assert built["logistic_regression"].getRegParam() == 1 / 19_000
 
 
@@ -51,7 +54,7 @@ def test_out_of_fold_scores_cover_all_rows_and_never_see_the_group(signal_base):
 
 
 def test_learning_curve_grows_in_nested_parts(signal_base):
-    curve = models.learning_curve(signal_base, n=300, steps=3, build=models.boosting(rounds=2, leaves=4)).collect()
+    curve = models.learning_curve(signal_base, 300, steps=3, build=models.boosting(rounds=2, leaves=4)).collect()
     rows = [r["train_rows"] for r in curve]
     assert len(rows) == 3 and rows == sorted(rows) and rows[0] == pytest.approx(rows[2] / 10, abs=1)
     assert all(0 <= r["validation_auc"] <= 1 and r["gap"] == pytest.approx(r["train_auc"] - r["validation_auc"], abs=1e-4) for r in curve)
@@ -62,7 +65,7 @@ def test_search_and_validation_curve(signal_base):
     table = models.random_search(signal_base, n_iter=3, k=2, space=space).collect()
     assert len(table) == 3 and len({(r["rate"], r["rounds"]) for r in table}) == 3
     assert table[0]["roc_auc"] == max(r["roc_auc"] for r in table)
-    curve = models.validation_curve(signal_base, n=None, k=2, leaves=(4, 8), rounds=2).collect()
+    curve = models.validation_curve(signal_base, 100, k=2, leaves=(4, 8), rounds=2).collect()
     assert [r["max_leaves"] for r in curve] == [4, 8]
 
 
@@ -85,7 +88,7 @@ def test_saved_model_scores_the_same(signal_base, boosted, tmp_path):
     boosted.write().overwrite().save(f"{tmp_path}/m")
     again = PipelineModel.load(f"{tmp_path}/m")
     rows = [{r["unit_id"]: r["score"] for r in models.score_rows(m, signal_base).collect()} for m in (boosted, again)]
-    assert rows[0] == rows[1] and len(rows[0]) == 400
+    assert rows[0] == rows[1] and len(rows[0]) == signal_base.count()
 
 
 def margin(scored):
@@ -96,7 +99,7 @@ def test_contributions_add_up_to_the_log_odds(signal_base, boosted):
     table, expected = explain.contributions(boosted, signal_base)
     want = margin(boosted.transform(signal_base))
     rows = table.collect()
-    assert len(rows) == 400
+    assert len(rows) == signal_base.count()
     for r in rows:
         assert expected + sum(r["contributions"]) == pytest.approx(want[r["unit_id"]], abs=1e-6)
 
@@ -104,7 +107,7 @@ def test_contributions_add_up_to_the_log_odds(signal_base, boosted):
 def test_one_path_against_the_definition():
     """Shapley values from all orders in which the features of a path can become known."""
     leaf = {"value": 3.0, "path": {4: (-np.inf, 1.0, 0.25), 2: (0.0, 5.0, 0.5), 7: (2.0, np.inf, 0.8)}}
-    game = explain.path_game(leaf)
+    game = explain.leaf_game(leaf)
     share = [0.25, 0.5, 0.8]
 
     def worth(known, holds):
@@ -116,7 +119,7 @@ def test_one_path_against_the_definition():
         for order in itertools.permutations(range(3)):
             for at, j in enumerate(order):
                 want[j] += (worth(order[: at + 1], holds) - worth(order[:at], holds)) / 6
-        np.testing.assert_allclose(game["table"][code], want, atol=1e-12)
+        np.testing.assert_allclose(explain.shapley(game, np.array([holds], dtype=float))[0], want, atol=1e-12)
     assert game["base"] == pytest.approx(3.0 * 0.25 * 0.5 * 0.8) and game["features"] == [4, 2, 7]
 
 
@@ -137,7 +140,7 @@ def test_both_explanations_find_the_driving_column(signal_base, boosted):
 def test_contribution_rows_have_names_and_values(signal_base, boosted):
     rows = explain.contribution_rows(boosted, signal_base, ["group_rate_prior_year"])
     assert rows.columns == ["unit_id", "column_name", "value", "contribution"]
-    assert rows.count() == 400 and rows.select("column_name").distinct().count() == 1
+    assert rows.count() == signal_base.count() and rows.select("column_name").distinct().count() == 1
 
 
 def test_gaussian_parameters_match_the_library_model(signal_base):
@@ -153,3 +156,17 @@ def test_gaussian_parameters_match_the_library_model(signal_base):
         for j, c in enumerate(columns):
             assert got[label, c]["mean"] == pytest.approx(model.theta.toArray()[label, j])
             assert got[label, c]["variance"] == pytest.approx(model.sigma.toArray()[label, j], rel=1e-3)
+
+
+def test_no_row_is_lost_without_a_group(odd_base):
+    scored = models.out_of_fold(odd_base, models.candidates()["baseline"], k=3)
+    assert scored.count() == odd_base.count() and scored.where("score IS NULL").count() == 0
+
+
+def test_bounded_training_keeps_validation_whole(signal_base):
+    folded = models.fold_members(signal_base, 3)
+    cut = models.bounded_training(folded, 100)
+    assert cut.count() == signal_base.count()
+    sizes = {r["fit"]: r["n"] for r in cut.select(F.explode("fits").alias("fit")).groupBy("fit").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {0: 100, 1: 100, 2: 100}
+    assert models.bounded_training(folded, 10**6).selectExpr("sum(size(fits))").first()[0] == 2 * signal_base.count()

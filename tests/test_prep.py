@@ -55,9 +55,9 @@ def test_no_gap_is_left_and_every_gap_is_flagged(base):
 
 
 def test_unseen_level_is_all_zero(base):
-    seen = base.where("region1 <> 'CE'")
+    seen = base.where("region1 <> 'isles'")
     model = estimator(seen).fit(seen)
-    new = base.where("region1 = 'CE'")
+    new = base.where("region1 = 'isles'")
     at = [i for i, n in enumerate(model.feature_names()) if n.startswith("region1_")]
     got = matrix(model, new)
     assert len(got) == new.count() and all((v[at] == 0).all() for v in got.values())
@@ -107,13 +107,6 @@ def test_all_folds_learn_in_one_pass_what_each_learns_alone(base):
         assert alone["categorical"] == together[i]["categorical"]
 
 
-def test_an_identifier_is_no_category(spark, monkeypatch):
-    monkeypatch.setattr(prep, "MAX_RARE_LEVELS", 50)
-    df = spark.range(200).select(F.col("id").cast("string").alias("form"))
-    with pytest.raises(ValueError, match="identifier"):
-        prep.fit_specs(df, [], ["form"])
-
-
 def test_preparation_and_model_are_one_saved_object(base, tmp_path):
     stages = [estimator(base), LogisticRegression(labelCol="label", maxIter=5)]
     model = Pipeline(stages=stages).fit(base)
@@ -122,5 +115,25 @@ def test_preparation_and_model_are_one_saved_object(base, tmp_path):
     assert again.stages[0].feature_names() == model.stages[0].feature_names()
     scores = [m.transform(base).select("unit_id", vector_to_array("probability").alias("p")) for m in (model, again)]
     rows = [{r["unit_id"]: r["p"] for r in s.collect()} for s in scores]
-    assert rows[0] == rows[1] and len(rows[0]) == 400
+    assert rows[0] == rows[1] and len(rows[0]) == base.count()
     assert all(len(p) == 2 and sum(p) == pytest.approx(1) for p in rows[0].values())
+
+
+def test_many_rare_levels_in_many_fits(spark, tmp_path):
+    """A column with hundreds of rare levels: each marks its rows, in every fit and after saving."""
+    rows = [(i, f"L{i % 700}" if i % 3 else "often", [j for j in range(18) if (i + j) % 6]) for i in range(4200)]
+    df = spark.createDataFrame(rows, "id int, c string, fits array<int>")
+    specs = prep.fit_specs(df, [], ["c"], fits="fits")
+    assert len(specs) == 18
+    for fit in (0, 17):
+        known = {c for _, c, fits in rows if fit in fits}
+        got = prep.with_features(df, specs[fit]).select("c", vector_to_array("features").alias("x")).distinct().collect()
+        for r in got:
+            want = [1.0, 0.0] if r["c"] == "often" else [0.0, float(r["c"] in known)]
+            assert list(r["x"]) == want
+    model = prep.TabularPrep(numericCols=[], categoricalCols=["c"]).fit(df)
+    model.write().overwrite().save(f"{tmp_path}/prep")
+    again = prep.TabularPrepModel.load(f"{tmp_path}/prep")
+    new = spark.createDataFrame([("often",), ("L1",), ("never seen",), (None,)], "c string")
+    both = [[list(r[0]) for r in m.transform(new).select(vector_to_array("features")).collect()] for m in (model, again)]
+    assert both[0] == both[1] and [1.0, 0.0] in both[0] and [0.0, 1.0] in both[0] and [0.0, 0.0] in both[0]

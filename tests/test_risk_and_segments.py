@@ -140,3 +140,17 @@ def test_k_scan_prefers_the_true_number(units):
     # standardised points are centred at the origin; every family must still split them
     assert all(r["silhouette_hierarchical"] is not None for r in table)
     assert min(table, key=lambda r: r["davies_bouldin_kmeans"])["k"] == 4
+
+
+def test_a_name_table_with_a_key_twice_is_refused(spark):
+    units = spark.createDataFrame([("g", 1)], "group_id string, rows int")
+    names = spark.createDataFrame([("g", "one"), ("g", "two")], "group_id string, group_name string")
+    with pytest.raises(ValueError, match="group g is in the name table 2 times"):
+        risk.with_names(units, names)
+    assert risk.with_names(units, names.limit(1)).count() == 1
+
+
+def test_nearest_centres(spark):
+    rows = [(0, 0.0, 0.0), (0, 1.0, 0.0), (1, 10.0, 0.0), (1, 9.0, 0.0), (1, 1.5, 0.0)]
+    got = segments.nearest(spark.createDataFrame(rows, "profile int, a double, b double"), dims=["a", "b"]).collect()
+    assert [r["nearest"] for r in got] == [True, True, True, True, False]

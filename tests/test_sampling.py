@@ -35,7 +35,7 @@ def test_sample_does_not_depend_on_layout_and_changes_with_the_seed(base, monkey
 
 
 def test_rows_without_a_label_leave_the_sample(base):
-    df = base.withColumn("label", F.when(F.col("form") != "01", F.col("label")))
+    df = base.withColumn("label", F.when(F.col("form") != "x", F.col("label")))
     assert sampling.stratified_sample(df, 100).where("label IS NULL").count() == 0
 
 
@@ -78,3 +78,18 @@ def test_as_many_groups_as_folds(spark):
     df = spark.createDataFrame([("a", "u1"), ("b", "u2"), ("b", "u3")], "group_id string, unit_id string")
     assert sorted(r["fold"] for r in sampling.group_folds(df, 2).collect()) == [0, 1]
     assert sampling.with_folds(df, 2).count() == 3
+
+
+def test_rows_without_a_group_are_one_group(odd_base):
+    """No row is lost, and the rows without a group stay together, in folds as in the split."""
+    folded = sampling.with_folds(odd_base, 4)
+    assert ids(folded) == ids(odd_base) and folded.count() == odd_base.count()
+    assert folded.where("group_id IS NULL").select("fold").distinct().count() == 1
+    assert folded.where("fold IS NULL").count() == 0
+    split = sampling.group_split(odd_base, 0.3)
+    assert split.where("is_test IS NULL").count() == 0
+    assert split.where("group_id IS NULL").select("is_test").distinct().count() == 1
+    sides = [split.where("is_test"), split.where("NOT is_test")]
+    assert sampling.shared_groups(*sides).count() == 0
+    groups = odd_base.select("group_id").distinct().count()
+    assert sides[0].select("group_id").distinct().count() == math.ceil(0.3 * groups)

@@ -1,5 +1,6 @@
 """The whole course on the smallest tables: train, evaluate, apply, report."""
 
+import dataclasses
 import json
 
 import pytest
@@ -14,11 +15,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def run(spark):
-    base = star.base(spark, SF_DIR).drop("fixed_score")
+def root(spark, tmp_path_factory):
+    """Base, both sides, model and training tables on disk."""
+    where = str(tmp_path_factory.mktemp("run"))
+    stages.save_base(star.base(spark, SF_DIR).drop("fixed_score"), where)
     every = models.candidates(rounds=2, trees=3)
-    trained = stages.train_stage(
-        base,
+    stages.save_training(
+        spark,
+        where,
         families={m: every[m] for m in ("baseline", "naive_bayes")},
         space={"rate": [0.1], "rounds": [2], "leaves": [4, 8], "min_leaf": [20]},
         n_iter=2,
@@ -26,9 +30,27 @@ def run(spark):
         rounds=2,
         parallelism=6,
     )
-    evaluated = stages.evaluate_stage(trained)
-    applied = stages.apply_stage(base, star.inputs(spark, SF_DIR).names, trained.build, restarts=2)
-    return trained, evaluated, applied
+    return where
+
+
+@pytest.fixture(scope="module")
+def run(spark, root):
+    """Evaluation and application from the saved files alone."""
+    evaluated = stages.save_evaluation(spark, root)
+    applied = stages.save_application(spark, root, star.names(spark, SF_DIR), restarts=2)
+    names = "design comparison scaler_comparison learning_curve validation_curve search ablation".split()
+    trained = stages.load_trained(spark, root)
+    tables = {n: spark.read.parquet(f"{root}/training/{n}") for n in names}
+    return dataclasses.replace(trained, tables=tables), evaluated, applied
+
+
+def test_documents_are_whole(spark, root, run):
+    documents = {n: json.loads(spark.read.json(f"{root}/documents/{n}").first()["document"]) for n in ("training", "metrics", "strategy")}
+    assert {"design", "comparison", "search", "params", "ablation"} <= set(documents["training"])
+    assert {"precision_0", "recall_1", "roc_auc", "threshold"} <= set(documents["metrics"]["metrics"][0])
+    told = documents["strategy"]["strategy"][0]
+    assert told["adopted_k"] == 4 and -1 <= told["silhouette"] <= 1 and told["region_risk"] and told["profiles"]
+    assert documents["strategy"]["risk_by_region"]
 
 
 def test_tables_of_all_stages(run):
@@ -48,6 +70,7 @@ def test_report_tables_and_documents(run, tmp_path):
     assert tables["top_permutation"].count() == 10 and tables["top_risk"].count() <= 15
     document = json.loads(reports.as_json({n: tables[n] for n in ("design", "risk_summary", "ablation_range")}).first()[0])
     assert {r["side"] for r in document["design"]} == {"train", "test"}
+    assert tables["importance_chart"].count() == tables["effect_chart"].count() == 15
     paths = write_tables({n: tables[n] for n in ("design", "errors")}, str(tmp_path))
     assert set(paths) == {"design", "errors"}
 
