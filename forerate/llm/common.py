@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forerate.sources.staging import staged
+from forerate.sources.staging import ship_package, staged
 
 #: What separates words: space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -184,6 +184,8 @@ def free_names(taken: list[str], *names: str) -> list[str]:
 
 
 def mapped(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df`` through Arrow batches, in tasks that can import this package."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

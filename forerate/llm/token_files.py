@@ -30,8 +30,8 @@ from forerate.sources.staging import new_path
 #: Words are encoded so many at a time, with a special token between them.
 CHUNK = 4096
 #: Words whose ids a worker process remembers from block to block.
-MEMORY = 500_000
-ENCODE_BLOCK = 16 << 20
+MEMORY = 150_000
+ENCODE_BLOCK = 4 << 20
 #: Sizes of the written files: a row group, a page (both in bytes), rows of a page at most.
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 256 << 10, 512
 ROWS = "doc_id long, part int, part_start long, n_tokens long, tokens array<int>"
