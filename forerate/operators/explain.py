@@ -19,7 +19,7 @@ from forerate.functions.scalars import round_half_even, seeded_hash
 from forerate.operators.metrics import ranking_metrics
 from forerate.operators.models import feature_names, score_rows
 from forerate.operators.sampling import HASH, simple_sample
-from forerate.sources.staging import new_path, staged
+from forerate.sources.staging import new_path, ship_package, staged
 
 
 def permutation_importance(
@@ -133,6 +133,7 @@ def contributions(model: PipelineModel, df: DataFrame, key: str = "unit_id") ->
     the values of each pattern of conditions that its rows show, once.
     """
     spark = df.sparkSession
+    ship_package(spark)
     leaves = leaf_paths(model.stages[-1], spark)
     expected = sum(leaf["value"] for leaf in leaves if not leaf["path"])
     games = [leaf_game(leaf) for leaf in leaves if leaf["path"]]

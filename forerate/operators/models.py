@@ -162,13 +162,15 @@ class Fit:
     tags: dict = field(default_factory=dict)
 
 
-ROWS_PER_TASK = 50_000
+LEAST_ROWS_PER_TASK, MOST_ROWS_PER_TASK = 10_000, 1_000_000
 
 
 def spread(df: DataFrame, rows: int) -> DataFrame:
-    """Learners pass over their rows hundreds of times: a table of ``rows`` rows is dealt out evenly, so
-    that a task has enough rows to be worth its start."""
-    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)))
+    """Learners pass over their rows hundreds of times: a table of ``rows`` rows is dealt out evenly, over
+    all cores as long as a task has enough rows to be worth its start."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = min(rows // LEAST_ROWS_PER_TASK, max(cores, rows // MOST_ROWS_PER_TASK))
+    return df.repartition(max(1, wanted))
 
 
 def fold_members(df: DataFrame, k: int, seed: int = SEED) -> DataFrame:

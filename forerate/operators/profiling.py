@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from forerate.functions.scalars import nan_to_null, round_half_even, unpivot
+from forerate.sources.staging import ship_package
 
 
 def column_coverage(df: DataFrame, columns: list[str] | None = None, only_incomplete: bool = True) -> DataFrame:
@@ -105,6 +106,7 @@ def correlations(df: DataFrame, columns: list[str], with_column: str | None = No
     names = list(dict.fromkeys([*columns, *([with_column] if with_column else [])]))
     means = df.agg(*[F.coalesce(F.avg(nan_to_null(F.col(c).cast("double"))), F.lit(0.0)).alias(c) for c in names]).first()
     centred = [(F.col(c).cast("double") - F.lit(float(means[c]))).alias(c) for c in names]
+    ship_package(df.sparkSession)
     sums = df.select(*centred).mapInArrow(moments, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
     size = len(names)
     m = np.zeros((3 * size, 3 * size))

@@ -11,8 +11,10 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -27,6 +29,27 @@ def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], R]], at_once:
         return list(pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per application.
+
+    What runs in a task can then be imported there, wherever the driver found the package.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="forerate-code-"), f"{package.name}.zip")
+    atexit.register(shutil.rmtree, archive.parent, ignore_errors=True)
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     sc = spark.sparkContext
