@@ -179,14 +179,20 @@ def fit_specs(
 
     if categorical:
         levels = staged(category_levels(counts, min_frequency), "levels")
-        listed = levels.where("NOT is_rare OR is_filler").collect()
-        rare = levels.where("is_rare").select(*KEYS, "level")
-        many = {(r["fit"], r["column_name"]): r["count"] for r in rare.groupBy(*KEYS).count().collect()}
-        few = [k for k, n in many.items() if n <= INLINE_RARE]
+        many = {(r["fit"], r["column_name"]): r["n"] for r in levels.groupBy(*KEYS).agg(F.count_if("is_rare").alias("n")).collect()}
+        long = [k for k, n in many.items() if n > INLINE_RARE]
+        rare = levels.where("is_rare")
+        if long:
+            keys = F.broadcast(_keys(levels, long))
+            found = levels.where("NOT is_rare OR is_filler").collect() + rare.where("NOT is_filler").join(keys, KEYS, "left_anti").collect()
+            stored = rare_tables(rare.join(keys, KEYS, "left_semi").select(*KEYS, "level"))
+        else:
+            found, stored = levels.collect(), None
+        listed = [r for r in found if not r["is_rare"] or r["is_filler"]]
         inline: dict[tuple[int, str], list[str]] = {}
-        for r in rare.join(F.broadcast(_keys(levels, few)), KEYS, "left_semi").collect() if few else []:
-            inline.setdefault((r["fit"], r["column_name"]), []).append(r["level"])
-        tables = rare_tables(rare.join(F.broadcast(_keys(levels, few)), KEYS, "left_anti") if few else rare, len(many) > len(few))
+        for r in found:
+            if r["is_rare"] and many[r["fit"], r["column_name"]] <= INLINE_RARE:
+                inline.setdefault((r["fit"], r["column_name"]), []).append(r["level"])
         for fit, column in sorted({(r["fit"], r["column_name"]) for r in listed}, key=lambda k: (k[0], categorical.index(k[1]))):
             mine = [r for r in listed if (r["fit"], r["column_name"]) == (fit, column)]
             entry = {
@@ -196,7 +202,7 @@ def fit_specs(
                 "rare": sorted(inline.get((fit, column), [])),
             }
             if many.get((fit, column), 0) > INLINE_RARE:
-                entry["rare_table"] = {"path": tables, "fit": fit, "rows": many[fit, column]}
+                entry["rare_table"] = {"path": stored, "fit": fit, "rows": many[fit, column]}
             spec(fit)["categorical"].append(entry)
     return specs
 
@@ -206,10 +212,8 @@ def _keys(like: DataFrame, keys: list[tuple[int, str]]) -> DataFrame:
     return like.sparkSession.createDataFrame(keys, f"fit {like.schema['fit'].dataType.simpleString()}, column_name string")
 
 
-def rare_tables(rare: DataFrame, needed: bool) -> str | None:
+def rare_tables(rare: DataFrame) -> str:
     """The rare levels of the columns that have too many to write down, stored by fit and column."""
-    if not needed:
-        return None
     path = new_path(rare.sparkSession, "rare")
     rare.write.parquet(path)
     return path
