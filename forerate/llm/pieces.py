@@ -76,6 +76,11 @@ class Vocabulary:
                 pieces.append((text, model.get_score(i)))
         return cls(pieces, byte_ids, surfaces)
 
+    def surface_bytes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all pieces in one array, where each begins, and how many it has."""
+        lengths = np.array([len(x) for x in self.surfaces], dtype=np.int64)
+        return np.frombuffer(b"".join(self.surfaces), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
+
     def units(self, word: str) -> list[str]:
         """A marked word cut where no piece goes on: strings with ``m`` before a marked unit, else ``u``."""
         out, kind = [], "m"
@@ -162,17 +167,6 @@ def added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name]).add(name, kind)
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """``docs`` with ``pieces``, the ids of ``text``; ``model`` is a SentencePiece file with byte pieces."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary.load(model)
-        for batch in blocks(batches, ENCODE_BLOCK):
-            yield replaced(batch, "pieces", piece_lists(batch.column("text"), vocabulary))
-
-    return mapped(docs, work, added(docs, "pieces", T.ArrayType(T.IntegerType())))
-
-
 def texts_of(pieces: pa.ListArray, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
     """Texts of lists of ids, given the bytes of all pieces; the mark before the first word goes."""
     offsets = np.asarray(pieces.offsets, dtype=np.int64)
@@ -190,18 +184,37 @@ def texts_of(pieces: pa.ListArray, flat: np.ndarray, starts: np.ndarray, lengths
     )
 
 
+def encode(docs: DataFrame, model: str, verified: str | None = None) -> DataFrame:
+    """``docs`` with ``pieces``, the ids of ``text``; ``model`` is a SentencePiece file with byte pieces.
+
+    With ``verified`` a column of that name tells whether the ids, decoded, are the text again.
+    """
+    schema = added(docs, "pieces", T.ArrayType(T.IntegerType()))
+    if verified:
+        schema = T.StructType([f for f in schema.fields if f.name != verified]).add(verified, T.BooleanType())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary.load(model)
+        for batch in blocks(batches, ENCODE_BLOCK):
+            lists = piece_lists(batch.column("text"), vocabulary)
+            out = replaced(batch, "pieces", lists)
+            if verified:
+                same = pc.equal(texts_of(lists, *vocabulary.surface_bytes()), batch.column("text").fill_null(""))
+                out = replaced(out, verified, same)
+            yield out
+
+    return mapped(docs, work, schema)
+
+
 def decode(rows: DataFrame, model: str) -> DataFrame:
     """``rows`` with ``decoded``, the text of ``pieces``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surfaces = Vocabulary.load(model).surfaces
-        flat = np.frombuffer(b"".join(surfaces), dtype=np.uint8)
-        lengths = np.array([len(x) for x in surfaces], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
+        surfaces = Vocabulary.load(model).surface_bytes()
         for batch in batches:
             lists = batch.column("pieces")
             if lists.null_count:
                 lists = lists.fill_null([])
-            yield replaced(batch, "decoded", texts_of(lists, flat, starts, lengths))
+            yield replaced(batch, "decoded", texts_of(lists, *surfaces))
 
     return mapped(rows, work, added(rows, "decoded", T.StringType()))

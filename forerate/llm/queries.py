@@ -73,11 +73,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = vocabulary("piece_bpe_32k.model")
-    rows = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    rows = pieces.decode(rows, model)
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return rows.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", same.alias("round_trip"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.encode(docs, vocabulary("piece_bpe_32k.model"), verified="round_trip")
+    return rows.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "round_trip")
 
 
 def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -160,6 +160,8 @@ def test_round_trip(spark, docs, rows):
     coded = pieces.encode(docs, MODEL)
     assert [c for c in coded.columns if c != "pieces"] == [c for c in docs.columns if c != "pieces"]
     got = pieces.decode(coded, MODEL).collect()
+    told = pieces.encode(docs, MODEL, verified="same")
+    assert told.columns[-2:] == ["pieces", "same"] and told.where("same").count() == len(rows)
     assert Counter((r.doc_id, r.decoded) for r in got) == Counter((i, t or "") for i, t in rows)
     assert all(r.pieces == [] for r in got if not r.text)
 
