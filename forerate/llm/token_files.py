@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -25,13 +26,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forerate.llm.common import blocks, mapped
-from forerate.sources.staging import new_path
+from forerate.sources.staging import new_path, staged
 
 #: Words are encoded so many at a time, with a special token between them.
 CHUNK = 4096
-#: Words whose ids a worker process remembers from block to block.
+#: Words whose ids a worker process remembers from block to block and task to task.
 MEMORY = 150_000
 ENCODE_BLOCK = 4 << 20
+#: Rows of an Arrow batch where whole documents or their ids are sent.
+BATCH_ROWS = 1_500
 #: Sizes of the written files: a row group, a page (both in bytes), rows of a page at most.
 ROW_GROUP, PAGE, PAGE_ROWS = 32 << 20, 256 << 10, 512
 ROWS = "doc_id long, part int, part_start long, n_tokens long, tokens array<int>"
@@ -69,16 +72,24 @@ class WordEncoder:
         self.shown = {c: "".join(byte[b] for b in chr(c).encode()) for c in range(128, 384)}
 
     def letters(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of lower-cased words of letters and how many each has; recent words are remembered."""
-        if len(self.memory) > MEMORY:
-            self.memory, self.ids, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
-        new = [w for w in some if w not in self.memory]
+        """Ids of lower-cased words of letters and how many each has.
+
+        The first words that a worker sees are remembered: frequent words are soon among them.
+        """
+        known = self.memory.get
+        at = np.fromiter((known(w, -1) for w in some), dtype=np.int64, count=len(some))
+        missing = np.flatnonzero(at < 0)
+        new = [some[i] for i in missing]
         ids, sizes = self.merged(new)
-        self.memory.update(zip(new, range(len(self.memory), len(self.memory) + len(new))))
-        self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
-        at = np.fromiter((self.memory[w] for w in some), dtype=np.int64, count=len(some))
-        starts = np.cumsum(self.sizes) - self.sizes
-        return gathered(self.ids, starts[at], self.sizes[at]), self.sizes[at]
+        at[missing] = len(self.sizes) + np.arange(len(new))
+        ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+        kept = min(len(new), MEMORY - len(self.memory))
+        if kept > 0:
+            self.memory.update(zip(new[:kept], range(len(self.sizes), len(self.sizes) + kept)))
+            self.sizes = sizes[: len(self.sizes) + kept].copy()
+            self.ids = ids[: int(self.sizes.sum())].copy()
+        starts = np.cumsum(sizes) - sizes
+        return gathered(ids, starts[at], sizes[at]), sizes[at]
 
     def merged(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters by the tokenizer's merges."""
@@ -203,16 +214,18 @@ def write_tokens(encoded: DataFrame, path: str, row_group: int = ROW_GROUP, page
     return path
 
 
-def token_index(spark: SparkSession, path: str) -> DataFrame:
-    """Where each document's ids begin among all ids: reads the metadata columns only.
-
-    Files are summed first, so the running sum has one row per file.
-    """
-    rows = spark.read.parquet(path).select("doc_id", "part", "part_start", "n_tokens")
+def part_offsets(rows: DataFrame) -> DataFrame:
+    """``part, part_offset``: the ids of all files before; files are summed first, so there is a row per file."""
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("part_offset"))
-    return rows.join(offsets, "part").selectExpr("doc_id", "part", "part_start", "part_offset + part_start start", "n_tokens")
+    return totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("part_offset"))
+
+
+def token_index(spark: SparkSession, path: str) -> DataFrame:
+    """Where each document's ids begin among all ids: reads the metadata columns only."""
+    rows = spark.read.parquet(path).select("doc_id", "part", "part_start", "n_tokens")
+    joined = rows.join(F.broadcast(part_offsets(rows)), "part")
+    return joined.selectExpr("doc_id", "part", "part_start", "part_offset + part_start start", "n_tokens")
 
 
 def read_tokens(spark: SparkSession, path: str, first: int | None = None, last: int | None = None) -> DataFrame:
@@ -227,24 +240,36 @@ def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the crc32 of the ids as little-endian unsigned 32-bit integers."""
     for batch in batches:
         tokens = batch.column("tokens")
-        values = tokens.values.to_numpy(zero_copy_only=False).astype("<u4")
-        offsets = tokens.offsets.to_numpy()
-        crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        values = np.asarray(tokens.values).astype("<i4", copy=False)
+        offsets = np.asarray(tokens.offsets)
+        crc = [zlib.crc32(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         kept = [batch.column(name) for name in ("doc_id", "part", "part_start", "n_tokens")]
         names = ["doc_id", "part", "part_start", "n_tokens", "ids_crc32"]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(crc, pa.int64())], names=names)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Arrow batches of fewer rows while a job runs: its rows are whole documents or all their ids."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a written table: start, number and checksum of its ids, as read from the files."""
-    rows = mapped(read_tokens(spark, path), checksums, "doc_id long, part int, part_start long, n_tokens long, ids_crc32 long")
-    totals = spark.read.parquet(path).groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("part_offset"))
-    joined = rows.join(F.broadcast(offsets), "part")
-    return joined.selectExpr("doc_id", "part_offset + part_start start", "n_tokens", "ids_crc32")
+    schema = "doc_id long, part int, part_start long, n_tokens long, ids_crc32 long"
+    with small_batches(spark):
+        rows = staged(mapped(read_tokens(spark, path), checksums, schema), "checksums")
+    index = part_offsets(rows)
+    return rows.join(F.broadcast(index), "part").selectExpr("doc_id", "part_offset + part_start start", "n_tokens", "ids_crc32")
 
 
 def token_table(docs: DataFrame, tokenizer: str) -> str:
     """Encode and write into the shared folder; the path of the table."""
-    return write_tokens(encode(docs, tokenizer), new_path(docs.sparkSession, "tokens"))
+    with small_batches(docs.sparkSession):
+        return write_tokens(encode(docs, tokenizer), new_path(docs.sparkSession, "tokens"))
