@@ -7,9 +7,10 @@ more is boilerplate and removed; a document that keeps less than ``min_left`` of
 depleted and rejected.
 
 Distinct documents are meant by content, or a clean text would go for being copied often. Copies of a
-text count once. A text most of whose words are in lines that other texts of the host have too is a
-variant of something; it is known by the least hash of its shared lines, which variants of one text
-have in common, and all texts so known count once.
+text count once, and so do near copies: texts linked by a Jaccard similarity of ``ALIKE_PERCENT`` or
+more of their whole sets of three-word shingles, each link verified. Texts that share lines and are
+less alike than that count one by one, whatever share of their words the lines make up. Only texts
+with a line that enough distinct texts of the host have are compared.
 
 Counting combines on the map side, only shared lines are joined back, and no line or host meets in
 one task. Results for odd input: a null or blank text has no words and fails the base rules; a null
@@ -27,14 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
+from forerate.llm import ngram_join
 from forerate.llm.common import U64, Words, blocks, free_names, mapped, mix, packed_lists, signed, span_hashes
 from forerate.sources.staging import staged
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A line in so many distinct documents of a host is boilerplate; the share of words a document must keep.
 MAX_DOCS, MIN_LEFT = 50, 0.3
-#: From this share of words in shared lines on a text is taken for a variant of others.
-VARIANT_SHARE = 0.5
+#: Texts whose sets of so many words' shingles are so similar count as one document.
+ALIKE_WORDS, ALIKE_PERCENT = 3, 80
 #: Changed texts are sent to every executor up to so many rows, else joined by shuffle.
 MAX_BROADCAST_TEXTS = 2_000
 
@@ -141,24 +143,31 @@ def measured(docs: DataFrame, host: str) -> DataFrame:
     return staged(mapped(rows, measure, MEASURED), "measured")
 
 
-def boilerplate(rows: DataFrame, max_docs: int) -> tuple[DataFrame, DataFrame]:
+def boilerplate(rows: DataFrame, docs: DataFrame, max_docs: int) -> tuple[DataFrame, DataFrame]:
     """Lines above the limit as ``key``; and ``host_key, mark, key, size`` of the shared lines of each text."""
-    texts = rows.select("host_key", "mark", "n_words", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-    texts = texts.select("host_key", "mark", "n_words", F.col("l.lines").alias("key"), F.col("l.line_words").alias("size"))
+    texts = rows.select("host_key", "mark", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
+    texts = texts.select("host_key", "mark", F.col("l.lines").alias("key"), F.col("l.line_words").alias("size"))
     shared = texts.groupBy("key").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low < high").select("key")
     shared = staged(texts.join(shared, "key").distinct(), "shared")
-    known = shared.groupBy("host_key", "mark").agg(
-        F.when(F.sum("size") >= F.max("n_words") * VARIANT_SHARE, F.min("key")).alias("variant")
-    )
-    named = shared.join(known, ["host_key", "mark"])
-    named = named.select("key", F.when(F.col("variant").isNull(), F.col("mark")).otherwise(F.col("variant")).alias("known"))
-    often = named.distinct().groupBy("key").count().where(F.col("count") >= max_docs).select("key")
-    return staged(often, "often"), shared
-
-
-def verdicts(rows: DataFrame, max_docs: int, min_left: float) -> tuple[DataFrame, DataFrame]:
+    often = staged(shared.groupBy("key").count().where(F.col("count") >= max_docs).select("key"), "often")
+    size = often.count()
+    if not size:
+        return often, shared
+    # near copies can only lower a count, so the texts of these lines are all that need comparing
+    held = staged(lookup(shared.select("key", "mark"), often, ["key"], size, "inner"), "held")
+    asked = staged(held.select("mark").distinct(), "asked")
+    whole = docs.select(F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
+    whole = lookup(whole, asked, ["mark"], asked.count(), "left_semi").dropDuplicates(["mark"])
+    whole = staged(whole.withColumnRenamed("mark", "doc_id"), "compared")
+    alike = staged(ngram_join.classes(whole, ALIKE_WORDS, ALIKE_PERCENT), "alike")
+    named = held.join(alike.select(F.col("doc_id").alias("mark"), "component_id"), "mark")
+    named = named.select("key", "component_id").distinct()
+    return staged(named.groupBy("key").count().where(F.col("count") >= max_docs).select("key"), "often"), shared
+
+
+def verdicts(rows: DataFrame, docs: DataFrame, max_docs: int, min_left: float) -> tuple[DataFrame, DataFrame]:
     """Measured rows with ``base_failed``, ``n_cut`` (words in removed lines) and ``kept``; the removed lines."""
-    often, shared = boilerplate(rows, max_docs)
+    often, shared = boilerplate(rows, docs, max_docs)
     cut = lookup(shared, often, ["key"], often.count(), "inner")
     cut = staged(cut.groupBy("host_key", "mark").agg(F.sum("size").alias("n_cut"), F.collect_set("key").alias("cut_lines")), "cut-lines")
     out = lookup(rows.drop("lines", "line_words"), cut.select("host_key", "mark", "n_cut"), ["host_key", "mark"], cut.count(), "left")
@@ -170,7 +179,7 @@ def verdicts(rows: DataFrame, max_docs: int, min_left: float) -> tuple[DataFrame
 
 def judged(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """Measures and verdict of every row."""
-    out, _ = verdicts(measured(docs, host), max_docs, min_left)
+    out, _ = verdicts(measured(docs, host), docs, max_docs, min_left)
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_cut"
     )
@@ -200,7 +209,7 @@ def line_cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def kept_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that are kept, all columns, without their boilerplate lines; ``n_chars`` is counted anew."""
-    out, cut = verdicts(measured(docs, host), max_docs, min_left)
+    out, cut = verdicts(measured(docs, host), docs, max_docs, min_left)
     key = [F.xxhash64(F.col(host).cast("string")).alias("host_key"), F.xxhash64("text").alias("mark")]
     texts = docs.select(*key, F.col("text").cast("string").alias("text"))
     texts = lookup(texts, cut.select("host_key", "mark", "cut_lines"), ["host_key", "mark"], cut.count(), "inner")
