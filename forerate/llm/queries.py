@@ -82,35 +82,38 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
-def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tool calls and results as told by the turns of ordinary conversations.
+def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tool calls, results and other turns as told by the turns of ordinary conversations.
 
-    Each assistant turn is a call: its tool by the turn's number, its arguments from the text. The
+    Each assistant turn is a call: its tool by the turn's number, its arguments from the whole text. The
     k-th uses the result of call (k - 1) div 2. Each later user turn is the result of the call before it.
+    System and first user turns, and whatever else is no call or result, are the other turns.
     """
     turns = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    ident = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
+    ident = lambda turn: F.concat(F.lit("c"), conv, F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
     k = F.floor(turn / 2)
     tool = F.element_at(F.array(F.lit("search"), F.lit("count"), F.lit("translate")), (k % 3 + 1).cast("int"))
-    query, n = F.substring("text", 1, 40), F.char_length("text")
+    query, n = F.col("text"), F.char_length("text")
     arguments = (
         F.when(k % 3 == 0, F.to_json(F.struct(query.alias("query"), F.floor(n / 10).alias("limit"))))
         .when(k % 3 == 1, F.to_json(F.struct(query.alias("query"), (n > 300).alias("exact"))))
         .otherwise(F.to_json(F.struct(query.alias("target"), F.when(n < 900, query).alias("query"))))
     )
     need = F.when(k > 0, F.array(ident(F.floor((k - 1) / 2) * 2 + 1))).otherwise(F.array().cast("array<string>"))
-    calls = turns.where("role = 'assistant'").select(
+    is_call, is_result = "role = 'assistant' and turn is not null", "role = 'user' and turn > 0"
+    calls = turns.where(is_call).select(
         "conv_id", "turn", ident(turn).alias("call_id"), tool.alias("name"), arguments.alias("arguments"), need.alias("needs")
     )
-    results = turns.where("role = 'user' and turn > 0").select(
-        "conv_id", "turn", ident(turn - 1).alias("call_id"), F.col("text").alias("content")
-    )
-    return calls, results
+    results = turns.where(is_result).select("conv_id", "turn", ident(turn - 1).alias("call_id"), F.col("text").alias("content"))
+    others = turns.where(f"not coalesce(({is_call}) or ({is_result}), false)")
+    return calls, results, others
 
 
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tool_calls.linked(*calls_and_results(table(spark, sf_dir, "conversations")), TOOLS)
+    calls, results, others = calls_and_results(table(spark, sf_dir, "conversations"))
+    return tool_calls.linked(calls, results, TOOLS).unionByName(tool_calls.plain(others))
 
 
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

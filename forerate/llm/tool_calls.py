@@ -13,7 +13,8 @@ conversation the earliest counts, ties by name and arguments; of several results
 used, and ``n_results`` tells their number. A result without a call has ``status`` orphan, a call
 without a result open. Calls on a circle have no level and status cycle. A null text is empty, a null
 conversation is a conversation of its own, and a call without identifier can't be linked and is
-left out. Empty tables give no rows; other columns of the input are ignored.
+left out. Turns that are no call or result are written by ``plain``. Empty tables give no rows;
+other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -152,3 +153,23 @@ def linked(calls: DataFrame, results: DataFrame, tools: Sequence[Tool]) -> DataF
         F.when(called, error).alias("error"),
         message.alias("message"),
     )
+
+
+def plain(turns: DataFrame) -> DataFrame:
+    """Turns ``conv_id, turn, role, text`` that are no call or result, as rows like those of ``linked``.
+
+    Their status is message, and the message is a JSON object of ``content`` and ``role``.
+    """
+    message = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("content"), "role"))
+    null = F.lit(None)
+    return turns.select(
+        "conv_id",
+        "turn",
+        null.cast("string").alias("call_id"),
+        null.cast("string").alias("name"),
+        null.cast("int").alias("level"),
+        F.lit(0).cast("long").alias("n_results"),
+        F.lit("message").alias("status"),
+        null.cast("string").alias("error"),
+        message.alias("message"),
+    )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 from texts import prose
 
-from forerate.llm import quality
+from forerate.llm import quality, queries, tool_calls
 
 
 def line(rng: random.Random, n: int) -> str:
@@ -25,3 +26,30 @@ def test_template_pages_are_depleted_and_near_copies_count_once(spark):
     assert all(got[i].n_cut == 90 and not got[i].kept for i in range(70))
     assert all(got[i].n_cut == 0 and got[i].kept for i in (*range(100, 170), *range(200, 249)))
     assert {r.doc_id for r in quality.kept_documents(df).collect()} == {*range(100, 170), *range(200, 249)}
+
+
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def chat(spark, turns):
+    calls, results, others = queries.calls_and_results(spark.createDataFrame(turns, TURNS))
+    return tool_calls.linked(calls, results, queries.TOOLS).unionByName(tool_calls.plain(others)).collect()
+
+
+def test_every_turn_is_in_a_message_with_its_whole_text(spark):
+    long = "word " * 60 + '"quoted" \\ end'
+    turns = [
+        *[(1, 0, "user", "first"), (1, 1, "assistant", long), (1, 2, "user", "answer"), (1, 3, "assistant", long + "x")],
+        *[(None, 0, "user", "hello"), (None, 1, "assistant", long), (None, 2, "user", None)],
+        (2, 0, "system", "rules"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in chat(spark, turns)}
+    assert json.loads(got[1, 1].message)["arguments"]["query"] == long and got[1, 1].error == "query is too large"
+    assert json.loads(got[1, 3].message)["arguments"]["query"] == long + "x"
+    assert got[None, 1].status == "linked" and json.loads(got[None, 1].message)["arguments"]["query"] == long
+    plain = {k: json.loads(r.message) for k, r in got.items() if r.status == "message"}
+    assert plain == {
+        (1, 0): {"content": "first", "role": "user"},
+        (None, 0): {"content": "hello", "role": "user"},
+        (2, 0): {"content": "rules", "role": "system"},
+    }
