@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forerate.functions.ordering import running_sums
 from forerate.llm import (
     decontaminate,
     ngram_join,
@@ -19,6 +20,7 @@ from forerate.llm import (
     tool_calls,
     url_filter,
 )
+from forerate.sources.staging import staged
 
 SHARDS = 40
 RULES = (
@@ -82,16 +84,34 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def numbered(turns: DataFrame) -> DataFrame:
+    """Turns with ``conv`` (never null), ``number`` of a call in its conversation, and the number a result ``answers``."""
+    turns = turns.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
+    has = lambda role: F.coalesce(F.max((F.col("role") == role).cast("int")), F.lit(0))
+    places = turns.where("turn is not null").groupBy("conv", "turn").agg(has("assistant").alias("calls"), has("user").alias("users"))
+    places = running_sums(places, ["conv"], [("turn", True)], ["calls"]).select("conv", "turn", "users", "calls_before")
+    places = staged(places, "places")
+    first = places.where("users > 0 and calls_before > 0").groupBy("conv", "calls_before").agg(F.min("turn").alias("turn"))
+    places = places.select("conv", "turn", F.col("calls_before").alias("at"))
+    out = turns.join(places, ["conv", "turn"], "left").join(first, ["conv", "turn"], "left")
+    return out.withColumns(
+        {
+            "number": F.when(F.col("role") == "assistant", F.col("at")),
+            "answers": F.when(F.col("role") == "user", F.col("calls_before") - 1),
+        }
+    ).drop("at", "calls_before")
+
+
 def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Tool calls, results and other turns as told by the turns of ordinary conversations.
 
     Each assistant turn is a call: its tool by the turn's number, its arguments from the whole text. The
-    k-th uses the result of call (k - 1) div 2. Each later user turn is the result of the call before it.
-    System and first user turns, and whatever else is no call or result, are the other turns.
+    k-th of a conversation, from 0 and in order of turn, uses the result of call (k - 1) div 2. The first
+    user turn after a call and before the next is the call's result. System and first user turns, and
+    whatever else is no call or result, are the other turns.
     """
     turns = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    conv = F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))
-    ident = lambda turn: F.concat(F.lit("c"), conv, F.lit("-"), turn.cast("string"))
+    ident = lambda turn: F.concat(F.lit("c"), F.col("conv"), F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
     k = F.floor(turn / 2)
     tool = F.element_at(F.array(F.lit("search"), F.lit("count"), F.lit("translate")), (k % 3 + 1).cast("int"))
@@ -101,13 +121,19 @@ def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
         .when(k % 3 == 1, F.to_json(F.struct(query.alias("query"), (n > 300).alias("exact"))))
         .otherwise(F.to_json(F.struct(query.alias("target"), F.when(n < 900, query).alias("query"))))
     )
-    need = F.when(k > 0, F.array(ident(F.floor((k - 1) / 2) * 2 + 1))).otherwise(F.array().cast("array<string>"))
-    is_call, is_result = "role = 'assistant' and turn is not null", "role = 'user' and turn > 0"
-    calls = turns.where(is_call).select(
-        "conv_id", "turn", ident(turn).alias("call_id"), tool.alias("name"), arguments.alias("arguments"), need.alias("needs")
+    turns = staged(numbered(turns), "turns")
+    numbers = turns.where("number is not null").select("conv", "number", ident(turn).alias("id")).distinct()
+    calls = turns.where("number is not null").select(
+        *("conv_id", "turn", "conv", ident(turn).alias("call_id"), tool.alias("name"), arguments.alias("arguments")),
+        F.when(F.col("number") > 0, F.expr("(number - 1) div 2")).alias("uses"),
     )
-    results = turns.where(is_result).select("conv_id", "turn", ident(turn - 1).alias("call_id"), F.col("text").alias("content"))
-    others = turns.where(f"not coalesce(({is_call}) or ({is_result}), false)")
+    used = numbers.select("conv", F.col("number").alias("uses"), F.col("id").alias("need"))
+    need = F.when(F.col("need").isNotNull(), F.array("need")).otherwise(F.array().cast("array<string>"))
+    calls = calls.join(used, ["conv", "uses"], "left")
+    calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", need.alias("needs"))
+    results = turns.where("answers is not null").select("conv_id", "turn", "conv", F.col("answers").alias("number"), F.col("text").alias("content"))
+    results = results.join(numbers, ["conv", "number"]).select("conv_id", "turn", F.col("id").alias("call_id"), "content")
+    others = turns.where("number is null and answers is null").select("conv_id", "turn", "role", "text")
     return calls, results, others
 
 

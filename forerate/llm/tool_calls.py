@@ -6,7 +6,9 @@ written as one canonical JSON object: keys sorted, no white space.
 
 The order is given as ``level``: the longest chain of calls below a call. It is found for all
 conversations at once, one join per level, so a long conversation isn't one task's work. Calls of a
-level don't depend on each other and may be taken in order of turn.
+level don't depend on each other and may be taken in order of turn. A need that no call of the
+conversation has is named in ``error`` as a missing need, behind a fault of the arguments if there is
+one; the level then tells the order among the calls that exist.
 
 Only DataFrame functions are used. Results for odd input: of calls with one identifier in one
 conversation the earliest counts, ties by name and arguments; of several results the earliest is
@@ -121,11 +123,16 @@ def linked(calls: DataFrame, results: DataFrame, tools: Sequence[Tool]) -> DataF
         key_of("conv_id", "call_id").alias("key"), F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"), "n_results", "r"
     )
     names = calls.select("key")
-    needs = calls.select("key", "conv_id", F.explode("needs").alias("need")).select("key", key_of("conv_id", "need").alias("need"))
-    needs = needs.distinct().join(names.withColumnRenamed("key", "need"), "need", "left_semi").select("key", "need")
-    levels = call_levels(names, needs)
-    rows = calls.join(levels, "key", "left").join(found, "key", "full")
+    needs = calls.select("key", "conv_id", F.explode("needs").alias("id")).where("id is not null")
+    needs = needs.select("key", "id", key_of("conv_id", "id").alias("need"))
+    known = needs.distinct().join(names.select(F.col("key").alias("need"), F.lit(True).alias("met")), "need", "left")
+    known = staged(known, "known")
+    unmet = known.where("met is null").groupBy("key").agg(F.array_sort(F.collect_set("id")).alias("unmet"))
+    levels = call_levels(names, known.where("met").select("key", "need"))
+    rows = calls.join(levels, "key", "left").join(unmet, "key", "left").join(found, "key", "full")
+    missing = F.concat(F.lit("missing need: "), F.array_join("unmet", ", "))
     error = argument_error(F.col("name"), F.col("arguments"), tools)
+    error = F.nullif(F.concat_ws("; ", error, missing), F.lit(""))
     status = (
         F.when(F.col("call_id").isNull(), "orphan")
         .when(F.col("level").isNull(), "cycle")

@@ -53,3 +53,25 @@ def test_every_turn_is_in_a_message_with_its_whole_text(spark):
         (None, 0): {"content": "hello", "role": "user"},
         (2, 0): {"content": "rules", "role": "system"},
     }
+
+
+def test_needs_follow_the_order_of_the_calls(spark):
+    roles = ["system", *["user", "assistant"] * 5, "user", "user"]
+    turns = [(1, t, r, f"text {t}") for t, r in enumerate(roles)]
+    turns += [(2, 3 * t, r, f"text {t}") for t, r in enumerate(["user", "assistant", "assistant", "user"])]
+    got = {(r.conv_id, r.turn): r for r in chat(spark, turns)}
+    assert [got[1, t].level for t in (2, 4, 6, 8, 10)] == [0, 1, 1, 2, 2]
+    assert [got[2, t].level for t in (3, 6)] == [0, 1] and got[2, 3].status == "open"
+    assert [json.loads(got[1, t].message)["result"] for t in (2, 10)] == ["text 3", "text 11"]
+    assert {k for k, r in got.items() if r.status == "message"} == {(1, 0), (1, 1), (1, 12), (2, 0)}
+    assert not any(r.status == "orphan" or "missing need" in (r.error or "") for r in got.values())
+
+
+def test_missing_needs_are_told(spark):
+    ok = json.dumps({"query": "some words here", "limit": 3})
+    calls = [(1, 1, "a", "search", ok, ["lost", None]), (1, 2, "b", "search", "{", ["a", "lost", "gone"]), (1, 3, "c", "search", ok, ["a"])]
+    calls = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: r for r in tool_calls.linked(calls, results, queries.TOOLS).collect()}
+    assert {k: r.error for k, r in got.items()} == {"a": "missing need: lost", "b": "not JSON; missing need: gone, lost", "c": None}
+    assert {k: r.level for k, r in got.items()} == {"a": 0, "b": 1, "c": 1}
