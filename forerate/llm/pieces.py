@@ -1,8 +1,10 @@
 """Operator 5: SentencePiece encoding and decoding with a shared-prefix Viterbi.
 
-A text is marked (a space before it, every space becomes U+2581) and cut before each mark, and where
-two characters meet that no piece has side by side (line ends, punctuation behind a word); no piece
-crosses such a cut, so the units can be segmented alone. The distinct units of a block of texts are
+A text is marked (a space before it, every space becomes U+2581) and cut before each run of marks, and
+where two characters meet that no piece has side by side (line ends, punctuation behind a word); no
+piece crosses such a cut, so the units can be segmented alone. A run of marks stays with the word
+behind it, as a model may have pieces for runs; if it has pieces with a mark behind another character,
+texts aren't cut at marks at all. The distinct units of a block of texts are
 sorted, which is a depth-first walk of their trie, and the best scores of a unit's prefixes are kept
 while the next unit shares them: each node of the trie is scored once. The best segmentation
 maximises the sum of the piece scores of a public model; a character without a piece costs the least
@@ -30,6 +32,8 @@ from forerate.llm.common import blocks, mapped
 from forerate.llm.token_files import gathered
 
 MARK = "▁"
+#: Stands for a U+2581 of the text inside a unit; no text has it, as it isn't valid UTF-8.
+OWN_MARK = "\ud800"
 ENCODE_BLOCK = 4 << 20
 UNKNOWN_PENALTY = 10.0
 #: What is cut off behind a word, where no piece forbids it.
@@ -44,7 +48,7 @@ class Vocabulary:
         self.byte_ids, self.surfaces = list(byte_ids), list(surfaces)
         self.root: dict = {}
         for i, (text, score) in enumerate(pieces):
-            if not text or MARK in text[1:]:
+            if not text:
                 continue
             node = self.root
             for c in reversed(text):
@@ -53,7 +57,8 @@ class Vocabulary:
         inside = {(t[i], t[i + 1]) for t, _ in pieces for i in range(len(t) - 1)}
         self.inside = inside
         self.splits_lines = not any("\n" in t for t, _ in pieces)
-        self.unknown = min((s for t, s in pieces if t and MARK not in t[1:]), default=0.0) - UNKNOWN_PENALTY
+        self.splits_words = not any(b == MARK != a for a, b in inside)
+        self.unknown = min((s for t, s in pieces if t), default=0.0) - UNKNOWN_PENALTY
 
     @classmethod
     @lru_cache(maxsize=2)  # once per worker process
@@ -82,13 +87,16 @@ class Vocabulary:
         return np.frombuffer(b"".join(self.surfaces), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths
 
     def units(self, word: str) -> list[str]:
-        """A marked word cut where no piece goes on: strings with ``m`` before a marked unit, else ``u``."""
+        """A marked word cut where no piece goes on: strings with ``m`` before a marked unit, else ``u``.
+
+        Spaces in a word are marks, too.
+        """
         out, kind = [], "m"
         for part in word.split("\n") if self.splits_lines else (word,):
             if out:
                 out.append("u\n")
             core = part.rstrip(PUNCTUATION)
-            if core != part and core and (core[-1], part[len(core)]) not in self.inside:
+            if core != part and core and (core[-1].replace(" ", MARK), part[len(core)]) not in self.inside:
                 out += [kind + core, "u" + part[len(core) :]]
             elif part or kind == "m":
                 out.append(kind + part)
@@ -102,7 +110,8 @@ class Vocabulary:
         best, origin, chosen = [0.0], [0], [-1]
         for unit in units:
             marked = unit[0] == "m"
-            word = MARK + unit[1:] if marked else unit[1:]
+            word = unit[1:].replace(MARK, OWN_MARK).replace(" ", MARK)
+            word = MARK + word if marked else word
             shared, most = 0, min(len(word), len(before)) if marked == was_marked else 0
             while shared < most and word[shared] == before[shared]:
                 shared += 1
@@ -110,8 +119,7 @@ class Vocabulary:
             for end in range(shared + 1, len(word) + 1):
                 at = start = end - 1
                 top, piece, node = best[at] + unknown, -1, root
-                # a mark inside the unit is the text's own character, which only its bytes can say
-                while at >= 0 and (word[at] != MARK or (marked and not at)):
+                while at >= 0:
                     node = node.get(word[at])
                     if node is None:
                         break
@@ -129,31 +137,49 @@ class Vocabulary:
                 if chosen[end] >= 0:
                     ids.append(chosen[end])
                 else:
-                    shown = " " if marked and end == 1 else word[end - 1]
+                    shown = word[end - 1].replace(MARK, " ").replace(OWN_MARK, MARK)
                     ids.extend(byte_ids[b] for b in reversed(shown.encode()))
                 end = origin[end]
             ids.reverse()
             yield ids
 
 
+def runs_joined(index: np.ndarray, text_of: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Word numbers and texts with each run of empty words joined to the word behind it, and all words.
+
+    An empty word is what lies between two spaces; the last word of a text ends its run.
+    """
+    if "" not in words or not len(index):
+        return index, text_of, words
+    last = np.append(text_of[1:] != text_of[:-1], True)
+    ends = np.flatnonzero((index != words.index("")) | last)
+    spaces = np.diff(np.concatenate([[-1], ends])) - 1
+    pairs, at = np.unique(spaces * len(words) + index[ends], return_inverse=True)
+    return at, text_of[ends], [" " * k + words[w] for k, w in (divmod(p, len(words)) for p in pairs.tolist())]
+
+
 def piece_lists(texts: pa.Array, vocabulary: Vocabulary) -> pa.ListArray:
     texts = texts.fill_null("")
-    words = pc.split_pattern(texts, " ")
-    per_text = np.diff(words.offsets.to_numpy())
     empty = np.asarray(pc.equal(pc.binary_length(texts), 0))
-    coded = words.flatten().dictionary_encode()
-    cut = [vocabulary.units(w) for w in coded.dictionary.to_pylist()]
+    if vocabulary.splits_words:
+        words = pc.split_pattern(texts, " ")
+        per_text, coded = np.diff(words.offsets.to_numpy()), words.flatten().dictionary_encode()
+    else:
+        per_text, coded = np.ones(len(texts), dtype=np.int64), texts.dictionary_encode()
+    text_of = np.repeat(np.arange(len(texts)), per_text)
+    filled = ~empty[text_of]  # an empty text has one empty word
+    index, text_of, known = np.asarray(coded.indices, dtype=np.int64)[filled], text_of[filled], coded.dictionary.to_pylist()
+    if vocabulary.splits_words:
+        index, text_of, known = runs_joined(index, text_of, known)
+    cut = [vocabulary.units(w) for w in known]
     distinct = sorted({u for units in cut for u in units})
     ids_of = dict(zip(distinct, vocabulary.segment(distinct), strict=True))
     found = [ids_of[units[0]] if len(units) == 1 else [i for u in units for i in ids_of[u]] for units in cut]
     counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
     flat = np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(counts.sum()))
     starts = np.cumsum(counts) - counts
-    index = np.asarray(coded.indices, dtype=np.int64)
-    index = index[~np.repeat(empty, per_text)]  # an empty text has one empty word
-    per_text = np.where(empty, 0, per_text)
     sums = np.concatenate([[0], np.cumsum(counts[index])])
-    ends = sums[np.cumsum(per_text)]
+    ends = sums[np.cumsum(np.bincount(text_of, minlength=len(texts)))]
     offsets = np.concatenate([[0], ends]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(gathered(flat, starts[index], counts[index]), pa.int32()))
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 import json
 import random
 
+import public_tokenizers
+import pyarrow as pa
+import pytest
 from texts import prose
 
-from forerate.llm import quality, queries, tool_calls
+from forerate.llm import pieces, quality, queries, tool_calls
 
 
 def line(rng: random.Random, n: int) -> str:
@@ -75,3 +78,50 @@ def test_missing_needs_are_told(spark):
     got = {r.call_id: r for r in tool_calls.linked(calls, results, queries.TOOLS).collect()}
     assert {k: r.error for k, r in got.items()} == {"a": "missing need: lost", "b": "not JSON; missing need: gone, lost", "c": None}
     assert {k: r.level for k, r in got.items()} == {"a": 0, "b": 1, "c": 1}
+
+
+def best_sum(scores: dict[str, float], unknown: float, text: str) -> float:
+    """Over all cuts of a whole text, without cutting it into units first."""
+    text = "▁" + text.replace("▁", "\ufffe").replace(" ", "▁")
+    longest, best = max(map(len, scores)), [0.0]
+    for end in range(1, len(text) + 1):
+        starts = [s for s in range(max(0, end - longest), end) if text[s:end] in scores]
+        best.append(max([best[end - 1] + unknown, *(best[s] + scores[text[s:end]] for s in starts)]))
+    return best[-1]
+
+
+def checked(v: pieces.Vocabulary, known: list[tuple[str, float]], texts: list[str]) -> list[list[int]]:
+    scores, by_id = {t: s for t, s in known if t}, {i: s for i, (t, s) in enumerate(known) if t}
+    got = pieces.piece_lists(pa.array(texts), v).to_pylist()
+    for text, ids in zip(texts, got, strict=True):
+        assert b"".join(v.surfaces[i] for i in ids).decode() == (" " + text if text else "")
+        total, run = 0.0, b""
+        for i in ids:  # bytes of one unknown character cost once
+            run = b"" if i in by_id else run + v.surfaces[i]
+            total += by_id.get(i, 0.0)
+            if run and len(run.decode(errors="ignore")):
+                total, run = total + v.unknown, b""
+        assert total == pytest.approx(best_sum(scores, v.unknown, text) if text else 0.0, rel=1e-12)
+    return got
+
+
+def test_runs_of_spaces_use_all_pieces_of_the_model():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, v, rng = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Vocabulary.load(path), random.Random(33)
+    skipped = lambda i: model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+    known = [("" if skipped(i) else model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    parts = ["the", "def", "\n", ".", "▁", "é", "😀", " ", "  ", "   ", " " * 8, " " * 16, " " * 37]
+    texts = ["", " ", "   ", "a    b", "x\n        return", *("".join(rng.choices(parts, k=rng.randrange(1, 8))) for _ in range(200))]
+    got = checked(v, known, texts)
+    long = {i for i, (t, _) in enumerate(known) if len(t) > 1 and not t.strip("▁")}
+    assert len(long) > 10 and long & {i for ids in got for i in ids}
+
+
+def test_pieces_with_a_mark_behind_a_character():
+    texts = ["▁", "a", "b", "▁a", "▁▁", "b▁", "a▁b", "▁▁▁"]
+    known = [("", 0.0)] * 256 + [(t, -float(i % 3) - 1) for i, t in enumerate(texts)]
+    v = pieces.Vocabulary(known, range(256), [bytes([i]) for i in range(256)] + [t.replace("▁", " ").encode() for t in texts])
+    rng = random.Random(34)
+    checked(v, known, ["".join(rng.choice("ab  ▁c") for _ in range(rng.randrange(10))) for _ in range(300)])
