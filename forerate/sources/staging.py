@@ -8,12 +8,14 @@ small and shuffle it when it is not, so no join in this package needs a broadcas
 from __future__ import annotations
 
 import atexit
+import contextvars
 import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from pathlib import Path
 from typing import TypeVar
 
@@ -25,8 +27,10 @@ R = TypeVar("R")
 
 def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], R]], at_once: int = 4) -> list[R]:
     """Results of independent Spark jobs that are submitted at the same time, in the given order."""
+    jobs = list(jobs)
+    contexts = [contextvars.copy_context() for _ in jobs]
     with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs))
+        return list(pool.map(inheritable_thread_target(spark)(lambda job, context: context.run(job)), jobs, contexts))
 
 
 _shipped: set[str] = set()
@@ -79,10 +83,48 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and return the table read back."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staged_paths", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables staged inside are deleted at the end, but for those staged by the function it yields.
+
+    These belong to the scope around this one, if there is one. What is built lazily from a deleted
+    table can't be read any more, so whatever leaves the scope must be kept that way.
+    """
+    mine: list[str] = []
+    outer = _scope.set(mine)
+    around = outer.old_value if outer.old_value is not contextvars.Token.MISSING else None
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = staged(df, name)
+        kept = mine.pop()
+        if around is not None:
+            around.append(kept)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _scope.reset(outer)
+        for path in mine:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a table of the shared folder."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True))
+
+
 _caches: list[dict] = []
 
 
@@ -95,10 +137,7 @@ def drop_staged(spark: SparkSession) -> bool:
     """Delete every staged table of this application, and forget what was kept of them."""
     for cache in _caches:
         cache.clear()
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.delete(path, True))
+    return delete(spark, staging_folder(spark))
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
