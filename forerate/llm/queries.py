@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from forerate.functions.ordering import running_sums
 from forerate.llm import (
+    bpe,
+    centroids,
     decontaminate,
+    fill_middle,
     ngram_join,
     piece_counts,
     pieces,
@@ -165,6 +168,30 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_pieces(table(spark, sf_dir, "documents"), starts, continuations)
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = bpe.encode(docs, vocabulary("word_bpe_49k.json"), decoded="decoded")
+    return rows.select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("tokens").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        *("doc_id", "n", "form", "prefix_chars", "middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clusters(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -178,12 +205,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_virtual_slots,
         op9_substring_dedup,
         op10_piece_counts,
+        op11_bpe,
+        op12_fill_middle,
+        op13_centroids,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+
+def lloyd_sql(k: int, rounds: int, dims: int, scale: int, seed: int) -> str:
+    """SQL of plain Lloyd's rounds on integer vectors, one table of centroids and one of assignments a round."""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims})""",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS j, x FROM v
+  ORDER BY sha256('{seed}:' || vec_id) LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (SELECT vec_id, x, m.j AS j, m.d AS d FROM (
+  SELECT v.vec_id, any_value(v.x) AS x, min({{'d': list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'j': c.j}}) AS m
+  FROM v, c{i} c GROUP BY v.vec_id))"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+  SELECT j, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM (
+    SELECT j, i, sum(e)::HUGEINT AS s, count(*) AS n FROM (SELECT j, unnest(x) AS e, unnest(range(1, {dims + 1})) AS i FROM a{i}) GROUP BY 1, 2)
+  GROUP BY 1) m USING (j))"""
+            )
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, a.j::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a.j))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.j = a.j"""
+
+
 ORACLES: dict[str, str] = {
     "op2_ngram_join": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
@@ -214,4 +272,15 @@ g AS (SELECT doc_id, count(*) AS n, list(k) AS ks FROM gone GROUP BY 1)
 SELECT w.doc_id, len(w) AS n_words, coalesce(g.n, 0) AS n_removed,
   sha256(array_to_string(CASE WHEN g.n IS NULL THEN w ELSE list_filter(w, lambda x, k: NOT list_contains(g.ks, k)) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN g USING (doc_id)""",
+    "op12_fill_middle": """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+k AS (SELECT doc_id, t, n, ('0x' || h[1:8])::UBIGINT % (n + 1) AS a, ('0x' || h[9:16])::UBIGINT % (n + 1) AS b,
+  CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::UBIGINT % 100 >= 90 THEN 'plain'
+    WHEN ('0x' || h[25:32])::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+c AS (SELECT *, least(a, b)::BIGINT AS p, greatest(a, b)::BIGINT AS q FROM k),
+s AS (SELECT *, substring(t, 1, p) AS x, substring(t, p + 1, q - p) AS m, substring(t, q + 1) AS y FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || y || '<M>' || m ELSE '<S>' || y || '<P>' || x || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM s""",
+    "op13_centroids": lloyd_sql(8, 10, 64, 1024, 3),
 }
