@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,8 @@ from forerate.contracts import feature_columns
 from forerate.functions.ordering import running_sums
 from forerate.functions.scalars import round_half_even, seeded_hash
 from forerate.operators.metrics import ranking_metrics
+from forerate.operators.boosting import BoostedTrees, Tree
+from forerate.operators.linear import LinearModel
 from forerate.operators.models import feature_names, score_rows
 from forerate.operators.sampling import HASH, simple_sample
 from forerate.sources.staging import new_path, ship_package, staged
@@ -66,33 +68,55 @@ def permutation_importance(
     )
 
 
-def leaf_paths(model: GBTClassificationModel, spark) -> list[dict]:
-    """Every leaf of a boosted model with the interval and the cover share of each feature on its path.
+TreeModel = BoostedTrees | DecisionTreeClassificationModel | RandomForestClassificationModel
+
+
+def stored_trees(model: DecisionTreeClassificationModel | RandomForestClassificationModel, spark) -> list[Tree]:
+    """The trees of a model of the ML library, whose leaves hold their share of a probability.
 
     The saved model is read as a table; its size is that of the model, not of the data.
     """
     path = new_path(spark, "trees")
     model.write().save(path)
-    nodes: dict[int, dict[int, tuple]] = {}
-    fields = ["id", "prediction", "impurityStats", "leftChild", "rightChild", "split"]
-    for r in spark.read.parquet(f"{path}/data").select("treeID", *[f"nodeData.{f}" for f in fields]).collect():
-        nodes.setdefault(r["treeID"], {})[r["id"]] = r
+    single = isinstance(model, DecisionTreeClassificationModel)
+    fields = ["id", "impurityStats", "leftChild", "rightChild", "split"]
+    table = spark.read.parquet(f"{path}/data")
+    table = table.select(F.lit(0).alias("treeID"), *fields) if single else table.select("treeID", *[f"nodeData.{f}" for f in fields])
+    trees: dict[int, list] = {}
+    for r in table.orderBy("treeID", "id").collect():
+        trees.setdefault(r["treeID"], []).append(r)
+    out = []
+    for nodes in trees.values():
+        inner = [r["leftChild"] >= 0 for r in nodes]
+        stats = [r["impurityStats"] for r in nodes]
+        out.append(
+            Tree(
+                feature=[r["split"]["featureIndex"] if i else 0 for r, i in zip(nodes, inner)],
+                cut=[r["split"]["leftCategoriesOrThreshold"][0] if i else 0.0 for r, i in zip(nodes, inner)],
+                left=[r["leftChild"] for r in nodes],
+                right=[r["rightChild"] for r in nodes],
+                value=[0.0 if i else s[1] / sum(s) / len(trees) for s, i in zip(stats, inner)],
+                count=[sum(s) for s in stats],
+            )
+        )
+    return out
+
+
+def leaf_paths(trees: list[Tree]) -> list[dict]:
+    """Every leaf with the interval and the cover share of each feature on its path."""
     leaves: list[dict] = []
 
-    def walk(tree: dict, at: int, path: dict, scale: float) -> None:
-        node = tree[at]
-        if node["leftChild"] < 0:
-            leaves.append({"value": node["prediction"] * scale, "path": path})
+    def walk(tree: Tree, at: int, path: dict) -> None:
+        if tree.left[at] < 0:
+            leaves.append({"value": tree.value[at], "path": path})
             return
-        feature, cut = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"][0]
+        feature, cut = int(tree.feature[at]), tree.cut[at]
         low, high, share = path.get(feature, (-np.inf, np.inf, 1.0))
-        for child, ends in ((node["leftChild"], (low, min(high, cut))), (node["rightChild"], (max(low, cut), high))):
-            part = tree[child]["impurityStats"][0] / node["impurityStats"][0]
-            walk(tree, child, {**path, feature: (*ends, share * part)}, scale)
+        for child, ends in ((tree.left[at], (low, min(high, cut))), (tree.right[at], (max(low, cut), high))):
+            walk(tree, child, {**path, feature: (*ends, share * tree.count[child] / tree.count[at])})
 
-    for tree_id, tree in nodes.items():
-        # the margin is half the log-odds
-        walk(tree, 0, {}, 2 * model.treeWeights[tree_id])
+    for tree in trees:
+        walk(tree, 0, {})
     return leaves
 
 
@@ -126,16 +150,42 @@ def shapley(game: dict, holds: np.ndarray) -> np.ndarray:
     return out
 
 
-def contributions(model: PipelineModel, df: DataFrame, key: str = "unit_id") -> tuple[DataFrame, float]:
-    """(key, features, contributions) on the log-odds scale, and the expected value they add up from.
+def contributions(model: PipelineModel, df: DataFrame, key: str = "unit_id", background: DataFrame | None = None) -> tuple[DataFrame, float]:
+    """(key, features, contributions) and the expected value that the contributions add up from.
+
+    By kind of model: linear models in closed form, tree models by their leaves. Contributions add up to
+    the margin (log-odds, or decision value of the support vector machine) of a linear or boosted model,
+    and to the probability of a tree or forest.
+    """
+    last = model.stages[-1]
+    ready = model.stages[0].transform(df).select(key, vector_to_array("features").alias("features"))
+    if isinstance(last, LinearModel):
+        return linear_contributions(last, ready, ready if background is None else model.stages[0].transform(background).select(vector_to_array("features").alias("features")))
+    if isinstance(last, TreeModel):
+        return tree_contributions(last, ready)
+    raise TypeError(f"no contributions of a {type(last).__name__}")
+
+
+def linear_contributions(model: LinearModel, ready: DataFrame, background: DataFrame) -> tuple[DataFrame, float]:
+    """What a feature adds by being off its mean in ``background``: ``coefficient * (x - mean)``, one projection."""
+    weights, intercept = model.weights(), model.getOrDefault(model.intercept)
+    means = background.agg(F.array(*[F.avg(F.get("features", i)) for i in range(len(weights))])).first()[0]
+    means = [m or 0.0 for m in means]
+    parts = [F.lit(c) * (F.get("features", i) - F.lit(m)) for i, (c, m) in enumerate(zip(weights, means, strict=True))]
+    return ready.withColumn("contributions", F.array(*parts)), intercept + sum(c * m for c, m in zip(weights, means))
+
+
+def tree_contributions(model: TreeModel, ready: DataFrame) -> tuple[DataFrame, float]:
+    """Shapley values of tree models.
 
     The leaves are sent to the executors once; they are as many as the model has. A batch computes
     the values of each pattern of conditions that its rows show, once.
     """
-    spark = df.sparkSession
+    spark = ready.sparkSession
     ship_package(spark)
-    leaves = leaf_paths(model.stages[-1], spark)
-    expected = sum(leaf["value"] for leaf in leaves if not leaf["path"])
+    boosted = isinstance(model, BoostedTrees)
+    leaves = leaf_paths(model.trees() if boosted else stored_trees(model, spark))
+    expected = (model.start() if boosted else 0.0) + sum(leaf["value"] for leaf in leaves if not leaf["path"])
     games = [leaf_game(leaf) for leaf in leaves if leaf["path"]]
     expected += sum(g["base"] for g in games)
     sent = spark.sparkContext.broadcast(games)
@@ -155,7 +205,6 @@ def contributions(model: PipelineModel, df: DataFrame, key: str = "unit_id") ->
                 phi[:, g["features"]] += shapley(g, holds[first].astype(float))[of.ravel()]
             yield pd.Series(list(phi))
 
-    ready = model.stages[0].transform(df).select(key, vector_to_array("features").alias("features"))
     return ready.withColumn("contributions", explain("features")), float(expected)
 
 

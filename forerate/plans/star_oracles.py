@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import random
+
 from forerate.contracts import NUMERIC_FEATURES
 
 PLACES = """
@@ -622,26 +625,18 @@ shown AS (
   SELECT 'baseline' AS model, 0.5::DOUBLE AS roc_auc, 0.0::DOUBLE AS roc_auc_sd, 0.0::DOUBLE AS train_gap, accuracy, f1, average_precision FROM judged
   UNION ALL SELECT m, NULL, NULL, NULL, NULL, NULL, NULL FROM {FAMILIES} v(m))"""
 ORACLES["cv_model_comparison"] = f"{COMPARED} SELECT *, 1 AS possible FROM shown"
-ORACLES["scaler_comparison"] = f"{COMPARED} SELECT *, 1 AS possible, scaler FROM shown, (VALUES ('standard'), ('robust')) s(scaler)"
+ORACLES["scaler_comparison"] = f"{COMPARED} SELECT shown.*, 1 AS possible, scaler FROM shown, (VALUES ('standard'), ('robust')) s(scaler)"
 ORACLES["ablation"] = f"""
 SELECT 'baseline' AS model, 0.0::DOUBLE AS difference, 1 AS possible UNION ALL SELECT m, NULL, 1 FROM {FAMILIES} v(m)"""
 ORACLES["learning_curve"] = f"""{TRAIN}, {prior_sql(3, "train")}, smallest AS (SELECT min(others) AS n FROM prior)
 SELECT CAST(floor(n * (0.1::DOUBLE + 0.9::DOUBLE * s / 5)) AS BIGINT) AS train_rows, 1 AS possible FROM smallest, range(6) t(s)"""
 ORACLES["validation_curve"] = "SELECT l AS max_leaves, 1 AS possible, 1 AS grows FROM (VALUES (4), (8), (15), (31), (63), (127)) v(l)"
-# The seeded draw from the search space.
-DRAWN = """
-    ('draw_0', 0.2, 300, 63, 50),
-    ('draw_1', 0.03, 300, 63, 50),
-    ('draw_2', 0.03, 150, 15, 20),
-    ('draw_3', 0.05, 300, 31, 50),
-    ('draw_4', 0.05, 300, 4, 100),
-    ('draw_5', 0.05, 150, 63, 20),
-    ('draw_6', 0.03, 500, 8, 100),
-    ('draw_7', 0.03, 300, 31, 100),
-    ('draw_8', 0.2, 500, 15, 100),
-    ('draw_9', 0.2, 150, 8, 50)"""
+# The seeded draw of ten combinations out of all 540 of the search space.
+SPACE = {"rate": (0.03, 0.05, 0.1, 0.2), "rounds": (150, 300, 500), "leaves": (4, 8, 15, 31, 63), "min_leaf": (20, 50, 100), "l2": (0.0, 0.1, 1.0)}
+DRAWN = ", ".join(f"('draw_{j}', {', '.join(map(str, c))})" for j, c in enumerate(random.Random(42).sample([*itertools.product(*SPACE.values())], 10)))
 ORACLES["random_search"] = f"""
-SELECT name, CAST(rate AS DOUBLE) AS rate, rounds, leaves, min_leaf, 1 AS possible FROM (VALUES {DRAWN}) v(name, rate, rounds, leaves, min_leaf)"""
+SELECT name, CAST(rate AS DOUBLE) AS rate, rounds, leaves, min_leaf, CAST(l2 AS DOUBLE) AS l2, 1 AS possible
+FROM (VALUES {DRAWN}) v(name, rate, rounds, leaves, min_leaf, l2)"""
 ORACLES["oof_scores"] = f"""{BASE}, {prior_sql(3, "base")}
 SELECT unit_id, group_id, fold, round(p, 6) AS score, 1 AS scored FROM marked JOIN prior USING (fold)"""
 ORACLES["batch_scoring"] = f"""{SPLIT},
@@ -651,6 +646,9 @@ ORACLES["permutation_importance"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, 1 AS sound" for c in (*NUMERIC_FEATURES, *CATEGORIES)
 )
 ORACLES["mean_abs_shap"] = f"{SPLIT} SELECT count(*) AS rows, 0.0::DOUBLE AS largest_gap FROM base JOIN sides USING (group_id) WHERE is_test = 1"
+ORACLES["linear_contributions"] = f"""{SPLIT}
+SELECT model, count(*) AS rows, 0.0::DOUBLE AS largest_gap, 0.0::DOUBLE AS largest_mean, 0.0::DOUBLE AS slope
+FROM base JOIN sides USING (group_id), (VALUES ('logistic_regression'), ('linear_svm')) v(model) WHERE is_test = 1 GROUP BY model"""
 ORACLES["shap_long_table"] = f"{SPLIT} SELECT unit_id, 15 AS features FROM base JOIN sides USING (group_id) WHERE is_test = 1"
 ORACLES["kmeans_profiles"] = (
     f"{POINTS} SELECT group_id, network, " + ", ".join(f"round({z}, 6) AS {z}" for z in Z) + ", 1 AS nearest FROM points"

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from forerate.contracts import CATEGORICAL_FEATURES, ENRICHMENT_FEATURES, NUMERIC_FEATURES
 from forerate.functions.ordering import running_sums
 from forerate.functions.scalars import unpivot
-from forerate.operators import context, explain, metrics, models, prep, profiling, risk, sampling, segments
+from forerate.operators import context, explain, linear, metrics, models, prep, profiling, risk, sampling, segments
 from forerate.operators.context import UNIT_KEYS
 from forerate.plans import reports
 from forerate.sources import star
-from forerate.sources.staging import forget_with_staging, staged, staging_folder
+from forerate.sources.staging import forget_with_staging, new_path, staged, staging_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -575,6 +575,30 @@ def mean_abs_shap(spark, sf_dir):
     return rounded(table.select("unit_id", total.alias("total")).join(odds, "unit_id").agg(F.count("*").alias("rows"), gap), 5)
 
 
+@query
+def linear_contributions(spark, sf_dir):
+    """What the margins of the two linear models are made of, model by model.
+
+    Contributions and expected value add up to the margin that the coefficients give, as read back from
+    the saved model. A feature's contributions are nothing on average over the rows they are centred on.
+    At the minimum that was looked for, the loss has no slope in any direction (by unit of weight).
+    """
+    test, parts = test_side(spark, sf_dir), []
+    for family in ("logistic_regression", "linear_svm"):
+        model = fitted(spark, sf_dir, family)
+        path = new_path(spark, "linear")
+        model.stages[-1].write().save(path)
+        read = linear.LinearModel.load(path)
+        table, expected = explain.contributions(model, test)
+        total = F.aggregate("contributions", F.lit(float(expected)), lambda a, x: a + x)
+        gap = F.max(F.abs(total - read.margin("features"))).alias("largest_gap")
+        means = [F.abs(F.avg(F.get("contributions", i))) for i in range(len(read.weights()))]
+        slope = linear.slope_left(read, model.stages[0].transform(train_side(spark, sf_dir)))
+        about = table.agg(F.count("*").alias("rows"), gap, F.greatest(*means).alias("largest_mean"))
+        parts.append(about.select(F.lit(family).alias("model"), "*", F.lit(slope).alias("slope")))
+    return rounded(parts[0].unionByName(parts[1]), 6)
+
+
 @query
 def shap_long_table(spark, sf_dir):
     """Value and contribution per individual of the 15 features with the largest effect, as a chart shows."""

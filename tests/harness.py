@@ -20,6 +20,7 @@ def sql_rows(sf_dir: str, sql: str) -> list[dict]:
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
+    assert len(set(names)) == len(names), f"a column comes twice: {names}"
     return [dict(zip(names, r)) for r in cursor.fetchall()]
 
 
