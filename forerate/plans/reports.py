@@ -74,11 +74,12 @@ def strategy(units: DataFrame, assigned: DataFrame) -> DataFrame:
     summary = segments.profile_summary(assigned)
     cells = [F.col("profile_name"), F.col("units").cast("string"), one("predicted_rate")]
     profiles = listed(summary, [F.col("predicted_rate"), F.col("profile")], cells, "profiles")
+    width, error = segments.euclidean_silhouette(assigned, ["profile"])["profile"]
     return side_by_side(
         risk.risk_summary(units),
         risk.rate_errors(units).withColumnRenamed("units", "compared_units"),
         summary.agg(F.count("*").alias("adopted_k")),
-        segments.silhouette(assigned),
+        units.sparkSession.createDataFrame([(width, error)], "silhouette double, silhouette_error double"),
         by_region,
         profiles,
     )

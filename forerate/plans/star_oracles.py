@@ -514,6 +514,10 @@ widths AS (
          min(total / n) FILTER (own <> other) AS b FROM near GROUP BY id)
 SELECT round(avg(CASE WHEN own_n > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette FROM widths"""
 
+ORACLES["silhouette_euclid"] = ORACLES["silhouette_sq"].replace(f"sum({squared('a', 'b')})", f"sum(sqrt({squared('a', 'b')}))").replace(
+    "AS silhouette", "AS silhouette, 0.0::DOUBLE AS error"
+)
+
 ORACLES["davies_bouldin"] = f"""{POINTS}{CENTRES},
 scatter AS (SELECT profile, avg(sqrt({squared("p", "c", "m_")})) AS s FROM points p JOIN centres c USING (profile) GROUP BY profile),
 ratios AS (
@@ -575,12 +579,12 @@ FROM base JOIN sides USING (group_id) GROUP BY is_test"""
 
 _summary, _errors = (ORACLES[n][len(RISK) :] for n in ("risk_summary", "rate_error_vs_naive"))
 _profiles = ORACLES["profile_summary"][len(POINTS) :]
-_widths = ORACLES["silhouette_sq"][len(POINTS) :]
+_widths = ORACLES["silhouette_euclid"][len(POINTS) :].replace("AS error", "AS silhouette_error")
 ORACLES["strategy_summary"] = f"""{POINTS},
 counted AS ({_summary}), missed AS ({_errors.replace("AS units", "AS compared_units")}),
 by_region AS ({ORACLES["risk_by_region"][len(RISK):]}),
 width AS (WITH {_widths.lstrip(", ")}), listed AS (WITH {_profiles.lstrip(", ")})
-SELECT counted.*, missed.*, (SELECT count(DISTINCT profile) FROM points) AS adopted_k, width.silhouette,
+SELECT counted.*, missed.*, (SELECT count(DISTINCT profile) FROM points) AS adopted_k, width.*,
        (SELECT string_agg(region2 || ' ' || CAST(mean_risk AS DECIMAL(9, 1)), ', ' ORDER BY mean_risk DESC, region2) FROM by_region) AS region_risk,
        (SELECT string_agg(profile_name || ' ' || units || ' ' || CAST(predicted_rate AS DECIMAL(9, 1)), ', ' ORDER BY predicted_rate, profile) FROM listed)
        AS profiles FROM counted, missed, width"""

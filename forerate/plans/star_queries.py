@@ -373,6 +373,13 @@ def silhouette_sq(spark, sf_dir):
     return rounded(segments.silhouette(fixed_profiles(spark, sf_dir)))
 
 
+@query
+def silhouette_euclid(spark, sf_dir):
+    """By Euclidean distance; all units are compared with all, so there is no error of sampling."""
+    width, error = segments.euclidean_silhouette(fixed_profiles(spark, sf_dir), ["profile"])["profile"]
+    return rounded(spark.createDataFrame([(width, error)], "silhouette double, error double"))
+
+
 @query
 def davies_bouldin(spark, sf_dir):
     return rounded(segments.davies_bouldin(fixed_profiles(spark, sf_dir)))
