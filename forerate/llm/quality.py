@@ -6,16 +6,17 @@ words joined by one space) and hashed; a line found in ``max_docs`` distinct doc
 more is boilerplate and removed; a document that keeps less than ``min_left`` of its words is
 depleted and rejected.
 
-Distinct documents are meant by content, or a clean text would go for being copied often. Copies of a
-text count once, and so do near copies: texts linked by a Jaccard similarity of ``ALIKE_PERCENT`` or
-more of their whole sets of three-word shingles, each link verified. Texts that share lines and are
-less alike than that count one by one, whatever share of their words the lines make up. Only texts
-with a line that enough distinct texts of the host have are compared.
-
-Counting combines on the map side, only shared lines are joined back, and no line or host meets in
-one task. Results for odd input: a null or blank text has no words and fails the base rules; a null
-host is a host of its own; repeated rows get equal results; a null id stays null. Empty tables give no
-rows; other columns of the input are kept by ``kept_documents`` and ignored by ``judged``.
+Distinct documents are meant by content, or a clean text would go for being copied often: copies of a
+text count once. Near copies of a text are the same case. The lines of a large group of them are all
+above the limit, so a text is compared with others if ``MOST`` of its words are in such lines; of texts
+linked by a Jaccard similarity of ``ALIKE_PERCENT`` or more of their whole sets of three-word shingles
+one counts. Texts less alike count one by one, whatever share of their words the lines make up.
+
+Counting combines on the map side, only lines above the limit are joined back, and no line or host meets
+in one task. Results for odd input: a null or blank text has no words and fails the base rules; a null
+host is a host of its own; repeated rows get equal results; a null id stays null; a very long text is
+measured whole, as a block of its own. Empty tables give no rows; other columns of the input are kept by
+``kept_documents`` and ignored by ``judged``.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
@@ -37,13 +38,13 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 MAX_DOCS, MIN_LEFT = 50, 0.3
 #: Texts whose sets of so many words' shingles are so similar count as one document.
 ALIKE_WORDS, ALIKE_PERCENT = 3, 80
-#: Changed texts are sent to every executor up to so many rows, else joined by shuffle.
-MAX_BROADCAST_TEXTS = 2_000
+#: Share of a text's words in lines above the limit from which on it may be a near copy of others.
+MOST = 0.5
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 MEASURED = (
-    "doc_id long, host_key long, mark long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, host_key long, mark binary, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, lines array<long>, line_words array<int>"
 )
 
@@ -132,43 +133,54 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in MEASURED.split(", ")])
 
 
+def text_mark() -> Column:
+    """128 bits that name a text; a null text is named like an empty one."""
+    return F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+
+
 def measured(docs: DataFrame, host: str) -> DataFrame:
     """Base measures and distinct lines of every row. ``mark`` is the hash of the text."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.col(host).cast("string")).alias("host_key"),
-        F.xxhash64("text").alias("mark"),
+        text_mark().alias("mark"),
         F.col("text").cast("string").alias("text"),
     )
     return staged(mapped(rows, measure, MEASURED), "measured")
 
 
-def boilerplate(rows: DataFrame, docs: DataFrame, max_docs: int) -> tuple[DataFrame, DataFrame]:
-    """Lines above the limit as ``key``; and ``host_key, mark, key, size`` of the shared lines of each text."""
-    texts = rows.select("host_key", "mark", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
-    texts = texts.select("host_key", "mark", F.col("l.lines").alias("key"), F.col("l.line_words").alias("size"))
-    shared = texts.groupBy("key").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low < high").select("key")
-    shared = staged(texts.join(shared, "key").distinct(), "shared")
-    often = staged(shared.groupBy("key").count().where(F.col("count") >= max_docs).select("key"), "often")
+def boilerplate(rows: DataFrame, docs: DataFrame, max_docs: int) -> DataFrame:
+    """``host_key, mark, key, size`` of the lines that ``max_docs`` distinct texts of the host or more have.
+
+    Copies fold before they are counted, text by text, so neither a line nor a text meets in one task.
+    """
+    lines = rows.select("host_key", "mark", "n_words", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
+    lines = lines.select("host_key", "mark", "n_words", F.col("l.lines").alias("key"), F.col("l.line_words").alias("size"))
+    counted = lines.select("key", "mark").distinct().groupBy("key").count()
+    often = staged(counted.where(F.col("count") >= max_docs), "often")
     size = often.count()
-    if not size:
-        return often, shared
-    # near copies can only lower a count, so the texts of these lines are all that need comparing
-    held = staged(lookup(shared.select("key", "mark"), often, ["key"], size, "inner"), "held")
-    asked = staged(held.select("mark").distinct(), "asked")
-    whole = docs.select(F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
-    whole = lookup(whole, asked, ["mark"], asked.count(), "left_semi").dropDuplicates(["mark"])
-    whole = staged(whole.withColumnRenamed("mark", "doc_id"), "compared")
-    alike = staged(ngram_join.classes(whole, ALIKE_WORDS, ALIKE_PERCENT), "alike")
-    named = held.join(alike.select(F.col("doc_id").alias("mark"), "component_id"), "mark")
-    named = named.select("key", "component_id").distinct()
-    return staged(named.groupBy("key").count().where(F.col("count") >= max_docs).select("key"), "often"), shared
+    held = staged(lookup(lines, often, ["key"], size, "inner").distinct(), "held")
+    # near copies lower the count of a line; most of what they have is in lines above the limit
+    most = held.groupBy("host_key", "mark", "n_words").agg(F.sum("size").alias("size")).where(F.col("size") >= MOST * F.col("n_words"))
+    most = staged(most.select("mark").distinct(), "most")
+    n_texts = most.count()
+    if not n_texts:
+        return held.drop("n_words", "count")
+    whole = docs.select(text_mark().alias("mark"), F.col("text").cast("string").alias("text"))
+    whole = lookup(whole, most, ["mark"], n_texts, "left_semi").dropDuplicates(["mark"])
+    whole = staged(whole.withColumn("doc_id", F.xxhash64("mark")), "compared")
+    alike = ngram_join.classes(whole.select("doc_id", "text"), ALIKE_WORDS, ALIKE_PERCENT)
+    alike = staged(whole.select("mark", "doc_id").join(alike, "doc_id").select("mark", "component_id"), "alike")
+    spare = lookup(held.select("key", "mark").distinct(), alike, ["mark"], n_texts, "inner")
+    spare = staged(spare.groupBy("key").agg((F.count("*") - F.count_distinct("component_id")).alias("spare")), "spare")
+    often = lookup(often, spare, ["key"], spare.count(), "left").where(F.col("count") - F.coalesce("spare", F.lit(0)) >= max_docs)
+    often = staged(often.select("key"), "often")
+    return staged(lookup(held.drop("n_words", "count"), often, ["key"], often.count(), "inner"), "cut")
 
 
 def verdicts(rows: DataFrame, docs: DataFrame, max_docs: int, min_left: float) -> tuple[DataFrame, DataFrame]:
     """Measured rows with ``base_failed``, ``n_cut`` (words in removed lines) and ``kept``; the removed lines."""
-    often, shared = boilerplate(rows, docs, max_docs)
-    cut = lookup(shared, often, ["key"], often.count(), "inner")
+    cut = boilerplate(rows, docs, max_docs)
     cut = staged(cut.groupBy("host_key", "mark").agg(F.sum("size").alias("n_cut"), F.collect_set("key").alias("cut_lines")), "cut-lines")
     out = lookup(rows.drop("lines", "line_words"), cut.select("host_key", "mark", "n_cut"), ["host_key", "mark"], cut.count(), "left")
     out = out.withColumn("n_cut", F.coalesce("n_cut", F.lit(0)))
@@ -210,17 +222,16 @@ def line_cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def kept_documents(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that are kept, all columns, without their boilerplate lines; ``n_chars`` is counted anew."""
     out, cut = verdicts(measured(docs, host), docs, max_docs, min_left)
-    key = [F.xxhash64(F.col(host).cast("string")).alias("host_key"), F.xxhash64("text").alias("mark")]
+    key = [F.xxhash64(F.col(host).cast("string")).alias("host_key"), text_mark().alias("mark")]
     texts = docs.select(*key, F.col("text").cast("string").alias("text"))
     texts = lookup(texts, cut.select("host_key", "mark", "cut_lines"), ["host_key", "mark"], cut.count(), "inner")
-    left = mapped(texts.select("host_key", "mark", "text", "cut_lines"), line_cutter, "host_key long, mark long, left string")
+    left = mapped(texts.select("host_key", "mark", "text", "cut_lines"), line_cutter, "host_key long, mark binary, left string")
     at, mark, text = free_names(docs.columns, "_host", "_mark", "_text")
     left = staged(left.dropDuplicates(["host_key", "mark"]).toDF(at, mark, text), "left")
     dropped = staged(out.where("not kept").select("host_key", "mark").distinct().toDF(at, mark), "dropped")
-    rows = docs.withColumns({at: F.xxhash64(F.col(host).cast("string")), mark: F.xxhash64("text")})
+    rows = docs.withColumns({at: F.xxhash64(F.col(host).cast("string")), mark: text_mark()})
     rows = lookup(rows, dropped, [at, mark], dropped.count(), "left_anti")
-    if left.count() <= MAX_BROADCAST_TEXTS:
-        left = F.broadcast(left)
+    # its size on disk is known, so the planner sends it or shuffles it by bytes
     rows = rows.join(left, [at, mark], "left")
     changed = {"text": F.coalesce(text, "text")}
     if "n_chars" in docs.columns:
