@@ -88,8 +88,8 @@ def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """Turns with ``conv`` (never null), ``number`` of a call in its conversation, and the number a result ``answers``."""
-    turns = turns.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
+    """Turns with ``conv`` (never null, and no other conversation's), ``number`` of a call in its conversation, and the number a result ``answers``."""
+    turns = turns.withColumn("conv", F.to_json(F.array(F.col("conv_id").cast("string"))))
     has = lambda role: F.coalesce(F.max((F.col("role") == role).cast("int")), F.lit(0))
     places = turns.where("turn is not null").groupBy("conv", "turn").agg(has("assistant").alias("calls"), has("user").alias("users"))
     places = running_sums(places, ["conv"], [("turn", True)], ["calls"]).select("conv", "turn", "users", "calls_before")
@@ -114,7 +114,7 @@ def calls_and_results(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     whatever else is no call or result, are the other turns.
     """
     turns = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    ident = lambda turn: F.concat(F.lit("c"), F.col("conv"), F.lit("-"), turn.cast("string"))
+    ident = lambda turn: F.concat(F.lit("c"), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
     k = F.floor(turn / 2)
     tool = F.element_at(F.array(F.lit("search"), F.lit("count"), F.lit("translate")), (k % 3 + 1).cast("int"))

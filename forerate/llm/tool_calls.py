@@ -11,11 +11,12 @@ conversation has is named in ``error`` as a missing need, behind a fault of the
 one; the level then tells the order among the calls that exist.
 
 Only DataFrame functions are used. Results for odd input: of calls with one identifier in one
-conversation the earliest counts, ties by name and arguments; of several results the earliest is
-used, and ``n_results`` tells their number. A result without a call has ``status`` orphan, a call
-without a result open. Calls on a circle have no level and status cycle. A null text is empty, a null
-conversation is a conversation of its own, and a call without identifier can't be linked and is
-left out. Turns that are no call or result are written by ``plain``. Empty tables give no rows;
+conversation the earliest counts, ties by name and arguments, and the other ones are rows of ``status``
+repeated; of several results the earliest is used, ``n_results`` tells their number, and other contents
+are rows of status later result. A result without a call has status orphan, a call without a result
+open. Calls on a circle have no level and status cycle. Arguments that aren't JSON stay in the message
+as text. A null text is empty, a very long one is written whole, a null conversation is a conversation
+of its own (not one that is named null), and a call without identifier can't be linked and is left out. Turns that are no call or result are written by ``plain``. Empty tables give no rows;
 other columns of the input are ignored.
 """
 
@@ -77,7 +78,8 @@ def argument_error(name: Column, arguments: Column, tools: Sequence[Tool]) -> Co
 
 
 def key_of(conv: str, call: str) -> Column:
-    return F.concat_ws("/", F.coalesce(F.col(conv).cast("string"), F.lit("null")), F.col(call))
+    """Conversation and identifier as one text that no other pair has; a null conversation is one of its own."""
+    return F.to_json(F.array(F.col(conv).cast("string"), F.col(call).cast("string")))
 
 
 def call_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -111,17 +113,28 @@ def linked(calls: DataFrame, results: DataFrame, tools: Sequence[Tool]) -> DataF
 
     ``calls`` has ``conv_id, turn, call_id, name, arguments, needs`` (JSON text and an array of
     identifiers), ``results`` has ``conv_id, turn, call_id, content``. Returned are ``conv_id, turn,
-    call_id, name, level, n_results, status, error, message``.
+    call_id, name, level, n_results, status, error, message``. Different calls of one identifier in a
+    conversation: the first (by turn, then content) is linked, the others are rows of status repeated; so
+    are further, different results of a call, of status later result. Equal rows are one.
     """
-    first = F.min(F.struct("turn", "name", "arguments", "needs")).alias("c")
-    calls = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(first)
-    calls = calls.select(key_of("conv_id", "call_id").alias("key"), "conv_id", "call_id", "c.*")
-    calls = staged(calls, "calls")
-    found = results.where("call_id is not null").select("conv_id", "turn", "call_id", F.coalesce("content", F.lit("")).alias("content"))
-    found = found.groupBy("conv_id", "call_id").agg(F.count("*").alias("n_results"), F.min(F.struct("turn", "content")).alias("r"))
-    found = found.select(
-        key_of("conv_id", "call_id").alias("key"), F.col("conv_id").alias("rc"), F.col("call_id").alias("ri"), "n_results", "r"
+    called = F.struct("turn", "name", "arguments", "needs")
+    every = calls.where("call_id is not null").select(key_of("conv_id", "call_id").alias("key"), "conv_id", "call_id", called.alias("c"))
+    every = staged(every.distinct(), "calls")
+    firsts = staged(every.groupBy("key").agg(F.min("c").alias("first")), "first-calls")
+    marked = every.join(firsts, "key").withColumn("is_first", F.col("c") == F.col("first"))
+    calls = marked.where("is_first").select("key", "conv_id", "call_id", "c.*")
+    again = marked.where("NOT is_first").select("conv_id", "call_id", "c.*")
+    answers = results.where("call_id is not null").select(
+        key_of("conv_id", "call_id").alias("key"),
+        F.col("conv_id").alias("rc"),
+        F.col("call_id").alias("ri"),
+        F.struct("turn", F.coalesce("content", F.lit("")).alias("content")).alias("r"),
     )
+    answers = staged(answers, "answers")
+    found = answers.groupBy("key").agg(
+        F.first("rc").alias("rc"), F.first("ri").alias("ri"), F.count("*").alias("n_results"), F.min("r").alias("r")
+    )
+    later = answers.distinct().join(found.select("key", F.col("r").alias("first")), "key").where("r <> first")
     names = calls.select("key")
     needs = calls.select("key", "conv_id", F.explode("needs").alias("id")).where("id is not null")
     needs = needs.select("key", "id", key_of("conv_id", "id").alias("need"))
@@ -140,16 +153,7 @@ def linked(calls: DataFrame, results: DataFrame, tools: Sequence[Tool]) -> DataF
         .otherwise("linked")
     )
     called = F.col("call_id").isNotNull()
-    # a variant keeps the keys of an object sorted, so its JSON is canonical
-    message = F.to_json(
-        F.struct(
-            F.when(called, F.coalesce(F.try_parse_json("arguments"), F.to_variant_object(F.struct()))).alias("arguments"),
-            F.coalesce("call_id", "ri").alias("id"),
-            "name",
-            F.col("r.content").alias("result"),
-        )
-    )
-    return rows.select(
+    linked_rows = rows.select(
         F.coalesce("conv_id", "rc").alias("conv_id"),
         F.coalesce("turn", "r.turn").alias("turn"),
         F.coalesce("call_id", "ri").alias("call_id"),
@@ -158,8 +162,30 @@ def linked(calls: DataFrame, results: DataFrame, tools: Sequence[Tool]) -> DataF
         F.coalesce("n_results", F.lit(0)).alias("n_results"),
         status.alias("status"),
         F.when(called, error).alias("error"),
-        message.alias("message"),
+        call_message(F.when(called, call_arguments()), F.coalesce("call_id", "ri"), F.col("name"), F.col("r.content")).alias("message"),
+    )
+    null = F.lit(None).cast("string")
+    counts = [F.lit(None).cast("int").alias("level"), F.lit(0).cast("long").alias("n_results")]
+    error = argument_error(F.col("name"), F.col("arguments"), tools)
+    message = call_message(call_arguments(), F.col("call_id"), F.col("name"), null)
+    again = again.select("conv_id", "turn", "call_id", "name", *counts, F.lit("repeated").alias("status"), error.alias("error"), message.alias("message"))
+    message = call_message(F.lit(None).cast("variant"), F.col("ri"), null, F.col("r.content"))
+    later = later.select(
+        *(F.col("rc").alias("conv_id"), F.col("r.turn").alias("turn"), F.col("ri").alias("call_id"), null.alias("name"), *counts),
+        *(F.lit("later result").alias("status"), null.alias("error"), message.alias("message")),
     )
+    return linked_rows.unionByName(again).unionByName(later)
+
+
+def call_arguments() -> Column:
+    """The arguments as a variant: an object's keys come sorted, and text that isn't JSON stays as text."""
+    nothing = F.to_variant_object(F.struct())
+    return F.coalesce(F.try_parse_json("arguments"), F.col("arguments").cast("variant"), nothing)
+
+
+def call_message(arguments: Column, ident: Column, name: Column, result: Column) -> Column:
+    """Canonical JSON of a call and its result."""
+    return F.to_json(F.struct(arguments.alias("arguments"), ident.alias("id"), name.alias("name"), result.alias("result")))
 
 
 def plain(turns: DataFrame) -> DataFrame:

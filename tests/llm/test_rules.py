@@ -224,6 +224,9 @@ def test_links_levels_and_checks(spark):
     calls += [(None, 1, "n", "search", ok, None, "k", 1), (11, 5, "x", "search", ok, [], "k", 1), (11, 2, "x", "count", ok, [], "k", 1), (11, 7, None, "search", ok, [], "k", 1)]
     results = [(c, t + 1, f"i{t}", f"r{t}", "z") for c in range(6) for t in range(0, 12, 2)] + [(0, 30, "i0", "late", "z"), (5, 1, "nobody", None, "z"), (None, 2, "n", None, "z")]
     got = tool_calls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), queries.TOOLS).collect()
+    further = [(r.conv_id, r.call_id, r.turn, r.status) for r in got if r.status in ("repeated", "later result")]
+    assert sorted(further) == [(0, "i0", 30, "later result"), (11, "x", 5, "repeated")]
+    got = [r for r in got if r.status not in ("repeated", "later result")]
     by = {(r.conv_id, r.call_id): r for r in got}
     assert len(by) == len(got)
     want = levels([c for c in calls if c[2]])

@@ -125,3 +125,38 @@ def test_pieces_with_a_mark_behind_a_character():
     v = pieces.Vocabulary(known, range(256), [bytes([i]) for i in range(256)] + [t.replace("▁", " ").encode() for t in texts])
     rng = random.Random(34)
     checked(v, known, ["".join(rng.choice("ab  ▁c") for _ in range(rng.randrange(10))) for _ in range(300)])
+
+
+CALLS = "conv_id string, turn long, call_id string, name string, arguments string, needs array<string>"
+RESULTS = "conv_id string, turn long, call_id string, content string"
+
+
+def test_conversations_don_t_mix_and_nothing_is_left_out(spark):
+    ok = '{"query": "q", "limit": 2}'
+    calls = [
+        ("a/b", 1, "c", "search", ok, []),
+        ("a", 1, "b/c", "search", ok, ["x"]),
+        ("a", 2, "x", "search", ok, []),
+        (None, 1, "k", "search", ok, []),
+        ("null", 1, "k", "search", ok, []),
+        ("d", 1, "k", "search", ok, []),
+        ("d", 1, "k", "search", '{"query": "other", "limit": 2}', []),
+        ("d", 1, "k", "search", ok, []),
+        ("e", 1, "k", "search", "no \"json\"", []),
+    ]
+    results = [("a", 2, "b/c", "of a"), ("null", 2, "k", "named"), ("d", 2, "k", "one"), ("d", 3, "k", "two"), ("d", 3, "k", "two")]
+    got = tool_calls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), queries.TOOLS).collect()
+    by = {(r.conv_id, r.call_id, r.status): json.loads(r.message) for r in got}
+    assert set(by) == {
+        *[("a/b", "c", "open"), ("a", "b/c", "linked"), ("a", "x", "open"), (None, "k", "open"), ("null", "k", "linked")],
+        *[("d", "k", "linked"), ("d", "k", "repeated"), ("d", "k", "later result"), ("e", "k", "open")],
+    }
+    assert len(got) == len(by)
+    assert by["a", "b/c", "linked"]["result"] == "of a" and by["null", "k", "linked"]["result"] == "named"
+    written = {by["d", "k", s]["arguments"]["query"] for s in ("linked", "repeated")}
+    assert written == {"q", "other"} and by["d", "k", "later result"]["result"] == "two" and by["d", "k", "linked"]["result"] == "one"
+    assert by["e", "k", "open"]["arguments"] == 'no "json"'
+    assert {r.level for r in got if (r.conv_id, r.call_id) == ("a", "b/c")} == {1}
+    chat_rows = chat(spark, [(1, 0, "user", "u"), (1, 1, "assistant", "one"), (1, 1, "assistant", "two"), (1, 2, "user", "r1"), (1, 2, "user", "r2")])
+    told = " ".join(r.message for r in chat_rows)
+    assert all(t in told for t in ("one", "two", "r1", "r2"))
