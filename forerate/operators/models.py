@@ -17,19 +17,17 @@ from functools import partial, reduce
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
-    NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark import StorageLevel, keyword_only
+from pyspark.ml.functions import vector_to_array
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forerate.contracts import ENRICHMENT_FEATURES, feature_columns
 from forerate.functions.ordering import hash_cuts
-from forerate.functions.scalars import seeded_hash, weighted_mean
+from forerate.functions.scalars import seeded_hash
+from forerate.operators.bayes import ClassPrior, FoldSums, GaussianBayes
 from forerate.operators.boosting import LeafwiseBoosting
 from forerate.operators.linear import NewtonLinear
 from forerate.operators.metrics import class_metrics, ranking_metrics
@@ -43,37 +41,6 @@ EARLY_STOP_MARK = "_watch"
 TREE_MEMORY_MB = 1024
 
 
-class ClassPrior(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """The floor to beat: everybody gets the weighted share of label 1."""
-
-    @keyword_only
-    def __init__(self):
-        super().__init__()
-
-    def _fit(self, dataset: DataFrame) -> ClassPriorModel:
-        share = dataset.agg(weighted_mean("label", "weight")).first()[0]
-        return ClassPriorModel(share=share)
-
-
-class ClassPriorModel(Model, DefaultParamsReadable, DefaultParamsWritable):
-    share = Param(Params._dummy(), "share", "share of label 1", TypeConverters.toFloat)
-
-    @keyword_only
-    def __init__(self, *, share=0.5):
-        super().__init__()
-        self._setDefault(share=0.5)
-        self._set(**self._input_kwargs)
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        share = self.getOrDefault(self.share)
-        return dataset.withColumns(
-            {
-                "probability": array_to_vector(F.array(F.lit(1 - share), F.lit(share))),
-                "prediction": F.lit(float(share > 0.5)),
-            }
-        )
-
-
 @dataclass(frozen=True)
 class Training:
     """What an estimator may depend on: size and total weight of its training rows."""
@@ -126,7 +93,7 @@ def candidates(seed: int = SEED, rounds: int = 100, trees: int = 100) -> dict[st
         ),
         "gradient_boosting": boosting(rounds),
         "linear_svm": lambda d: NewtonLinear(loss="squared_hinge", cost=0.1, maxIter=1000),
-        "naive_bayes": lambda d: NaiveBayes(**COMMON, modelType="gaussian"),
+        "naive_bayes": lambda d: GaussianBayes(),
     }
 
 
@@ -184,14 +151,15 @@ def bounded_training(folded: DataFrame, max_fitted: int | None, seed: int = SEED
 
 
 def run_fits(
-    folded: DataFrame, fits: list[Fit], scaler: str = "standard", parallelism: int = 4, seed: int = SEED
+    folded: DataFrame, fits: list[Fit], scaler: str = "standard", parallelism: int = 4, seed: int = SEED, by_fold: bool = False
 ) -> DataFrame:
     """Fit and score every model; one row per (name, number, held_out) with unweighted metrics.
 
     ``folded`` must be a stored table with the columns ``fold`` and ``fits``. Only counts per
     distinct score are kept from the scored rows. The rows of a fit are prepared and cached before
     its models learn, and released after them; ``fit_seconds`` is the elapsed time of learning alone,
-    while up to ``parallelism`` other fits run.
+    while up to ``parallelism`` other fits run. With ``by_fold`` every fit is known to learn from all folds
+    but its own, so families that learn sums take the total less the fold and need no pass of their own.
     """
     columns = feature_columns(folded.drop("fold", "fits"))
     specs = fit_specs(folded, columns.numeric, columns.categorical, scaler, fits="fits")
@@ -203,6 +171,18 @@ def run_fits(
         .collect()
     }
     numbers = sorted({f.number for f in fits})
+    summed = [f.build(sizes[f.number]) for f in fits] if by_fold else []
+    sums = None
+    if any(isinstance(e, (ClassPrior, GaussianBayes)) for e in summed):
+        sums = FoldSums(folded, specs, columns.numeric, columns.categorical)
+
+    def learn(fit: Fit, data: DataFrame) -> Model:
+        estimator = fit.build(sizes[fit.number])
+        if sums is not None and isinstance(estimator, ClassPrior):
+            return sums.prior(fit.fold)
+        if sums is not None and isinstance(estimator, GaussianBayes):
+            return sums.bayes(fit.fold, specs[fit.number])
+        return estimator.fit(data.where("in_training"))
 
     def prepared(number: int) -> DataFrame:
         """The rows of a fit: those it trains on and those it is validated on, with its own features."""
@@ -231,7 +211,7 @@ def run_fits(
 
     def one(fit: Fit, data: DataFrame) -> tuple[DataFrame, float]:
         start = time.monotonic()
-        model = fit.build(sizes[fit.number]).fit(data.where("in_training"))
+        model = learn(fit, data)
         seconds = time.monotonic() - start
         used = data.where(F.col("in_training") | (F.col("fold") == fit.fold))
         scored = model.transform(used)
@@ -283,7 +263,7 @@ def compare(
 ) -> DataFrame:
     """Group-wise cross-validation of the model families, best first."""
     fits = [Fit(name, i, i, b) for name, b in (models or candidates(seed)).items() for i in range(k)]
-    runs = run_fits(fold_members(train, k, seed), fits, scaler, parallelism, seed)
+    runs = run_fits(fold_members(train, k, seed), fits, scaler, parallelism, seed, by_fold=True)
     held, seen = F.col("held_out"), ~F.col("held_out")
 
     def mean(metric: str, side: Column, digits: int = 4) -> Column:
@@ -432,13 +412,16 @@ def fit_pipeline(train: DataFrame, build: Builder, scaler: str = "standard", see
     """Preparation and model learned as one object that can be saved and applied to new rows."""
     columns = feature_columns(train)
     size = train.agg(F.count("*"), F.sum("weight")).first()
+    estimator = build(Training(size[0], size[1]))
+    if isinstance(estimator, ClassPrior):
+        return PipelineModel(stages=[estimator.fit(train)])  # it doesn't look at features
     prep = TabularPrep(numericCols=columns.numeric, categoricalCols=columns.categorical, scaler=scaler).fit(train)
     ready = prep.transform(train.withColumn(EARLY_STOP_MARK, watched(seed))).select(
         F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"), EARLY_STOP_MARK, "features"
     )
     ready = spread(ready, size[0]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return PipelineModel(stages=[prep, build(Training(size[0], size[1])).fit(ready)])
+        return PipelineModel(stages=[prep, estimator.fit(ready)])
     finally:
         ready.unpersist()
 
