@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forerate.contracts import feature_columns
 from forerate.operators import explain, metrics, models, prep, risk, sampling, segments
+from forerate.operators.boosting import BoostedTrees
 from forerate.plans import reports
 from forerate.plans.star_queries import scored
 from forerate.sources import star
@@ -40,6 +41,10 @@ def session() -> SparkSession:
     return spark
 
 
+#: Tells the trees of the boosted models that were timed.
+BOOSTED_ROUNDS: list[Callable[[], dict[str, int]]] = []
+
+
 def consume(*tables: DataFrame) -> None:
     for df in tables:
         df.write.format("noop").mode("overwrite").save()
@@ -66,6 +71,15 @@ def jobs(spark: SparkSession) -> dict[str, Callable[[], None]]:
     def boosted():
         return fitted["gradient_boosting"]
 
+    def hundred_rounds() -> None:
+        """Without early stopping, so that all rounds are run."""
+        fitted["hundred"] = models.fit_pipeline(plain, models.boosting(early_stopping=False))
+
+    def rounds() -> dict[str, int]:
+        return {name: len(m.stages[-1].trees()) for name, m in fitted.items() if isinstance(m.stages[-1], BoostedTrees)}
+
+    BOOSTED_ROUNDS.append(rounds)
+
     return {
         "analytical_base": lambda: consume(star.fresh_base(spark, SF_DIR)),
         "exploratory_tables": lambda: consume(*reports.exploratory_tables(plain).values()),
@@ -83,6 +97,7 @@ def jobs(spark: SparkSession) -> dict[str, Callable[[], None]]:
         "profile_matrix": lambda: consume(segments.profile_matrix(units)),
         "k_scan": lambda: consume(segments.k_scan(units)),
         **{f"fit_{name}": fit(name) for name in models.candidates()},
+        "fit_boosting_100_rounds": hundred_rounds,
         "out_of_fold": lambda: consume(models.out_of_fold(plain, models.boosting())),
         "permutation_importance": lambda: consume(explain.permutation_importance(boosted(), plain)),
         "mean_abs_shap": lambda: consume(explain.mean_abs_contribution(boosted(), plain)),
@@ -103,7 +118,7 @@ def main() -> None:
         print(f"{name}: {times[name]}", file=sys.stderr)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_wall_time", "value": total, "unit": "sec", "queries": times, "sf": sf}))
+    print(json.dumps({"metric": "total_wall_time", "value": total, "unit": "sec", "queries": times, "sf": sf, "boosted_rounds": BOOSTED_ROUNDS[0]()}))
     spark.stop()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 
-from forerate.contracts import NUMERIC_FEATURES
+from forerate.contracts import ENRICHMENT_FEATURES, NUMERIC_FEATURES
 
 PLACES = """
 places AS (
@@ -623,15 +623,92 @@ judged AS (
   FROM held JOIN prior USING (fold))"""
 
 
-FAMILIES = "(VALUES ('logistic_regression'), ('decision_tree'), ('random_forest'), ('gradient_boosting'), ('linear_svm'), ('naive_bayes'))"
-COMPARED = f"""{TRAIN}, {prior_sql(5, "train")},
-shown AS (
-  SELECT 'baseline' AS model, 0.5::DOUBLE AS roc_auc, 0.0::DOUBLE AS roc_auc_sd, 0.0::DOUBLE AS train_gap, accuracy, f1, average_precision FROM judged
-  UNION ALL SELECT m, NULL, NULL, NULL, NULL, NULL, NULL FROM {FAMILIES} v(m))"""
-ORACLES["cv_model_comparison"] = f"{COMPARED} SELECT *, 1 AS possible FROM shown"
-ORACLES["scaler_comparison"] = f"{COMPARED} SELECT shown.*, 1 AS possible, scaler FROM shown, (VALUES ('standard'), ('robust')) s(scaler)"
-ORACLES["ablation"] = f"""
-SELECT 'baseline' AS model, 0.0::DOUBLE AS difference, 1 AS possible UNION ALL SELECT m, NULL, 1 FROM {FAMILIES} v(m)"""
+
+
+def bayes_sql(name: str, scaler: str, columns: list[str]) -> str:
+    """CTEs ``<name>_*``, the last of them ``<name>`` with the figures of Gaussian naive Bayes in five folds.
+
+    Features are long rows (fit, row, feature, x) that aren't centred or scaled; only the smoothing of the
+    variances knows the scale. Scores of equal features are made equal by rounding their log-odds.
+    """
+    numbers = " UNION ALL ".join(f"SELECT unit_id, fold, label, weight, '{c}' AS f, CAST({c} AS DOUBLE) AS v FROM {name}_rows" for c in columns)
+    texts = " UNION ALL ".join(f"SELECT unit_id, fold, label, weight, '{c}' AS f, {c} AS v FROM {name}_rows" for c in CATEGORIES)
+    scale = "stddev_pop(x)" if scaler == "standard" else "quantile_cont(x, 0.75) - quantile_cont(x, 0.25)"
+    learned = "fold <> fit"
+    return f"""{name}_rows AS MATERIALIZED (SELECT t.*, f.fold FROM train t JOIN folds f USING (group_id)),
+{name}_fits AS (SELECT DISTINCT fold AS fit FROM {name}_rows),
+{name}_numbers AS MATERIALIZED ({numbers}),
+{name}_medians AS (SELECT fit, f, median(v) AS m, count(*) - count(v) AS gaps FROM {name}_numbers, {name}_fits WHERE {learned} GROUP BY ALL),
+{name}_filled AS (
+  SELECT fit, unit_id, fold, label, weight, f, coalesce(v, m) AS x FROM {name}_numbers JOIN {name}_medians USING (f) WHERE m IS NOT NULL
+  UNION ALL SELECT fit, unit_id, fold, label, weight, 'gap_' || f, CASE WHEN v IS NULL THEN 1.0::DOUBLE ELSE 0 END
+  FROM {name}_numbers JOIN {name}_medians USING (f) WHERE gaps > 0),
+{name}_texts AS MATERIALIZED ({texts}),
+{name}_levels AS (
+  SELECT fit, f, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY fit, f) AS whole,
+         row_number() OVER (PARTITION BY fit, f ORDER BY v IS NULL, count(*) DESC, v) = 1 AS fills
+  FROM {name}_texts, {name}_fits WHERE {learned} GROUP BY fit, f, v),
+{name}_rare AS (
+  SELECT l.fit, l.f, l.v, l.fills, l.n + CASE WHEN l.fills THEN coalesce(g.n, 0) ELSE 0 END < 0.01 * l.whole AS rare
+  FROM {name}_levels l LEFT JOIN {name}_levels g ON g.fit = l.fit AND g.f = l.f AND g.v IS NULL WHERE l.v IS NOT NULL),
+{name}_given AS (
+  SELECT r.fit, t.unit_id, t.fold, t.label, t.weight, t.f, coalesce(t.v, r.v) AS v FROM {name}_texts t JOIN {name}_rare r ON r.f = t.f AND r.fills),
+{name}_shown AS (SELECT DISTINCT fit, f, CASE WHEN rare THEN NULL ELSE v END AS v FROM {name}_rare),
+{name}_coded AS (
+  SELECT g.fit, g.unit_id, g.fold, g.label, g.weight, concat_ws('=', s.f, s.v) AS f,
+         CASE WHEN s.v = g.v OR (s.v IS NULL AND r.rare) THEN 1.0::DOUBLE ELSE 0 END AS x
+  FROM {name}_given g JOIN {name}_shown s ON s.fit = g.fit AND s.f = g.f
+  LEFT JOIN {name}_rare r ON r.fit = g.fit AND r.f = g.f AND r.v = g.v),
+{name}_cells AS MATERIALIZED (SELECT *, true AS scaled FROM {name}_filled UNION ALL SELECT *, false FROM {name}_coded),
+{name}_middle AS (
+  SELECT fit, f, sum(weight * x) / sum(weight) AS mid, CASE WHEN any_value(scaled) THEN coalesce(nullif({scale}, 0), 1) ELSE 1 END AS scale
+  FROM {name}_cells WHERE {learned} GROUP BY fit, f),
+{name}_sums AS (
+  SELECT fit, f, label, sum(weight) AS w, sum(weight * (x - mid)) / sum(weight) AS off, sum(weight * (x - mid) * (x - mid)) / sum(weight) AS sq, any_value(mid) AS mid, any_value(scale) AS scale
+  FROM {name}_cells JOIN {name}_middle USING (fit, f) WHERE {learned} GROUP BY fit, f, label),
+{name}_smooth AS (SELECT fit, 1e-9 * max(pooled) AS eps FROM (
+  SELECT fit, f, (sum(w * sq) / sum(w) - pow(sum(w * off) / sum(w), 2)) / pow(any_value(scale), 2) AS pooled FROM {name}_sums GROUP BY fit, f) GROUP BY fit),
+{name}_learned AS (
+  SELECT fit, f, label, w, mid + off AS mean, greatest(sq - off * off, 0) + eps * scale * scale AS var FROM {name}_sums JOIN {name}_smooth USING (fit)),
+{name}_odds AS (
+  SELECT c.fit, c.unit_id, any_value(c.fold) AS fold, any_value(c.label) AS label,
+         round(any_value(ln(b.w / a.w)) + sum(ln(a.var / b.var) / 2 + pow(c.x - a.mean, 2) / (2 * a.var) - pow(c.x - b.mean, 2) / (2 * b.var)), 8) AS m
+  FROM {name}_cells c JOIN {name}_learned a ON a.fit = c.fit AND a.f = c.f AND a.label = 0 JOIN {name}_learned b ON b.fit = c.fit AND b.f = c.f AND b.label = 1
+  GROUP BY c.fit, c.unit_id),
+{name}_scores AS (
+  SELECT fit, fold = fit AS held, 1 / (1 + exp(-m)) AS p, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
+  FROM {name}_odds GROUP BY ALL),
+{name}_steps AS (
+  SELECT *, sum(pos) OVER down AS tp, sum(neg) OVER down AS fp, sum(pos) OVER side AS ps, sum(neg) OVER side AS ns FROM {name}_scores
+  WINDOW down AS (PARTITION BY fit, held ORDER BY p DESC), side AS (PARTITION BY fit, held)),
+{name}_ranked AS (
+  SELECT fit, held, sum(neg * (tp - pos / 2)) / (max(ps) * max(ns)) AS auc, sum(pos / ps * (tp / (tp + fp))) AS ap FROM {name}_steps GROUP BY fit, held),
+{name}_judged AS (
+  SELECT fit, fold = fit AS held, avg(CASE WHEN (m > 0) = (label = 1) THEN 1 ELSE 0 END) AS accuracy,
+         2 * count(*) FILTER (m > 0 AND label = 1) / (count(*) FILTER (m > 0) + count(*) FILTER (label = 1)) AS f1 FROM {name}_odds GROUP BY ALL),
+{name} AS (
+  SELECT 'naive_bayes' AS model, round(avg(auc) FILTER (held), 4) AS roc_auc, round(stddev_pop(auc) FILTER (held), 4) AS roc_auc_sd,
+         round(avg(auc) FILTER (NOT held) - avg(auc) FILTER (held), 4) AS train_gap, round(avg(accuracy) FILTER (held), 4) AS accuracy,
+         round(avg(f1) FILTER (held), 4) AS f1, round(avg(ap) FILTER (held), 4) AS average_precision
+  FROM {name}_ranked JOIN {name}_judged USING (fit, held))"""
+
+
+OTHERS = "(VALUES ('logistic_regression'), ('decision_tree'), ('random_forest'), ('gradient_boosting'), ('linear_svm'))"
+PRIOR_ROW = (
+    "SELECT 'baseline' AS model, 0.5::DOUBLE AS roc_auc, 0.0::DOUBLE AS roc_auc_sd, 0.0::DOUBLE AS train_gap, accuracy, f1, average_precision FROM judged"
+)
+UNSHOWN = f"SELECT m, NULL, NULL, NULL, NULL, NULL, NULL FROM {OTHERS} v(m)"
+ORACLES["cv_model_comparison"] = f"""{TRAIN}, {prior_sql(5, "train")}, {bayes_sql("bayes", "standard", NUMERIC_FEATURES)},
+shown AS ({PRIOR_ROW} UNION ALL SELECT * FROM bayes UNION ALL {UNSHOWN}) SELECT *, 1 AS possible FROM shown"""
+ORACLES["scaler_comparison"] = f"""{TRAIN}, {prior_sql(5, "train")},
+{bayes_sql("plain", "standard", NUMERIC_FEATURES)}, {bayes_sql("robust", "robust", NUMERIC_FEATURES)},
+unlearned AS ({PRIOR_ROW} UNION ALL {UNSHOWN})
+SELECT unlearned.*, 1 AS possible, scaler FROM unlearned, (VALUES ('standard'), ('robust')) s(scaler)
+UNION ALL SELECT *, 1, 'standard' FROM plain UNION ALL SELECT *, 1, 'robust' FROM robust"""
+ORACLES["ablation"] = f"""{TRAIN}, {folds_sql(5, "train")}, {bayes_sql("whole", "standard", NUMERIC_FEATURES)},
+{bayes_sql("less", "standard", [c for c in NUMERIC_FEATURES if c not in ENRICHMENT_FEATURES])}
+SELECT 'baseline' AS model, 0.0::DOUBLE AS difference, 1 AS possible
+UNION ALL SELECT 'naive_bayes', round(whole.roc_auc - less.roc_auc, 4), 1 FROM whole, less UNION ALL SELECT m, NULL, 1 FROM {OTHERS} v(m)"""
 ORACLES["learning_curve"] = f"""{TRAIN}, {prior_sql(3, "train")}, smallest AS (SELECT min(others) AS n FROM prior)
 SELECT CAST(floor(n * (0.1::DOUBLE + 0.9::DOUBLE * s / 5)) AS BIGINT) AS train_rows, 1 AS possible FROM smallest, range(6) t(s)"""
 ORACLES["validation_curve"] = "SELECT l AS max_leaves, 1 AS possible, 1 AS grows FROM (VALUES (4), (8), (15), (31), (63), (127)) v(l)"

@@ -37,12 +37,16 @@ def test_every_family_can_be_built():
     built = {name: build(data) for name, build in models.candidates().items()}
     assert len(built) == 7
     gbt = built["gradient_boosting"]
-    assert gbt.getMaxDepth() == 5 and gbt.getMaxIter() == 100
+    assert gbt.getOrDefault("leaves") == 31 and gbt.getOrDefault("rounds") == 100 and gbt.getOrDefault("l2") == 0.0
     for rows in (9, 20_000):  # early stopping is asked for, not switched on by size
         watching, whole = (models.boosting(early_stopping=e)(models.Training(rows, 1.0)) for e in (True, False))
-        assert watching.getValidationIndicatorCol() == models.EARLY_STOP_MARK
-        assert not whole.isDefined("validationIndicatorCol")
-    assert built["logistic_regression"].getRegParam() == 1 / 19_000
+        assert watching.getOrDefault("watch") == models.EARLY_STOP_MARK and whole.getOrDefault("watch") == ""
+    assert built["linear_svm"].getOrDefault("loss") == "squared_hinge" and built["linear_svm"].getOrDefault("cost") == 0.1
+
+
+def test_the_search_space_has_every_combination():
+    sizes = [len(v) for v in models.SEARCH_SPACE.values()]
+    assert np.prod(sizes) == 540 and models.SEARCH_SPACE["l2"] == [0.0, 0.1, 1.0]
 
 
 def test_out_of_fold_scores_cover_all_rows_and_never_see_the_group(signal_base):
