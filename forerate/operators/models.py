@@ -28,7 +28,7 @@ from forerate.contracts import ENRICHMENT_FEATURES, feature_columns
 from forerate.functions.ordering import hash_cuts
 from forerate.functions.scalars import seeded_hash
 from forerate.operators.bayes import ClassPrior, FoldSums, GaussianBayes
-from forerate.operators.boosting import LeafwiseBoosting
+from forerate.operators.boosting import LeafwiseBoosting, fit_together
 from forerate.operators.linear import NewtonLinear
 from forerate.operators.metrics import class_metrics, ranking_metrics
 from forerate.operators.prep import TabularPrep, TabularPrepModel, fit_specs, with_features
@@ -176,8 +176,7 @@ def run_fits(
     if any(isinstance(e, (ClassPrior, GaussianBayes)) for e in summed):
         sums = FoldSums(folded, specs, columns.numeric, columns.categorical)
 
-    def learn(fit: Fit, data: DataFrame) -> Model:
-        estimator = fit.build(sizes[fit.number])
+    def learn(fit: Fit, estimator: Estimator, data: DataFrame) -> Model:
         if sums is not None and isinstance(estimator, ClassPrior):
             return sums.prior(fit.fold)
         if sums is not None and isinstance(estimator, GaussianBayes):
@@ -204,15 +203,24 @@ def run_fits(
         mine = [(i, f) for i, f in enumerate(fits) if f.number == number]
         try:
             data.count()
-            done = side_by_side(folded.sparkSession, [partial(one, f, data) for _, f in mine], max(1, parallelism // len(numbers)))
+            built = [f.build(sizes[f.number]) for _, f in mine]
+            # boosted models of several settings share their passes over the rows
+            together = [i for i, e in enumerate(built) if isinstance(e, LeafwiseBoosting)]
+            ready: dict[int, tuple[Model, float]] = {}
+            if len(together) > 1:
+                start = time.monotonic()
+                learned = fit_together([built[i] for i in together], data.where("in_training"))
+                ready = {i: (m, (time.monotonic() - start) / len(together)) for i, m in zip(together, learned, strict=True)}
+            jobs = [partial(one, f, built[i], ready.get(i), data) for i, (_, f) in enumerate(mine)]
+            done = side_by_side(folded.sparkSession, jobs, max(1, parallelism // len(numbers)))
             return [(i, *result) for (i, _), result in zip(mine, done)]
         finally:
             data.unpersist()
 
-    def one(fit: Fit, data: DataFrame) -> tuple[DataFrame, float]:
+    def one(fit: Fit, estimator: Estimator, ready: tuple[Model, float] | None, data: DataFrame) -> tuple[DataFrame, float]:
         start = time.monotonic()
-        model = learn(fit, data)
-        seconds = time.monotonic() - start
+        model, seconds = ready or (learn(fit, estimator, data), 0.0)
+        seconds = seconds or time.monotonic() - start
         used = data.where(F.col("in_training") | (F.col("fold") == fit.fold))
         scored = model.transform(used)
         counted = (

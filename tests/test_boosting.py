@@ -79,6 +79,21 @@ def test_trees_are_those_of_plain_growth(rows, leaves, min_leaf, l2):
     assert all((t.left < 0).sum() <= leaves and t.count[t.left < 0].min() >= min_leaf for t in model.trees())
 
 
+def test_models_learned_together_are_what_they_are_alone(rows):
+    df = rows[-1]
+    some = [
+        boosting.LeafwiseBoosting(rounds=14, rate=0.2, leaves=3, minLeaf=5, watch="watched"),
+        boosting.LeafwiseBoosting(rounds=3, rate=0.1, leaves=12, l2=1.0, watch="watched"),
+        boosting.LeafwiseBoosting(rounds=25, rate=0.4, leaves=6, minLeaf=15, watch="watched"),
+    ]
+    together = boosting.fit_together(some, df)
+    for alone, model in zip((e.fit(df) for e in some), together):
+        assert len(alone.trees()) == len(model.trees())
+        assert margins(alone, df) == pytest.approx(margins(model, df), abs=1e-9)
+    with pytest.raises(ValueError):
+        boosting.fit_together([some[0], boosting.LeafwiseBoosting()], df)
+
+
 def test_a_penalty_shrinks_leaves(rows):
     df = rows[-1]
     free, held = (boosting.LeafwiseBoosting(rounds=1, leaves=4, l2=p).fit(df).trees()[0] for p in (0.0, 50.0))
