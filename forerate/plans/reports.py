@@ -93,6 +93,11 @@ def design(train: DataFrame, test: DataFrame) -> DataFrame:
     return sides.groupBy("side").agg(F.count("*").alias("rows"), F.countDistinct("group_id").alias("groups"))
 
 
+def refused(df: DataFrame) -> DataFrame:
+    """Columns of a table that are no agreed feature, nor one of the keys, label and weight: left out of models."""
+    return df.sparkSession.createDataFrame([(c,) for c in feature_columns(df).dropped], "column_name string")
+
+
 def modelling_tables(trained: dict[str, DataFrame], evaluated: dict[str, DataFrame], applied: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What the modelling report states, from the tables of training, evaluation and application."""
     out = {
@@ -117,6 +122,8 @@ def modelling_tables(trained: dict[str, DataFrame], evaluated: dict[str, DataFra
         "adopted_k": applied["k_scan"].where(F.col("k") == applied["profiles"].count()),
         "top_risk": risk.top_risk(applied["units"]),
     }
+    if "refused" in trained:
+        out["refused"] = trained["refused"]
     if "ablation" in trained:
         out["ablation_range"] = trained["ablation"].agg(
             F.min("difference").alias("smallest"), F.max("difference").alias("largest")

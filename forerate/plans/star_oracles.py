@@ -605,6 +605,27 @@ ORACLES["exploratory_report"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, CAST(count(*) AS INTEGER) AS records FROM ({sql})" for name, sql in _RECORDS.items()
 )
 
+ORACLES["refused_columns"] = "SELECT 'fixed_score' AS column_name"
+
+# Records by table of the modelling report; of tables with a row per feature the charts show so many.
+_SHOWN = {
+    **dict.fromkeys(("last_step", "best_leaves", "best_search", "metrics", "agreement", "best_k", "ablation_range"), "SELECT 1"),
+    **dict.fromkeys(("top_permutation", "top_shap"), "SELECT * FROM range(10)"),
+    **dict.fromkeys(("importance_chart", "effect_chart"), "SELECT * FROM range(15)"),
+    "comparison": "SELECT * FROM range(7)",
+    "design": ORACLES["design_counts"],
+    "risk_summary": ORACLES["risk_summary"],
+    "errors": ORACLES["rate_error_vs_naive"],
+    "risk_by_region": ORACLES["risk_by_region"],
+    "profiles": ORACLES["profile_summary"],
+    "adopted_k": f"{POINTS} SELECT 1 FROM points HAVING count(DISTINCT profile) BETWEEN 2 AND 8",
+    "top_risk": ORACLES["top_risk_units"],
+    "refused": ORACLES["refused_columns"],
+}
+ORACLES["modelling_report"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, CAST(count(*) AS INTEGER) AS records FROM ({sql})" for name, sql in _SHOWN.items()
+)
+
 # What is known of the fits without fitting.
 TRAIN = f"{SPLIT}, train AS (SELECT base.* FROM base JOIN sides USING (group_id) WHERE is_test = 0)"
 

@@ -512,25 +512,34 @@ def ablation(spark, sf_dir):
     return table.select("model", F.when(F.col("model").isin("baseline", "naive_bayes"), F.col("difference")).alias("difference"), sound.alias("possible"))
 
 
+def learned_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stored(spark, sf_dir, "learning_curve", lambda: models.learning_curve(train_side(spark, sf_dir), parallelism=PARALLELISM))
+
+
 @query
 def learning_curve(spark, sf_dir):
-    curve = models.learning_curve(train_side(spark, sf_dir), parallelism=PARALLELISM)
-    return curve.select("train_rows", shares("train_auc", "validation_auc").alias("possible"))
+    return learned_curve(spark, sf_dir).select("train_rows", shares("train_auc", "validation_auc").alias("possible"))
+
+
+def leaves_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stored(spark, sf_dir, "validation_curve", lambda: models.validation_curve(train_side(spark, sf_dir), parallelism=PARALLELISM))
 
 
 @query
 def validation_curve(spark, sf_dir):
     """More leaves fit the training rows better, or as well."""
-    curve = models.validation_curve(train_side(spark, sf_dir), parallelism=PARALLELISM)
-    curve = staged(curve, "validation_curve")
+    curve = leaves_curve(spark, sf_dir)
     grows = curve.agg((F.max_by("train_auc", "max_leaves") >= F.min_by("train_auc", "max_leaves")).cast("int")).first()[0]
     return curve.select("max_leaves", shares("train_auc", "validation_auc").alias("possible"), F.lit(grows).alias("grows"))
 
 
+def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stored(spark, sf_dir, "search", lambda: models.random_search(train_side(spark, sf_dir), parallelism=PARALLELISM))
+
+
 @query
 def random_search(spark, sf_dir):
-    table = models.random_search(train_side(spark, sf_dir), parallelism=PARALLELISM)
-    return table.select("name", *models.SEARCH_SPACE, shares("roc_auc").alias("possible"))
+    return searched(spark, sf_dir).select("name", *models.SEARCH_SPACE, shares("roc_auc").alias("possible"))
 
 
 @query
@@ -556,10 +565,15 @@ def effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.stored(spark, sf_dir, "effects", make)
 
 
+def permuted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    make = lambda: explain.permutation_importance(fitted(spark, sf_dir), test_side(spark, sf_dir))
+    return star.stored(spark, sf_dir, "permuted", make)
+
+
 @query
 def permutation_importance(spark, sf_dir):
     """A column the model doesn't use has no importance."""
-    table = explain.permutation_importance(fitted(spark, sf_dir), test_side(spark, sf_dir))
+    table = permuted(spark, sf_dir)
     used = [r["column_name"] for r in explain.mean_abs_of(effects(spark, sf_dir)).where("mean_abs_contribution > 0").collect()]
     touches = reduce(
         lambda x, y: x | y,
@@ -622,10 +636,14 @@ def kmeans_profiles(spark, sf_dir):
     return rounded(segments.nearest(assigned).select("group_id", "network", *segments.DIMS, F.col("nearest").cast("int").alias("nearest")))
 
 
+def scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.stored(spark, sf_dir, "k_scan", lambda: segments.k_scan(units_at_risk(spark, sf_dir)))
+
+
 @query
 def k_scan(spark, sf_dir):
     """More clusters are tighter; silhouettes lie between -1 and 1."""
-    table = star.stored(spark, sf_dir, "k_scan", lambda: segments.k_scan(units_at_risk(spark, sf_dir)))
+    table = scanned(spark, sf_dir)
     before = table.select((F.col("k") + 1).alias("k"), F.col("inertia").alias("looser"))
     tighter = F.coalesce(F.col("inertia") <= F.col("looser"), F.lit(True)).cast("int")
     inside = reduce(
@@ -657,11 +675,53 @@ def pca_projection(spark, sf_dir):
 def exploratory_report(spark, sf_dir):
     """How many records each table has in the JSON document of the exploratory report."""
     tables = reports.exploratory_tables(star.base(spark, sf_dir).drop("fixed_score"))
+    return in_document(tables)
+
+
+def in_document(tables: dict[str, DataFrame]) -> DataFrame:
+    """How many records each table has in the JSON document of a report."""
     document = staged(reports.as_json(tables), "document")
     counts = [F.struct(F.lit(n).alias("table_name"), F.json_array_length(F.get_json_object("document", f"$.{n}")).alias("records")) for n in tables]
     return document.select(F.inline(F.array(*counts)))
 
 
+@query
+def modelling_report(spark, sf_dir):
+    """Records of the modelling report, put together from the tables that the model queries store."""
+    units, assigned = units_at_risk(spark, sf_dir), fixed_profiles(spark, sf_dir)
+    scored_test = staged(models.score_rows(fitted(spark, sf_dir), test_side(spark, sf_dir)), "test_scores")
+    enriched = compared(spark, sf_dir)
+    trained = {
+        "design": reports.design(train_side(spark, sf_dir), test_side(spark, sf_dir)),
+        "comparison": enriched,
+        "ablation": models.ablation_table(enriched, compared(spark, sf_dir, without=tuple(ENRICHMENT_FEATURES))),
+        "learning_curve": learned_curve(spark, sf_dir),
+        "validation_curve": leaves_curve(spark, sf_dir),
+        "search": searched(spark, sf_dir),
+        "refused": reports.refused(star.base(spark, sf_dir)),
+    }
+    evaluated = {
+        "metrics": metrics.ranking_metrics(scored_test),
+        "permutation": permuted(spark, sf_dir),
+        "shap": explain.mean_abs_of(effects(spark, sf_dir)),
+    }
+    applied = {
+        "risk_summary": risk.risk_summary(units),
+        "errors": risk.rate_errors(units),
+        "risk_by_region": risk.risk_by_region(units),
+        "profiles": segments.profile_summary(assigned),
+        "k_scan": scanned(spark, sf_dir),
+        "units": units,
+    }
+    return in_document(reports.modelling_tables(trained, evaluated, applied))
+
+
+@query
+def refused_columns(spark, sf_dir):
+    """Columns of the base that nobody has vetted as features."""
+    return reports.refused(star.base(spark, sf_dir))
+
+
 @query
 def design_counts(spark, sf_dir):
     return reports.design(train_side(spark, sf_dir), test_side(spark, sf_dir))
