@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
@@ -20,6 +21,7 @@ from forerate.operators.metrics import ranking_metrics
 from forerate.operators.boosting import BoostedTrees, Tree
 from forerate.operators.linear import LinearModel
 from forerate.operators.models import feature_names, score_rows
+from forerate.operators.prep import feature_owners
 from forerate.operators.sampling import HASH, simple_sample
 from forerate.sources.staging import new_path, ship_package, staged
 
@@ -31,23 +33,43 @@ def permutation_importance(
 
     Rows are put in hash order, which is a random order. In each repeat a row takes the value of the
     row a fixed, randomly drawn distance further on (cyclically), so every value is used exactly
-    once. The donor row is joined once per repeat; all columns are then scored together. All rows are
-    used unless ``n`` asks for a sample.
+    once. The donor row is joined once per repeat; all columns are then scored together. Of a boosted
+    model only the trees that look at the shuffled column are scored again. All rows are used unless
+    ``n`` asks for a sample.
     """
     columns = [c for part in (feature_columns(test).numeric, feature_columns(test).categorical) for c in part]
     rows = test if n is None else simple_sample(test, n, seed)
-    rows = staged(rows.select(*columns, "label", "weight", seeded_hash(seed, "unit_id").alias(HASH), F.lit(1).alias("one")), "rows")
+    held, scored = columns, whole_copies
+    if isinstance(model.stages[-1], BoostedTrees):
+        rows = model.stages[0].transform(rows).withColumn("x", vector_to_array("features"))
+        held, scored = ["x"], affected_trees
+    rows = staged(rows.select(*held, "label", "weight", seeded_hash(seed, "unit_id").alias(HASH), F.lit(1).alias("one")), "rows")
     placed = running_sums(rows, [], [(HASH, True)], ["one"], stage=False)
-    placed = staged(placed.select(*columns, "label", "weight", F.col("one_before").alias("place")), "placed")
+    placed = staged(placed.select(*held, "label", "weight", F.col("one_before").alias("place")), "placed")
     total = rows.count()
     draw = random.Random(seed)
     shifts = [draw.randrange(1, total) for _ in range(repeats)] if total > 1 else []
 
     moves = F.explode(F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(s).alias("shift")) for r, s in enumerate(shifts)]))
     wanted = placed.select("*", moves.alias("m")).select(
-        *columns, "label", "weight", "m.repeat", ((F.col("place") + F.col("m.shift")) % total).alias("place")
+        *held, "label", "weight", "m.repeat", ((F.col("place") + F.col("m.shift")) % total).alias("place")
     )
-    donors = placed.select("place", F.struct(*columns).alias("donor"))
+    donors = placed.select("place", F.struct(*held).alias("donor"))
+    auc = staged(ranking_metrics(scored(model, wanted.join(donors, "place"), placed, columns), ["column_name", "repeat"]), "shuffled_auc")
+    full = auc.where(F.col("repeat") < 0).first()["roc_auc"]
+    every = test.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    drops = auc.where(F.col("repeat") >= 0).groupBy("column_name").agg(F.avg("roc_auc").alias("mean"))
+    # a column that nothing looks at drops nothing
+    drop = F.lit(full) - F.coalesce("mean", F.lit(full))
+    return (
+        every.join(drops, "column_name", "left")
+        .select("column_name", round_half_even(drop, 5).alias("importance"))
+        .orderBy(F.desc("importance"), "column_name")
+    )
+
+
+def whole_copies(model: PipelineModel, wanted: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
+    """Scores of every row with each column in turn from its donor, and of the rows as they are (repeat -1)."""
     copies = [
         F.struct(
             F.lit(shuffled).alias("column_name"),
@@ -55,17 +77,51 @@ def permutation_importance(
         )
         for shuffled in columns
     ]
-    stacked = wanted.join(donors, "place").select("label", "weight", "repeat", F.inline(F.array(*copies)))
+    stacked = wanted.select("label", "weight", "repeat", F.inline(F.array(*copies)))
     intact = placed.select("label", "weight", F.lit(-1).alias("repeat"), F.lit("").alias("column_name"), *columns)
-    scores = score_rows(model, stacked.unionByName(intact))
-    auc = staged(ranking_metrics(scores, ["column_name", "repeat"]), "shuffled_auc")
-    full = auc.where(F.col("repeat") < 0).first()["roc_auc"]
-    return (
-        auc.where(F.col("repeat") >= 0)
-        .groupBy("column_name")
-        .agg(round_half_even(F.lit(full) - F.avg("roc_auc"), 5).alias("importance"))
-        .orderBy(F.desc("importance"), "column_name")
-    )
+    return score_rows(model, stacked.unionByName(intact))
+
+
+def affected_trees(model: PipelineModel, wanted: DataFrame, placed: DataFrame, columns: list[str]) -> DataFrame:
+    """The same of a boosted model from prepared features: a copy's score is the row's, with the trees scored
+    again that look at a feature of the shuffled column. Columns that no tree looks at have no rows."""
+    boosted, spec = model.stages[-1], model.stages[0].learned()
+    ship_package(wanted.sparkSession)
+    trees, start = boosted.trees(), boosted.start()
+    owner = feature_owners(spec)
+    looked_at = [{owner[f] for f in t.feature[t.left >= 0].tolist()} for t in trees]
+    used = [c for c in columns if any(c in at for at in looked_at)]
+    features = {c: [i for i, o in enumerate(owner) if o == c] for c in used}
+    lists = {c: [i for i, at in enumerate(looked_at) if c in at] for c in used}
+
+    @F.arrow_udf("array<double>")
+    def scores(own: pa.Array, donor: pa.Array) -> pa.Array:
+        n = len(own)
+        if not n:
+            return pa.array([], pa.list_(pa.float64()))
+        x, other = (np.asarray(v.flatten()).reshape(n, -1) for v in (own, donor))
+        by_tree = np.stack([t.scores(x) for t in trees], axis=1) if trees else np.zeros((n, 0))
+        out = np.empty((n, len(used) + 1))
+        out[:, -1] = start + by_tree.sum(axis=1)
+        for at, c in enumerate(used):
+            mixed, again = x.copy(), by_tree.copy()
+            mixed[:, features[c]] = other[:, features[c]]
+            for i in lists[c]:
+                again[:, i] = trees[i].scores(mixed)
+            out[:, at] = start + again.sum(axis=1)  # added up in the same order, so that equal scores stay equal
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * out.shape[1], pa.int32()), pa.array(out.ravel()))
+
+    def opened(rows: DataFrame, names: list[str], at: list[int]) -> DataFrame:
+        cells = [F.struct(F.lit(c).alias("column_name"), F.get("m", i).alias("m")) for c, i in zip(names, at, strict=True)]
+        rows = rows.select("label", "weight", "repeat", F.inline(F.array(*cells)))
+        return rows.select("label", "weight", "repeat", "column_name", (1 / (1 + F.exp(-F.col("m")))).alias("score"))
+
+    intact = placed.select("label", "weight", F.lit(-1).alias("repeat"), scores("x", "x").alias("m"))
+    intact = opened(intact, [""], [len(used)])
+    if not used:
+        return intact
+    moved = wanted.select("label", "weight", "repeat", scores("x", "donor.x").alias("m"))
+    return opened(moved, used, list(range(len(used)))).unionByName(intact)
 
 
 TreeModel = BoostedTrees | DecisionTreeClassificationModel | RandomForestClassificationModel

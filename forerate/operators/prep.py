@@ -261,6 +261,14 @@ def feature_expressions(spec: dict) -> dict[str, Column]:
     return out
 
 
+def feature_owners(spec: dict) -> list[str]:
+    """The column that each prepared feature is made of, in the order of the features."""
+    owners = [s["column"] for s in (*spec["numeric"], *spec["flags"])]
+    for s in spec["categorical"]:
+        owners += [s["column"]] * (len(s["levels"]) + bool(s["rare"] or "rare_table" in s))
+    return owners
+
+
 def feature_vector(spec: dict) -> Column:
     return array_to_vector(F.array(*feature_expressions(spec).values()))
 

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from forerate.operators import boosting, explain, metrics, models
+from forerate.operators import boosting, explain, metrics, models, prep
 
 
 def plain_boosting(x, label, weight, rounds, rate, leaves, min_leaf, l2):
@@ -147,3 +147,15 @@ def test_boosting_learns_and_is_saved(signal_base, tmp_path):
     scores = [models.score_rows(m, signal_base).select("unit_id", "label", "weight", "score") for m in (model, again)]
     assert sorted(scores[0].collect()) == sorted(scores[1].collect())
     assert metrics.ranking_metrics(scores[0]).first()["roc_auc"] > 0.8
+
+
+def test_importance_from_affected_trees_is_that_of_whole_copies(signal_base, monkeypatch):
+    model = models.fit_pipeline(signal_base, models.boosting(rounds=6, leaves=8, min_leaf=10))
+    names = prep.feature_owners(model.stages[0].learned())
+    assert len(names) == len(model.stages[0].feature_names())
+    assert all(f.removeprefix(prep.FLAG_PREFIX).startswith(c) for f, c in zip(model.stages[0].feature_names(), names))
+    fast = explain.permutation_importance(model, signal_base, repeats=2).collect()
+    monkeypatch.setattr(explain, "BoostedTrees", int)  # no model is a boosted one now
+    slow = explain.permutation_importance(model, signal_base, repeats=2).collect()
+    assert [tuple(r) for r in fast] == [tuple(r) for r in slow]
+    assert fast[0]["importance"] > 0.05 and fast[-1]["importance"] <= 0
