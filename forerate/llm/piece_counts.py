@@ -5,7 +5,7 @@ The vocabulary is a trie with two roots, for starts and continuations, over UTF-
 link leads from a node to the node reached after the longest pieces of its string have been popped,
 and each link has the number of pieces it pops. One walk over a word then counts its pieces, without
 building any and without going back. Many words are walked side by side, byte by byte, and equal
-words of a block once.
+words of a block once; very long words are walked alone, in time linear in their bytes.
 
 A word that can't be cut completely counts as one unknown piece. Results for odd input: a null or
 blank text has no pieces. Repeated rows are counted each. Empty tables give no rows; other columns of
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from forerate.llm.common import blocks, buffers, mapped
 
 ENCODE_BLOCK = 4 << 20
+#: Words of more bytes are walked one by one: side by side they would take a step of all words per byte.
+LONG_WORD = 256
 MARK = "▁"
 
 
@@ -60,8 +63,10 @@ class Automaton:
                     link[node], popped[node] = children[at][b], count
             queue.extend((node, c, child) for c, child in children[node].items())
         edges = sorted((node << 8 | b, child) for node, below in enumerate(children) for b, child in below.items())
+        self.child = dict(edges)
         self.edges = np.array([e for e, _ in edges] or [-1], dtype=np.int64)
         self.targets = np.array([t for _, t in edges] or [0], dtype=np.int64)
+        self.links, self.pops = link, popped
         self.link, self.popped = np.array(link, dtype=np.int64), np.array(popped, dtype=np.int64)
 
     def step(self, nodes: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -70,10 +75,34 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
         return np.where(self.edges[at] == key, self.targets[at], -1)
 
+    def walk(self, word: bytes) -> int:
+        """Pieces of one word, byte by byte."""
+        child, link, popped = self.child, self.links, self.pops
+        node = count = 0
+        for b in word:
+            while True:
+                to = child.get(node << 8 | b)
+                if to is not None:
+                    node = to
+                    break
+                count += popped[node]
+                node = link[node]
+                if node < 0:
+                    return 1
+        while node != 1 and word:
+            count += popped[node]
+            node = link[node]
+            if node < 0:
+                return 1
+        return count
+
     def counts(self, words: pa.Array) -> np.ndarray:
         """Pieces of each word: 0 of an empty one, 1 of one that can't be cut."""
         data, offsets = buffers(words)
         lengths = np.diff(offsets)
+        long = np.flatnonzero(lengths > LONG_WORD)
+        apart = [self.walk(data[offsets[i] : offsets[i + 1]].tobytes()) for i in long]
+        lengths[long] = 0
         count, node = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         lost = np.zeros(len(lengths), dtype=bool)
         order = np.argsort(-lengths, kind="stable")
@@ -99,7 +128,14 @@ class Automaton:
             node[live] = self.link[node[live]]
             lost[live[node[live] < 0]] = True
             live = live[node[live] >= 0]
-        return np.where(lost, 1, count)
+        out = np.where(lost, 1, count)
+        out[long] = apart
+        return out
+
+
+@lru_cache(maxsize=2)  # once per worker process
+def automaton_of(starts: tuple[str, ...], continuations: tuple[str, ...]) -> Automaton:
+    return Automaton(starts, continuations)
 
 
 def pieces_of_model(path: str) -> tuple[list[str], list[str]]:
@@ -122,7 +158,7 @@ def count_pieces(docs: DataFrame, starts: list[str], continuations: list[str], i
     """``<id>, n_words, n_pieces`` of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(starts, continuations)
+        automaton = automaton_of(tuple(starts), tuple(continuations))
         for batch in blocks(batches, ENCODE_BLOCK):
             words = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
             bounds = words.offsets.to_numpy()

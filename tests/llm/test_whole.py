@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from texts import prose
 
-from forerate.llm import pieces, quality, queries, tool_calls
+from forerate.llm import piece_counts, pieces, quality, queries, tool_calls
 
 
 def line(rng: random.Random, n: int) -> str:
@@ -160,3 +160,14 @@ def test_conversations_don_t_mix_and_nothing_is_left_out(spark):
     chat_rows = chat(spark, [(1, 0, "user", "u"), (1, 1, "assistant", "one"), (1, 1, "assistant", "two"), (1, 2, "user", "r1"), (1, 2, "user", "r2")])
     told = " ".join(r.message for r in chat_rows)
     assert all(t in told for t in ("one", "two", "r1", "r2"))
+
+
+def test_long_words_are_walked_like_short_ones(monkeypatch):
+    rng = random.Random(17)
+    automaton = piece_counts.automaton_of(*map(tuple, piece_counts.pieces_of_model(public_tokenizers.path("piece_bpe_32k.model"))))
+    words = pa.array(["".join(rng.choice("abthe中é😀\x01") for _ in range(rng.randrange(0, 400))) for _ in range(200)] + ["", "a" * 100_000])
+    got = [automaton.counts(words).tolist()]
+    for limit in (0, 1000):
+        monkeypatch.setattr(piece_counts, "LONG_WORD", limit)
+        got.append(automaton.counts(words.slice(0, 201)).tolist())
+    assert got[0][:201] == got[1] == got[2]
