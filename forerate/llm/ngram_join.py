@@ -15,12 +15,14 @@ too, so no link that matters to the components is lost. Equal sets are one set t
 Results for odd input: a null or blank text has an empty set, linked with nothing, and is its own
 component; a text of fewer words than n has one shingle, all its words. Rows that share an id are one
 node of the links, and each row is returned. A row without an id has no component. Empty tables give
-no rows; other columns of the input are ignored.
+no rows; other columns of the input are ignored. A very long text is a block of its own, and its set is
+handled whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forerate.functions.joins import lookup
-from forerate.llm.common import U64, Words, blocks, components, mapped, shingle_sets, signed
-from forerate.sources.staging import staged
+from forerate.llm.common import U64, Words, blocks, components, free_names, mapped, shingle_sets, signed
+from forerate.sources.staging import scratch, staged
 
 #: Bits of a shingle's hash that name its bucket in the order.
 ORDER_BITS = 18
@@ -50,15 +52,15 @@ def sets_of(batch: pa.RecordBatch, words: int) -> Iterator[np.ndarray]:
 
 
 def part_sizes(shingles: np.ndarray) -> bytes:
-    """How many of a set's shingles lie between fixed pivots, up to 255 each."""
+    """How many of a set's shingles lie between fixed pivots, as 32-bit numbers."""
     bits = max(1, len(shingles).bit_length() - 1 - PART_BITS)
     counts = np.bincount((shingles >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return counts.astype("<u4").tobytes()
 
 
 def least_apart(x: bytes, y: bytes) -> int:
     """A lower bound of the symmetric difference of two sets, from their part sizes."""
-    a, b = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (x, y))
+    a, b = (np.frombuffer(v, dtype="<u4").astype(np.int64) for v in (x, y))
     if len(a) < len(b):
         a, b = b, a
     return int(np.abs(a.reshape(len(b), -1).sum(axis=1) - b).sum())
@@ -207,9 +209,8 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, per
     return staged(mapped(both.select("x", "xn", "xs", "y", "yn", "ys"), verify(percent), schema), "verified")
 
 
-def classes(docs: DataFrame, words: int, percent: int, bits: int = ORDER_BITS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row; similar are sets with ``percent`` per cent."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def linked_sets(docs: DataFrame, words: int, percent: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, s, parts`` of every row, and ``s, n, doc_id, component`` of every set."""
     rows = staged(mapped(docs, describe(words, bits), SETS), "described")
     counts = np.zeros(1 << bits, dtype=np.int64)
     buckets = rows.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen")).toPandas()
@@ -239,12 +240,25 @@ def classes(docs: DataFrame, words: int, percent: int, bits: int = ORDER_BITS) -
     members = met.select("h", "s", "pn").union(met.selectExpr("h", "q", "qn")).distinct().withColumn("n", F.expr(f"pn {size}"))
     members = members.join(label, ["s", "n"]).select("h", "s", "pn", "component")
     spread = members.groupBy("h").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("h")
-    members = staged(members.join(spread, "h"), "apart")
-    other = members.select("h", F.col("s").alias("q"), F.col("pn").alias("qn"), F.col("component").alias("other"))
-    apart = paired(members.join(other, "h").where(F.col("component") < F.col("other")))
+    # sets that may link are of one length band or of neighbouring ones
+    band = F.floor(F.log(F.expr(f"pn {size}").cast("double")) / math.log(100 / percent + 1e-9)).cast("long")
+    members = staged(members.join(spread, "h").withColumn("band", band), "apart")
+    near = F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band")
+    other = members.select("h", F.col("s").alias("q"), F.col("pn").alias("qn"), F.col("component").alias("other"), near)
+    members, other = members.alias("m"), other.alias("o")
+    same = (F.col("m.h") == F.col("o.h")) & (F.col("m.band") == F.col("o.band"))
+    apart = members.join(other, same & (F.col("component") < F.col("other")) & may_link(percent)).select("m.h", "s", "pn", "q", "qn")
+    apart = paired(apart)
     more = verified(apart.join(pairs, ["x", "xn", "y", "yn"], "left_anti"), sets, docs, words, percent)
-    parts = staged(set_components(links.union(more), sets), "parts")
+    parts = set_components(links.union(more), sets)
+    return rows, parts
+
 
+def classes(docs: DataFrame, words: int, percent: int, bits: int = ORDER_BITS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row; similar are sets with ``percent`` per cent."""
+    with scratch(docs.sparkSession) as keep:
+        rows, parts = linked_sets(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words, percent, bits)
+        rows, parts = keep(rows.select("doc_id", "s", "n"), "described"), keep(parts, "parts")
     out = rows.join(parts.select("s", "n", "component"), ["s", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
@@ -260,17 +274,30 @@ def set_components(links: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, all columns: of each component the one with the smallest id.
+    """The documents, all columns: of each group of alike texts the one with the smallest id.
 
-    Rows that repeat an id and text are kept once; rows without an id all are.
+    Rows are named by id and text, so of rows that share an id each text counts by itself; in a group,
+    equal ids are ordered by their texts' hashes. Rows that repeat an id and text are kept once; rows
+    without an id all are. Links are looked for under 64-bit names; rows whose names collide all stay.
     """
-    found = staged(classes(docs, words, percent), "components")
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone, twice = staged(gone, "gone"), staged(twice, "twice")
-    left = lookup(docs, gone, ["doc_id"], gone.count(), "left_anti")
+    ident, mark = free_names(docs.columns, "_doc", "_mark")
+    key = [F.col("doc_id").cast("long").alias(ident), F.unhex(F.md5(F.col("text").cast("binary"))).alias(mark)]
+    name = F.xxhash64(ident, F.coalesce(mark, F.lit(b"")))
+    bare = docs.select(*key, "text").where(F.col(ident).isNotNull()).withColumn(mark, F.coalesce(mark, F.lit(b"")))
+    rows = staged(bare.groupBy(ident, mark).agg(F.count("*").alias("rows")).withColumn("name", name), "rows")
+    found = classes(bare.select(name.alias("doc_id"), "text"), words, percent)
+    found = staged(found.selectExpr("doc_id name", "component_id").distinct(), "components")
+    placed = rows.join(found, "name")
+    firsts = placed.groupBy("component_id").agg(F.min(F.struct(ident, mark)).alias("first"))
+    clash = staged(rows.groupBy("name").count().where("count > 1").select("name"), "clash")
+    gone = placed.join(firsts, "component_id").where(F.struct(ident, mark) != F.col("first"))
+    gone = staged(lookup(gone, clash, ["name"], clash.count(), "left_anti").select(ident, mark), "gone")
+    twice = staged(rows.where("rows > 1").select(ident, mark), "twice")
+    named = docs.withColumns({ident: key[0], mark: F.coalesce(key[1], F.lit(b""))})
+    left = lookup(named, gone, [ident, mark], gone.count(), "left_anti")
     if twice.isEmpty():
         return left.select(*docs.columns)
-    single = lookup(left, twice, ["doc_id"], twice.count(), "left_anti")
-    again = lookup(left, twice, ["doc_id"], twice.count(), "left_semi").dropDuplicates(["doc_id", "text"])
+    n = twice.count()
+    single = lookup(left, twice, [ident, mark], n, "left_anti")
+    again = lookup(left, twice, [ident, mark], n, "left_semi").dropDuplicates([ident, mark])
     return single.select(*docs.columns).union(again.select(*docs.columns))
