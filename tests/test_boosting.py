@@ -109,6 +109,24 @@ def test_watched_rows_stop_learning_and_are_not_learned_from(rows):
     assert len(every.trees()) == 13  # more than are kept apart
 
 
+def test_a_tree_takes_about_as_many_passes_as_it_is_deep(rows, monkeypatch):
+    """And one array per model and kind reaches the driver, however many tasks there are."""
+    asked, plain = [], boosting.summed_arrays
+
+    def counted(*args):
+        asked.append(args)
+        return plain(*args)
+
+    monkeypatch.setattr(boosting, "summed_arrays", counted)
+    tree = boosting.LeafwiseBoosting(rounds=1, rate=0.3, leaves=40, minLeaf=2).fit(rows[-1]).trees()[0]
+    depth = {0: 0}
+    for node in range(len(tree.left)):
+        if tree.left[node] >= 0:
+            depth[tree.left[node]] = depth[tree.right[node]] = depth[node] + 1
+    assert max(depth.values()) >= 5
+    assert len(asked) <= 1 + 1 + max(depth.values()) + 1  # weights, the root, its levels, and splits that weren't taken
+
+
 def test_bins_of_many_values_are_quantiles(spark):
     df = spark.range(20_000).selectExpr("array(double(id), double(id % 7), 1d) x", "double(id % 2) label", "1d weight")
     from pyspark.ml.functions import array_to_vector
