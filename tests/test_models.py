@@ -174,3 +174,13 @@ def test_bounded_training_keeps_validation_whole(signal_base):
     sizes = {r["fit"]: r["n"] for r in cut.select(F.explode("fits").alias("fit")).groupBy("fit").agg(F.count("*").alias("n")).collect()}
     assert sizes == {0: 100, 1: 100, 2: 100}
     assert models.bounded_training(folded, 10**6).selectExpr("sum(size(fits))").first()[0] == 2 * signal_base.count()
+
+
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark, signal_base):
+    forest = models.candidates(trees=3)["random_forest"](models.Training(520, 1.0))
+    assert forest.getCacheNodeIds()
+    rows = models.TabularPrep(numericCols=["group_rate_prior_year", "region_rate_prior_year"], categoricalCols=["form"]).fit(signal_base)
+    rows = rows.transform(signal_base).select("features", F.col("label").cast("double").alias("label"), "weight").cache()
+    kept, walked = (f.fit(rows).toDebugString.split("\n", 1)[1] for f in (forest, forest.copy({forest.cacheNodeIds: False})))
+    assert kept == walked
+    rows.unpersist()
