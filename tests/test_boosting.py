@@ -1,9 +1,11 @@
 """Leaf-wise boosting against plain trees grown row by row, its bins, stopping and explanation."""
 
 import heapq
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -127,6 +129,21 @@ def test_a_tree_takes_about_as_many_passes_as_it_is_deep(rows, monkeypatch):
     assert len(asked) <= 1 + 1 + max(depth.values()) + 1  # weights, the root, its levels, and splits that weren't taken
 
 
+def test_lost_scores_come_from_all_trees_again(rows, monkeypatch):
+    learner = boosting.LeafwiseBoosting(rounds=3, rate=0.3, leaves=5, minLeaf=10)
+    want = [t.plain() for t in learner.fit(rows[-1]).trees()]
+    asked, plain = [], boosting.summed_arrays
+
+    def lost(*args):
+        asked.append(args)
+        if len(asked) == 8:
+            raise Py4JJavaError("a checkpointed block is gone", SimpleNamespace(_target_id="o0", _gateway_client=None))
+        return plain(*args)
+
+    monkeypatch.setattr(boosting, "summed_arrays", lost)
+    assert [t.plain() for t in learner.fit(rows[-1]).trees()] == want and len(asked) > 8
+
+
 def test_bins_of_many_values_are_quantiles(spark):
     df = spark.range(20_000).selectExpr("array(double(id), double(id % 7), 1d) x", "double(id % 2) label", "1d weight")
     from pyspark.ml.functions import array_to_vector
