@@ -1,11 +1,15 @@
 """The outcome must not be reachable from the features."""
 
+import time
+from concurrent.futures import ThreadPoolExecutor
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forerate import contracts
-from forerate.sources import star
+from forerate.sources import staging, star
 
 @pytest.fixture(scope="module")
 def outcome_columns(spark):
@@ -53,3 +57,16 @@ def test_contract_names_what_is_missing(spark):
     df = spark.createDataFrame([(1,)], "unit_id int")
     with pytest.raises(contracts.ContractError, match="group_id.*unit_id: int instead of string"):
         contracts.require_columns(df, {"unit_id": T.StringType(), "group_id": T.StringType()}, "units")
+
+
+def test_code_is_shipped_once_by_jobs_side_by_side():
+    sent = []
+
+    def add(path):
+        time.sleep(0.2)
+        sent.append(path)
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="ship-test", addPyFile=add))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(staging.ship_package, [session] * 4))
+    assert len(sent) == 1
