@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forerate.llm import decontaminate, ngram_join, pieces, quality, substrings
 from forerate.llm.queries import table, vocabulary
+from forerate.llm.token_files import small_batches
 from forerate.sources.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,8 +35,9 @@ def test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the piece ids of their text."""
-    return pieces.encode(docs, vocabulary("piece_bpe_32k.model"))
+    """The documents with the piece ids of their text; written here, so that few whole texts are in a task at a time."""
+    with small_batches(spark):
+        return staged(pieces.encode(docs, vocabulary("piece_bpe_32k.model")), "pieces")
 
 
 STAGES: list[tuple[str, Stage]] = [

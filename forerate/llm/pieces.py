@@ -34,7 +34,7 @@ from forerate.llm.token_files import gathered
 MARK = "▁"
 #: Stands for a U+2581 of the text inside a unit; no text has it, as it isn't valid UTF-8.
 OWN_MARK = "\ud800"
-ENCODE_BLOCK = 4 << 20
+ENCODE_BLOCK = 2 << 20
 UNKNOWN_PENALTY = 10.0
 #: What is cut off behind a word, where no piece forbids it.
 PUNCTUATION = ".,;:!?|()[]"
