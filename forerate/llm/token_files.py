@@ -14,6 +14,7 @@ come. An empty table gives an empty table. Other columns of the input are ignore
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -32,7 +33,7 @@ from forerate.sources.staging import new_path, staged
 CHUNK = 4096
 #: Words whose ids a worker process remembers from block to block and task to task.
 MEMORY = 150_000
-ENCODE_BLOCK = 4 << 20
+ENCODE_BLOCK = 2 << 20
 #: Rows of an Arrow batch where whole documents or their ids are sent.
 BATCH_ROWS = 1_500
 #: Sizes of the written files: a row group, a page (both in bytes), rows of a page at most.
@@ -149,12 +150,16 @@ def word_encoder(path: str) -> WordEncoder:
 def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The concatenation of ``flat[starts[i] : starts[i] + counts[i]]``."""
     total = int(counts.sum())
-    at = np.cumsum(counts) - counts
-    return flat[np.repeat(starts - at, counts) + np.arange(total)]
+    kind = np.int32 if max(total, len(flat)) < 1 << 31 else np.int64
+    at = np.arange(total, dtype=kind)
+    at += np.repeat((starts - np.cumsum(counts) + counts).astype(kind), counts)
+    return flat[at]
 
 
 def encoder(path: str, end_id: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a task has one core; the library's threads, one for each core of the machine, would each keep memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words_of = word_encoder(path)
         before = 0
         for batch in blocks(batches, ENCODE_BLOCK):
