@@ -10,7 +10,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from forerate.functions import ordering
 from forerate.operators import boosting, explain, metrics, models, prep
+from forerate.sources import staging
 
 
 def plain_boosting(x, label, weight, rounds, rate, leaves, min_leaf, l2):
@@ -194,3 +196,23 @@ def test_importance_from_affected_trees_is_that_of_whole_copies(signal_base, mon
     slow = explain.permutation_importance(model, signal_base, repeats=2).collect()
     assert [tuple(r) for r in fast] == [tuple(r) for r in slow]
     assert fast[0]["importance"] > 0.05 and fast[-1]["importance"] <= 0
+
+
+def test_importance_writes_no_table_of_shuffled_scores(signal_base, monkeypatch):
+    """Areas come from slices that are ordered on their own; the only large tables written are the rows themselves."""
+    model = models.fit_pipeline(signal_base, models.boosting(rounds=6, leaves=8, min_leaf=10))
+    whole = explain.permutation_importance(model, signal_base, repeats=2).collect()
+    sizes = {}
+
+    def counted(df, name):
+        out = staging.staged(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(explain, "staged", counted)
+    monkeypatch.setattr(ordering, "staged", counted)
+    monkeypatch.setattr(explain, "SLICE_ROWS", 60, raising=False)
+    sliced = explain.permutation_importance(model, signal_base, repeats=2).collect()
+    assert sliced == whole
+    assert set(sizes) == {"rows", "placed", "shuffled_auc"}
+    assert max(sizes.values()) <= signal_base.count()

@@ -1,5 +1,7 @@
 """Weighted metrics against brute force over all pairs."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +111,15 @@ def test_calibration_bins(scores):
     got = metrics.calibration(scores).toPandas().set_index("bin").sort_index()
     assert list(got.index) == list(want.index)
     np.testing.assert_allclose(got[want.columns], want)
+
+
+def test_areas_by_slices_are_those_of_the_whole_order(spark):
+    """Ties, slices that stay empty, a group without a positive label and cuts that are scores."""
+    draw = random.Random(3)
+    rows = [(g, draw.randrange(40) / 40, float(g < 2 and draw.random() < 0.4), float(draw.randrange(1, 4))) for g in range(3) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g int, score double, label double, weight double")
+    want = {r["g"]: r["roc_auc"] for r in metrics.ranking_metrics(df, ["g"]).collect()}
+    for cuts in ([], [0.5], [0.1, 0.25, 0.25, 0.6, 0.99, 3.0]):
+        got = {r["g"]: r["roc_auc"] for r in metrics.roc_areas(df, ["g"], cuts).collect()}
+        assert got.keys() == want.keys() and got[2] is None and want[2] is None
+        assert all(abs(got[g] - want[g]) < 1e-12 for g in (0, 1))
