@@ -33,7 +33,7 @@ from forerate.sources.staging import new_path, staged
 CHUNK = 4096
 #: Words whose ids a worker process remembers from block to block and task to task.
 MEMORY = 150_000
-ENCODE_BLOCK = 2 << 20
+ENCODE_BLOCK = 6 << 20
 #: Rows of an Arrow batch where whole documents or their ids are sent.
 BATCH_ROWS = 1_500
 #: Sizes of the written files: a row group, a page (both in bytes), rows of a page at most.
