@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,13 +27,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forerate.llm.common import blocks, mapped
+from forerate.llm.common import blocks, buffers, mapped
 from forerate.sources.staging import new_path, staged
 
 #: Words are encoded so many at a time, with a special token between them.
 CHUNK = 4096
 #: Words whose ids a worker process remembers from block to block and task to task.
-MEMORY = 150_000
+MEMORY = 300_000
 ENCODE_BLOCK = 6 << 20
 #: Rows of an Arrow batch where whole documents or their ids are sent.
 BATCH_ROWS = 1_500
@@ -51,7 +52,7 @@ class WordEncoder:
     """
 
     #: Punctuation that the tokenizer keeps together and apart from letters.
-    TAIL = ".,;:!?|"
+    TAIL = string.punctuation
 
     def __init__(self, path: str, separator: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
@@ -68,26 +69,26 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = (i for i in range(256, 512))
         byte = {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
-        self.memory: dict[str, int] = {}
+        self.memory = pa.array([], pa.string())
         self.ids, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.shown = {c: "".join(byte[b] for b in chr(c).encode()) for c in range(128, 384)}
 
-    def letters(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of lower-cased words of letters and how many each has.
+    def letters(self, some: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct lower-cased words of letters and how many each has.
 
         The first words that a worker sees are remembered: frequent words are soon among them.
         """
-        known = self.memory.get
-        at = np.fromiter((known(w, -1) for w in some), dtype=np.int64, count=len(some))
-        missing = np.flatnonzero(at < 0)
-        new = [some[i] for i in missing]
-        ids, sizes = self.merged(new)
-        at[missing] = len(self.sizes) + np.arange(len(new))
+        known = pc.index_in(some, value_set=self.memory)
+        missing = known.is_null()
+        new = some.filter(missing)
+        ids, sizes = self.merged(new.to_pylist())
+        at = np.array(known.fill_null(0), dtype=np.int64)
+        at[np.asarray(missing)] = len(self.sizes) + np.arange(len(new))
         ids, sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
         kept = min(len(new), MEMORY - len(self.memory))
         if kept > 0:
-            self.memory.update(zip(new[:kept], range(len(self.sizes), len(self.sizes) + kept)))
-            self.sizes = sizes[: len(self.sizes) + kept].copy()
+            self.memory = pa.concat_arrays([self.memory, new[:kept]])
+            self.sizes = sizes[: len(self.memory)].copy()
             self.ids = ids[: int(self.sizes.sum())].copy()
         starts = np.cumsum(sizes) - sizes
         return gathered(ids, starts[at], sizes[at]), sizes[at]
@@ -113,32 +114,29 @@ class WordEncoder:
         counts = np.diff(np.concatenate([[-1], np.flatnonzero(flat == self.cut)])) - 1
         return flat[flat != self.cut], counts
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and how many each word has."""
-        plain: dict[str, int] = {}
-        other: dict[str, int] = {"": 0}
-        head, tail = np.full(len(words), -1, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
-        for i, w in enumerate(words):
-            core = w.rstrip(self.TAIL)
-            if core.isalpha() and (core.isascii() or (max(core) < "\u0180" and "\u0130" not in core)):
-                head[i] = plain.setdefault(core.lower(), len(plain))
-                core = w[len(core) :]
-                if core:
-                    tail[i] = other.setdefault(core, len(other))
-            else:
-                tail[i] = other.setdefault(w, len(other))
-        marked = [w for w in other if self.separator in w]
-        flat, counts = self.letters(list(plain))
-        apart = list(other)
-        if marked:
-            more, more_counts = zip(*(self.others([w]) for w in apart), strict=True)
-            more, more_counts = np.concatenate(more), np.concatenate(more_counts)
-        else:
-            more, more_counts = self.others(apart)
+        cores = pc.utf8_rtrim(words, self.TAIL)
+        data, offsets = buffers(cores)
+        plain = np.array(pc.and_not(pc.utf8_is_alpha(cores), pc.match_substring(cores, "\u0130")))
+        beyond = np.flatnonzero(data >= 0xC6)  # bytes of letters from U+0180 on
+        plain[np.searchsorted(offsets, beyond, side="right") - 1] = False
+        lower = pc.utf8_lower(cores.filter(pa.array(plain))).dictionary_encode()
+        # what is left: the punctuation behind letters, or the whole word
+        done = np.where(plain, np.diff(offsets), 0)
+        data, offsets = buffers(words)
+        left = np.diff(offsets) - done
+        ends = np.concatenate([[0], np.cumsum(left)]).astype(np.int32)
+        rest = gathered(data, offsets[:-1] + done, left)
+        rest = pa.StringArray.from_buffers(len(words), pa.py_buffer(ends), pa.py_buffer(rest)).dictionary_encode()
+        flat, counts = self.letters(lower.dictionary)
+        more, more_counts = self.others(rest.dictionary.to_pylist())
         ids = np.concatenate([flat, more])
         sizes = np.concatenate([counts, more_counts, [0]])  # the last for no head
         starts = np.cumsum(sizes) - sizes
-        pairs = np.stack([head, tail + len(plain)], axis=1).ravel()
+        head = np.full(len(words), -1, dtype=np.int64)
+        head[plain] = lower.indices
+        pairs = np.stack([head, np.asarray(rest.indices, dtype=np.int64) + len(counts)], axis=1).ravel()
         return gathered(ids, starts[pairs], sizes[pairs]), sizes[pairs].reshape(-1, 2).sum(axis=1)
 
 
@@ -156,26 +154,43 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     return flat[at]
 
 
+def joined(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Small batches, those of short texts, put together until their texts have ``size`` bytes; others as they come."""
+    held, total = [], 0
+    for batch in batches:
+        more = batch.column("text").nbytes
+        if held and more >= size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(batch)
+        total += more
+        if total >= size:
+            yield pa.concat_batches(held) if len(held) > 1 else batch
+            held, total = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def encoder(path: str, end_id: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a task has one core; the library's threads, one for each core of the machine, would each keep memory
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         words_of = word_encoder(path)
         before = 0
-        for batch in blocks(batches, ENCODE_BLOCK):
+        for batch in blocks(joined(batches, ENCODE_BLOCK // 2), ENCODE_BLOCK):
             words = pc.ascii_split_whitespace(batch.column("text").fill_null(""))
             per_text = np.diff(words.offsets.to_numpy())
             coded = words.flatten().dictionary_encode()
-            ids, counts = words_of.encode(coded.dictionary.to_pylist())
-            index = coded.indices.to_numpy()
-            index = np.asarray(index, dtype=np.int64)
+            ids, counts = words_of.encode(coded.dictionary)
+            # the end id is one more word, behind the words of every text
+            ids, counts = np.append(ids, np.int32(end_id)), np.append(counts, 1)
+            ends = np.cumsum(per_text)
+            index = np.insert(np.asarray(coded.indices), ends, len(counts) - 1)
             starts = np.cumsum(counts) - counts
             word_counts = counts[index]
-            flat = gathered(ids, starts[index], word_counts)
-            sums = np.concatenate([[0], np.cumsum(word_counts)])
-            ends = sums[np.cumsum(per_text)]
-            n = np.diff(np.concatenate([[0], ends])) + 1
-            tokens = np.insert(flat, ends, end_id).astype(np.int32)
+            tokens = gathered(ids, starts[index], word_counts)
+            sums = np.cumsum(word_counts)[ends + np.arange(len(ends))]
+            n = np.diff(np.concatenate([[0], sums]))
             offsets = np.concatenate([[0], np.cumsum(n)])
             yield pa.RecordBatch.from_arrays(
                 [

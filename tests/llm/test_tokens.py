@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -69,6 +70,55 @@ def test_row_groups_have_the_size_asked_for(spark, tmp_path, make):
     assert token_files.token_digest(spark, path).count() == 400
 
 
+def block(texts):
+    kinds = {"doc_id": pa.int64(), "text": pa.string(), "part": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((range(len(texts)), texts, [0] * len(texts)), kinds.values())], names=[*kinds])
+
+
+def test_words_of_all_kinds_match_library():
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(WORD_BPE), random.Random(8)
+    letters = [chr(c) for c in [*range(0x21, 0x250), 0x300, 0x338, 0x3A3, 0x1E9E, 0x2019, 0x212A, 0x4E2D, 0xAC00, 0x1F600]]
+    texts = ["", None, " \n", "...", *[" ".join(c + p for c in ("Z", "é", "ÿ")) for p in string.punctuation], *[f"{c} {c}b. a{c}{c}" for c in letters]]
+    for _ in range(60):
+        words = ["".join(rng.choices(letters, k=rng.randrange(6)) + rng.choices(string.punctuation, k=rng.randrange(4))) for _ in range(100)]
+        texts.append(" ".join([*words, "it's", "a's.", "'s", "b<|endoftext|>&", "a\x00 c\x1c."]))
+    for some in (texts, [""], [None], ["&"]):
+        got = [x for b in token_files.encoder(WORD_BPE, 1)(iter([block(some)])) for x in b.column("tokens").to_pylist()]
+        assert got == [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in some]
+
+
+def test_few_words_go_through_the_whole_tokenizer(monkeypatch):
+    asked, whole = [], token_files.WordEncoder.others
+    monkeypatch.setattr(token_files.WordEncoder, "others", lambda self, some: asked.extend(some) or whole(self, some))
+    texts = [f"{c}{d}x{p}" for c in "abcdefgh" for d in "éklmnop" for p in (".", "&&&", "***", ',"', "$)", "")]
+    list(token_files.encoder(WORD_BPE, 1)(iter([block([" ".join(texts)])])))
+    assert sorted(asked) == sorted(["", ".", "&&&", "***", ',"', "$)"])
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    words, asked, merged = token_files.WordEncoder(WORD_BPE), [], token_files.WordEncoder.merged
+    monkeypatch.setattr(token_files, "MEMORY", 3)
+    monkeypatch.setattr(token_files.WordEncoder, "merged", lambda self, some: asked.extend(some) or merged(self, some))
+    blocks = [pa.array(x.split()) for x in ("One two. 3", "two, one& three four", "FOUR three! one two two;", "4")]
+    found = [words.encode(b) for b in blocks]
+    for b, (ids, sizes) in zip(blocks, found, strict=True):
+        coded = [words.tokenizer.encode(w, add_special_tokens=False).ids for w in b.to_pylist()]
+        assert (ids.tolist(), sizes.tolist()) == ([i for x in coded for i in x], [len(x) for x in coded])
+    assert asked == ["one", "two", "three", "four", "four"]
+
+
+def test_small_batches_are_encoded_together():
+    texts = [f"Some word{i}, {i}." for i in range(200)] + [None, ""]
+    small = [block(texts[i : i + 5]) for i in range(0, len(texts), 5)]
+    (one,) = token_files.encoder(WORD_BPE, 1)(iter([block([]), *small]))
+    (whole,) = token_files.encoder(WORD_BPE, 1)(iter([block(texts)]))
+    assert one.drop_columns("doc_id").equals(whole.drop_columns("doc_id"))
+    sizes = [b.num_rows for b in token_files.joined(iter([block(["a" * n]) for n in (9, 10, 99, 30, 60, 200, 3)]), 100)]
+    assert sizes == [2, 1, 2, 1, 1]
+
+
 def test_empty_token_table(spark, no_docs):
     assert token_files.token_digest(spark, token_files.token_table(no_docs, WORD_BPE)).count() == 0
 
