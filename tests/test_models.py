@@ -5,8 +5,10 @@ import math
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forerate.contracts import feature_columns
@@ -184,3 +186,15 @@ def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark, signal_b
     kept, walked = (f.fit(rows).toDebugString.split("\n", 1)[1] for f in (forest, forest.copy({forest.cacheNodeIds: False})))
     assert kept == walked
     rows.unpersist()
+
+
+def test_rows_that_are_read_again_take_no_heap_and_tasks_stay_small(spark, signal_base, monkeypatch):
+    """Fits side by side must not fill the executors' heaps with stored rows, however many rows there are."""
+    assert models.spread(spark.range(10), 3_000_000).rdd.getNumPartitions() >= 30
+    levels, plain = [], {kind: kind.persist for kind in (RDD, DataFrame)}
+    for kind, keep in plain.items():
+        monkeypatch.setattr(kind, "persist", lambda self, level=None, keep=keep: levels.append(level) or keep(self, level))
+    models.out_of_fold(signal_base, models.boosting(rounds=2, leaves=4), k=2)
+    models.validation_curve(signal_base, k=2, leaves=(4, 8), rounds=2)
+    models.fit_pipeline(signal_base, models.boosting(rounds=2, leaves=4))
+    assert len(levels) > 8 and not any(level.useMemory for level in levels)
